@@ -25,7 +25,7 @@ def kmers(sequences: DataFrame, keys: list[str], k: int, canonical: bool = True)
     """
     if not 1 <= k <= 31:
         raise ValueError("k must be between 1 and 31")
-    narrow = sequences.select(*keys, "seq").filter(F.length("seq") >= k)
+    narrow = sequences.select(*keys, "seq")
     fields = [narrow.schema[key] for key in keys]
     arrow = pa.schema([(f.name, ARROW_TYPES[f.dataType]) for f in fields]
                       + [("kmer", pa.int64()), ("n", pa.int64())])
