@@ -118,20 +118,19 @@ def taxonomy_report(classified: DataFrame, taxa: DataFrame) -> DataFrame:
     Counted per taxon before ancestors are looked up. Unclassified contigs are the row of taxid 0.
     """
     direct = classified.groupBy("sample", "taxid").agg(F.count("*").alias("n"))
-    tree = broadcast_if_small(taxa.select("taxid", "lineage"))
-    placed = direct.join(tree, "taxid").select("sample", "taxid", "n", F.explode("lineage").alias("ancestor"))
+    lineage = F.coalesce("lineage", F.array(F.col("taxid")))
+    placed = (direct.join(broadcast_if_small(taxa.select("taxid", "lineage")), "taxid", "left")
+              .select("sample", "taxid", "n", F.explode(lineage).alias("ancestor")))
     own = F.when(F.col("ancestor") == F.col("taxid"), F.col("n")).otherwise(0)
     clades = (placed.select("sample", "ancestor", "n", own.alias("own")).groupBy("sample", "ancestor")
               .agg(F.sum("own").alias("direct"), F.sum("n").alias("clade"))
               .withColumnRenamed("ancestor", "taxid"))
-    named = clades.join(broadcast_if_small(taxa.select("taxid", "name")), "taxid")
-    rest = direct.filter("taxid = 0").select(
-        F.lit(0).alias("taxid"), "sample", F.col("n").alias("direct"), F.col("n").alias("clade"),
-        F.lit("unclassified").alias("name"))
-    totals = direct.groupBy("sample").agg(F.sum("n").alias("total"))
-    rows = named.unionByName(rest).join(totals, "sample")
-    return rows.select("sample", "taxid", "name", "direct", "clade",
-                       F.round(F.col("clade") * 100 / F.col("total"), 2).alias("pct"))
+    # At most one row per taxon in a sample.
+    total = F.sum("direct").over(Window.partitionBy("sample"))
+    named = clades.withColumn("total", total).join(
+        broadcast_if_small(taxa.select("taxid", "name")), "taxid", "left")
+    return named.select("sample", "taxid", F.coalesce("name", F.lit("unclassified")).alias("name"), "direct",
+                        "clade", F.round(F.col("clade") * 100 / F.col("total"), 2).alias("pct"))
 
 
 def contaminants_to_removals(classified: DataFrame, taxa: DataFrame, expected: int) -> DataFrame:

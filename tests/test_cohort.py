@@ -1,0 +1,106 @@
+from conftest import as_tuples, plan_of
+from pyspark.sql import functions as F
+
+from contigloom.functions import names
+from contigloom.operators import hits as hi
+from contigloom.operators import matrices as ma
+from contigloom.operators import reports as rp
+from contigloom.sources import tables
+
+HITS = "file string, gene string, database string, resistance string"
+
+
+def test_hits_are_cleaned_and_merged(spark):
+    rows = [("/o/s1.fasta", "b", "card", "x"), ("/o/s1.fasta", "a", "card", ""), ("/p/s1.fna", "b", "card", None),
+            ("/o/s1_filtered.fasta", "B", "card", "z"), ("/o/before.fasta", "a", "card", "x"),
+            ("/o/s2.fasta", "", "", ""), ("", "a", "vfdb", "x"), ("/o/s3.txt", "a", "card", "x"), ("/o/filtered", "q", "r", "s")]
+    merged = hi.combine_gene_hits(spark.createDataFrame(rows, HITS))
+    assert as_tuples(merged, "Sample", "Database", "Genes", "Resistance") == [
+        ("NA", "vfdb", "a", "x"), ("s1", "card", "a; b", "NA; x"), ("s1_filtered", "card", "B", "z"),
+        ("s2", "NA", "NA", "NA"), ("s3.txt", "card", "a", "x")]
+
+
+def test_hit_names_lose_only_sequence_extensions(spark):
+    table = spark.createDataFrame([("/a/x.faa",), ("x.FASTA",), ("/a/x.fa.gz",)], "f string")
+    assert [r[0] for r in table.select(names.sample_from_hit_file("f")).collect()] == ["x", "x.FASTA", "x.fa.gz"]
+
+
+def test_hit_summary(spark):
+    rows = [("f1", "g1", "d", 90.5), ("f1", "g1", "d", 100.0), ("f1", "g1", "d", 90.5), ("f1", "g2", "d", 80.0), ("f2", "g2", "d", 70.0)]
+    table = spark.createDataFrame(rows, "file string, gene string, database string, pct_coverage double")
+    summary = hi.hit_summary(table)
+    assert as_tuples(summary, "file", "gene", "coverages", "n_genes") == [
+        ("f1", "g1", "100.0;90.5;90.5", 2), ("f1", "g2", "80.0", 2), ("f2", "g2", "70.0", 1)]
+    assert as_tuples(hi.presence_matrix(summary, ["g1", "g2"]), "file", "g1", "g2") == [
+        ("f1", "100.0;90.5;90.5", "80.0"), ("f2", ".", "70.0")]
+
+
+def test_stage_tags(spark):
+    table = spark.createDataFrame([("a_before",), ("b_filtered",), ("c_trimmed_R2",), ("d_removed",), ("e",)], "n string")
+    got = [tuple(r) for r in table.select(names.without_stage_tag("n"), names.stage_tag("n")).collect()]
+    assert got == [("a", "before"), ("b", "after"), ("c", "trimmed"), ("d", "removed"), ("e", None)]
+
+
+def matrix(tmp_path, name, content):
+    path = tmp_path / name
+    path.write_text(content)
+    return str(path)
+
+
+def test_matrix_merge(spark, tmp_path):
+    one = matrix(tmp_path, "one.txt", "Isolate\tc1\tc2\nX\tp\tk\nX\t\tm\nW\t\t\n")
+    two = matrix(tmp_path, "two.txt", "Isolate\tc3\tc1\tc2\nX\t\tq\tn\nX\tz\tr\t\nY\ty\t\t\n")
+    long = tables.read_amr_matrix(spark, [("before", one), ("x", str(tmp_path / "absent")), ("after", two)])
+    wide = ma.merge_amr_matrices(long)
+    assert wide.columns == ["sample", "c1", "c2", "c3"]
+    assert as_tuples(wide.fillna("-"), *wide.columns) == [
+        ("W", "-", "-", "-"), ("X", "q;r", "m;n", "z"), ("Y", "-", "-", "y")]
+
+
+def test_only_the_first_file_replaces(spark):
+    rows = [("before", 0, "X", 0, 1, "c", "a"), ("before", 0, "X", 1, 1, "c", "b"),
+            ("after", 1, "X", 0, 1, "c", "d"), ("after", 1, "X", 1, 1, "c", "d"), ("z", 2, "X", 0, 1, "c", "")]
+    long = spark.createDataFrame(rows, "stage string, file_ord int, sample string, row_no bigint, col_no int, drug_class string, value string")
+    assert as_tuples(ma.merge_amr_cells(long), "value") == [("b;d;d",)]
+
+
+def test_stages_with_different_columns(spark):
+    before = spark.createDataFrame([("s", "1")], "sample string, a string")
+    after = spark.createDataFrame([("s", "2")], "sample string, b string")
+    assert [tuple(r) for r in ma.union_stage_reports(before, after).collect()] == [("s", "1", None), ("s", None, "2")]
+
+
+def test_cohort_report_takes_one_shuffle(spark):
+    a = spark.createDataFrame([("s", "before", 1), ("t", "after", 2)], "sample string, stage string, x int")
+    b = spark.createDataFrame([("s", "before", "u")], "sample string, stage string, y string")
+    report = rp.cohort_report(a, b)
+    assert as_tuples(report.fillna("-"), "sample", "stage", "x", "y") == [("s", "before", 1, "u"), ("t", "after", 2, "-")]
+    assert plan_of(report).count("Exchange hashpartitioning") == 1
+
+
+REPORT = [("s1", "card", "blaA; tetB"), ("s2", "card", "tetB"), ("s3", "vfdb", ""), ("s10", "vfdb", "100%_x")]
+
+
+def test_search_select_facets_pages(spark):
+    table = spark.createDataFrame(REPORT, "Sample string, Database string, Genes string")
+    assert as_tuples(rp.report_search(table, {"Genes": "TETB bla"}), "Sample") == [("s1",)]
+    assert as_tuples(rp.report_search(table, {"Genes": "%_"}), "Sample") == [("s10",)]
+    assert as_tuples(rp.report_search(table, {"Genes": " "}), "Sample") == [("s1",), ("s10",), ("s2",), ("s3",)]
+    assert as_tuples(rp.report_select(table, {"Database": ["vfdb"], "Sample": []}), "Sample") == [("s10",), ("s3",)]
+    facets = [tuple(r) for r in rp.facet_values(table, ["Database", "Genes"]).collect()]
+    assert facets == [("Database", "card"), ("Database", "vfdb"), ("Genes", "100%_x"), ("Genes", "blaA; tetB"), ("Genes", "tetB")]
+    assert [r[0] for r in rp.sort_report(table, "Sample").collect()] == ["s1", "s10", "s2", "s3"]
+    pages = [[r[0] for r in rp.limit_report(table, ["Sample"], 3, p).collect()] for p in range(3)]
+    assert pages == [["s1", "s10", "s2"], ["s3"], []]
+    assert "TakeOrderedAndProject" in plan_of(rp.limit_report(table, ["Sample"], 3))
+
+
+def test_union_keeps_duplicates(spark):
+    table = spark.createDataFrame([("a",), ("a",)], "gene string")
+    assert hi.union_hits(table, table).count() == 4
+
+
+def test_filter_hits_is_inclusive(spark):
+    table = spark.createDataFrame([(80.0, 80.0), (79.9, 99.0), (99.0, 79.9)], "pct_identity double, pct_coverage double")
+    assert hi.filter_hits(table).count() == 1
+    assert table.filter(F.col("pct_identity") > 0).count() == 3

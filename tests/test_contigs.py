@@ -1,0 +1,138 @@
+import random
+
+import pytest
+from conftest import as_tuples, plan_of
+from pyspark.sql import functions as F
+
+from contigloom.functions import names
+from contigloom.operators import contigs as co
+from contigloom.plans import filter_effect as fe
+
+COLUMNS = "sample string, path string, stage string, rec_no bigint, header string, seq string"
+
+
+def contigs(spark, rows):
+    return spark.createDataFrame(
+        [(s, f"/in/{s}.fasta", "before", i, h, seq) for i, (s, h, seq) in enumerate(rows)], COLUMNS)
+
+
+def value(spark, expression, text):
+    return spark.createDataFrame([(text,)], "x string").select(expression(F.col("x"))).collect()[0][0]
+
+
+@pytest.mark.parametrize("header,coverage", [
+    ("NODE_1_length_12345_cov_37.8", 37.8), ("contig0001_cov_50", 50.0), ("scaffold_12_cov_100.0", 100.0),
+    ("contig001_depth_42.7", 42.7), ("NODE_2_length_23456_depth_88", 88.0), ("x_cov_10.", 10.0),
+    ("a_depth_50_cov_3", 3.0), ("q_cov_1_cov_20", 1.0), ("plain", None), ("x_Cov_5", None), ("x_cov_", None),
+])
+def test_coverage_from_header(spark, header, coverage):
+    assert value(spark, names.coverage_from_header, header) == coverage
+
+
+def test_thresholds_are_inclusive_and_unknown_coverage_is_dropped(spark):
+    table = contigs(spark, [("a", "c1_cov_10", "A" * 500), ("a", "c2_cov_9.99", "A" * 500),
+                            ("a", "c3_cov_10", "A" * 499), ("a", "plain", "A" * 900)])
+    kept = co.filter_contigs(table)
+    assert as_tuples(kept, "header", "used_fallback") == [("c1_cov_10", False)]
+
+
+@pytest.mark.parametrize("limit", [0, 1, 100])
+def test_fallback_keeps_everything_of_the_sample(spark, limit):
+    table = contigs(spark, [("a", "c1_cov_50", "A" * 600), ("a", "c2_cov_1", "A" * 600),
+                            ("b", "c3_cov_1", "ACGT"), ("b", "plain", "AC"),
+                            ("c", "c5", "A"), ("d", "c6_cov_99", "C" * 700)])
+    kept = co.filter_contigs(table, broadcast_rows=limit)
+    assert as_tuples(kept, "sample", "header", "used_fallback") == [
+        ("a", "c1_cov_50", False), ("b", "c3_cov_1", True), ("b", "plain", True), ("c", "c5", True),
+        ("d", "c6_cov_99", False)]
+
+
+def test_filter_does_not_shuffle_sequences(spark):
+    rows = [("a", "c1_cov_50", "A" * 600), ("b", "c2_cov_1", "C" * 600)]
+    assert "Exchange hashpartitioning" not in plan_of(co.filter_contigs(contigs(spark, rows)))
+    assert "Exchange" not in plan_of(co.filter_contigs(contigs(spark, rows[:1])))
+
+
+def test_higher_thresholds_never_add_contigs(spark):
+    rng = random.Random(5)
+    rows = [("s", f"c{i}_cov_{rng.randint(1, 60)}", "A" * rng.randint(1, 2000)) for i in range(200)]
+    table = contigs(spark, rows + [("s", "best_cov_999", "A" * 5000)])
+    sizes = [co.filter_contigs(table, c, n).count() for c, n in [(1, 1), (10, 1), (10, 500), (40, 500), (40, 1500)]]
+    assert sizes == sorted(sizes, reverse=True)
+
+
+@pytest.mark.parametrize("limit", [0, 100])
+def test_remove_contigs(spark, limit):
+    table = contigs(spark, [("x", "a desc", "A"), ("x", "b", "C"), ("x", "c\tmore", "G"), ("y", "a", "T"), ("z", "a", "T")])
+    removals = spark.createDataFrame(
+        [("/in/x.fasta", "a"), ("/in/x.fasta", "b"), ("/in/y.fasta", None)], "path string, contig_id string")
+    left = co.remove_contigs(table, removals, broadcast_rows=limit)
+    assert as_tuples(left, "sample", "header") == [("x", "c\tmore"), ("y", "a")]
+    assert as_tuples(co.remove_contigs(left, removals), "sample", "header") == [("x", "c\tmore"), ("y", "a")]
+    if limit:
+        plan = plan_of(left)
+        assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and "SortMergeJoin" not in plan
+
+
+def test_missing_listed_files(spark):
+    removals = spark.createDataFrame([("/in/x.fa", "a"), ("/in/y.fa", "a")], "path string, contig_id string")
+    files = spark.createDataFrame([("/in/x.fa",)], "path string")
+    assert as_tuples(co.listed_files_missing(removals, files), "path") == [("/in/y.fa",)]
+
+
+def test_removed_path(spark):
+    assert value(spark, co.removed_path, "/a.b/s.v1.fna") == "/a.b/s.v1_removed.fna"
+
+
+def by_hand(lengths, percent, total=None):
+    """Nx and Lx by adding contigs one at a time."""
+    total, have = total or sum(lengths), 0
+    for i, n in enumerate(sorted(lengths, reverse=True), 1):
+        have += n
+        if have * 100 >= total * percent:
+            return n, i
+    return None, None
+
+
+def test_n50_example(spark):
+    table = contigs(spark, [("s", "a", "G" * 10), ("s", "b", "c" * 8), ("s", "c", "NA")])
+    row = co.assembly_stats(table, ref_len=30).collect()[0]
+    assert (row["n50"], row["l50"], row["largest"], row["total_length"]) == (10, 1, 10, 20)
+    assert (row["gc_bases"], row["n_bases"], row["gc_pct"], row["ng50"]) == (18, 1, 90.0, 8)
+
+
+def test_assembly_stats_against_adding_up(spark):
+    rng = random.Random(1)
+    lengths = {f"s{i}": [rng.choice([5, 7, 7, 11, rng.randint(1, 40)]) for _ in range(rng.randint(1, 60))] for i in range(8)}
+    table = contigs(spark, [(s, "h", "A" * n) for s, ns in lengths.items() for n in ns])
+    for row in co.assembly_stats(table).collect():
+        ns = lengths[row["sample"]]
+        assert (row["n50"], row["l50"]) == by_hand(ns, 50)
+        assert (row["n90"], row["l90"]) == by_hand(ns, 90)
+        assert (row["n_contigs"], row["total_length"]) == (len(ns), sum(ns))
+
+
+def test_empty_sequences_do_not_break_statistics(spark):
+    table = contigs(spark, [("s", "a", ""), ("t", "b", ""), ("t", "c", "ACGT")])
+    rows = {r["sample"]: r for r in co.assembly_stats(table).collect()}
+    assert rows["t"]["n50"] == 4 and rows["s"]["total_length"] == 0 and rows["s"]["gc_pct"] is None
+
+
+def test_one_pass_plan_equals_filter_then_measure(spark):
+    rng = random.Random(2)
+    rows = [(f"s{i % 4}", f"c_cov_{rng.randint(1, 30) if i % 4 else 1}", "ACGN"[rng.randint(0, 3)] * rng.randint(300, 900))
+            for i in range(120)]
+    table = contigs(spark, rows)
+    direct = co.assembly_stats(table).unionByName(
+        co.assembly_stats(co.filter_contigs(table).withColumn("stage", F.lit("after"))))
+    once = fe.stats_before_and_after(table)
+    columns = once.columns
+    assert as_tuples(once, *columns) == as_tuples(direct, *columns)
+    assert plan_of(once).count("Scan ExistingRDD") == 1
+
+
+def test_compare_before_after(spark):
+    metrics = spark.createDataFrame(
+        [("a", "before", 10), ("a", "after", 4), ("b", "before", 3)], "sample string, stage string, n int")
+    assert sorted(map(tuple, co.compare_before_after(metrics, ["n"]).collect())) == [
+        ("a", 10, 4, -6), ("b", 3, None, None)]

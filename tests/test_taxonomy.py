@@ -1,0 +1,112 @@
+import random
+from collections import Counter
+
+import pyarrow
+import pytest
+from conftest import as_tuples, plan_of
+from pyspark.sql import functions as F
+
+from contigloom.functions import kernels
+from contigloom.operators import taxonomy as tx
+
+TREE = {1: None, 2: 1, 3: 1, 4: 2, 5: 2, 6: 4, 7: 3}
+
+
+@pytest.fixture(scope="module")
+def taxa(spark):
+    rows = [(t, p, f"t{t}") for t, p in TREE.items()]
+    return tx.lineages(spark.createDataFrame(rows, "taxid int, parent_taxid int, name string"))
+
+
+def line(t):
+    out = [t]
+    while TREE[out[-1]]:
+        out.append(TREE[out[-1]])
+    return out[::-1]
+
+
+def code(kmer, canonical):
+    def number(k):
+        return sum("ACGT".index(c) * 4 ** i for i, c in enumerate(reversed(k)))
+    other = kmer[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    return min(number(kmer), number(other)) if canonical else number(kmer)
+
+
+def test_lineages(taxa):
+    assert {r["taxid"]: r["lineage"] for r in taxa.collect()} == {t: line(t) for t in TREE}
+
+
+def test_a_root_may_be_its_own_parent(spark):
+    table = spark.createDataFrame([(1, 1, "root"), (2, 1, "x")], "taxid int, parent_taxid int, name string")
+    assert as_tuples(tx.lineages(table), "taxid") == [(1,), (2,)]
+
+
+@pytest.mark.parametrize("k,canonical,slice_bases", [(1, True, 7), (5, True, 9), (5, False, 100), (31, True, 4_000_000), (12, True, 50)])
+def test_kmers_against_cutting_strings(spark, monkeypatch, k, canonical, slice_bases):
+    rng = random.Random(k)
+    seqs = ["", "ACG", "A" * 70, "acgtnACGTT" * 5] + [
+        "".join(rng.choice("ACGTACGTN") for _ in range(rng.randint(0, 120))) for _ in range(40)]
+    wanted = Counter()
+    for i, s in enumerate(seqs):
+        for j in range(len(s) - k + 1):
+            part = s[j:j + k].upper()
+            if "N" not in part:
+                wanted[i, code(part, canonical)] += 1
+    monkeypatch.setattr(kernels, "SLICE_BASES", slice_bases)
+    schema = pyarrow.schema([("i", pyarrow.int64()), ("kmer", pyarrow.int64()), ("n", pyarrow.int64())])
+    batch = pyarrow.RecordBatch.from_arrays([pyarrow.array(range(len(seqs)), pyarrow.int64()), pyarrow.array(seqs)], names=["i", "seq"])
+    got = Counter()
+    for out in kernels.kmer_rows(iter([batch, batch.slice(3, 0)]), ["i"], k, canonical, schema):
+        for r in out.to_pylist():
+            got[r["i"], r["kmer"]] += r["n"]
+    assert got == wanted
+    table = spark.createDataFrame(list(enumerate(seqs)), "i bigint, seq string")
+    rows = tx.kmers(table, ["i"], k, canonical).groupBy("i", "kmer").agg(F.sum("n").alias("n")).collect()
+    assert {(r["i"], r["kmer"]): r["n"] for r in rows} == wanted
+
+
+def test_kmer_code_matches_the_kernel(spark):
+    table = spark.createDataFrame([("ACGTT",), ("TTTTT",), ("TTTTTTTTTTTTTTTTTTTTTTTTTTTTTTT",)], "kmer string")
+    assert [r[0] for r in table.select(tx.kmer_code("kmer")).collect()] == [
+        code("ACGTT", False), code("TTTTT", False), code("T" * 31, False)]
+
+
+@pytest.mark.parametrize("limit", [0, 1000])
+def test_screening(spark, monkeypatch, limit):
+    monkeypatch.setattr(tx, "BROADCAST_KMERS", limit)
+    table = spark.createDataFrame([(code("ACGT", True), 4), (code("AAAA", True), 5)], "kmer bigint, taxid int")
+    contigs = spark.createDataFrame([("s", 1, "ACGTACGT"), ("s", 2, "AAAAAA"), ("s", 3, "TTTTT"), ("s", 4, "CCCC")],
+                                    "sample string, rec_no bigint, seq string")
+    hits = tx.screen_kmers(contigs, table, 4)
+    assert as_tuples(hits, "rec_no", "taxid", "n") == [(1, 4, 2), (2, 5, 3), (3, 5, 2)]
+    assert ("BroadcastHashJoin" in plan_of(hits)) == bool(limit)
+
+
+def classify_by_hand(counts):
+    scores = {t: sum(counts.get(a, 0) for a in line(t)) for t in counts}
+    best = [t for t in scores if scores[t] == max(scores.values())]
+    shared = [a for a in line(best[0]) if all(a in line(t) for t in best)]
+    return shared[-1], max(scores.values())
+
+
+def test_classification_against_trying_each_path(spark, taxa):
+    rng = random.Random(8)
+    counts = {i: {t: rng.randint(1, 3) for t in rng.sample(sorted(TREE), rng.randint(1, 4))} for i in range(80)}
+    counts[100] = {6: 1, 5: 1, 2: 3}
+    hits = spark.createDataFrame([("s", i, t, n) for i, c in counts.items() for t, n in c.items()],
+                                 "sample string, rec_no bigint, taxid int, n bigint")
+    every = spark.createDataFrame([("s", i) for i in [*counts, 999]], "sample string, rec_no bigint")
+    got = {r["rec_no"]: (r["taxid"], r["score"]) for r in tx.classify_contigs(hits, taxa, every).collect()}
+    assert got == {**{i: classify_by_hand(c) for i, c in counts.items()}, 999: (0, 0)}
+
+
+def test_report_and_removals(spark, taxa):
+    rows = [("s", "/p", "c1", 6), ("s", "/p", "c2", 4), ("s", "/p", "c3", 7), ("s", "/p", "c4", 0), ("s", "/p", "c5", 1),
+            ("t", "/q", "c1", 5)]
+    classified = spark.createDataFrame(rows, "sample string, path string, contig_id string, taxid int")
+    report = tx.taxonomy_report(classified, taxa)
+    assert as_tuples(report, "sample", "taxid", "direct", "clade", "pct", "name") == [
+        ("s", 0, 1, 1, 20.0, "unclassified"), ("s", 1, 1, 4, 80.0, "t1"), ("s", 2, 0, 2, 40.0, "t2"), ("s", 3, 0, 1, 20.0, "t3"),
+        ("s", 4, 1, 2, 40.0, "t4"), ("s", 6, 1, 1, 20.0, "t6"), ("s", 7, 1, 1, 20.0, "t7"),
+        ("t", 1, 0, 1, 100.0, "t1"), ("t", 2, 0, 1, 100.0, "t2"), ("t", 5, 1, 1, 100.0, "t5")]
+    assert as_tuples(tx.contaminants_to_removals(classified, taxa, 4), "path", "contig_id") == [("/p", "c3"), ("/q", "c1")]
