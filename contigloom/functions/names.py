@@ -90,6 +90,11 @@ def format_duration(seconds) -> Column:
     return F.format_string("%02d:%02d:%02d", hours, minutes, s % 60)
 
 
+def timestamp_text(epoch_seconds) -> Column:
+    """``YYYY-MM-DD HH:MM:SS`` in the session's time zone."""
+    return F.from_unixtime(_col(epoch_seconds), "yyyy-MM-dd HH:mm:ss")
+
+
 def natural_key(name) -> Column:
     """Sort key that puts s2 before s10.
 

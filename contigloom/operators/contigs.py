@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contigloom.functions import bases, names
-from contigloom.session import BROADCAST_ROWS, broadcast_if_small, rows_up_to, settle
+from contigloom.session import BROADCAST_ROWS, broadcast_if_small, fits_broadcast, settle
 
 # Length thresholds of the usual assembly report.
 LENGTH_THRESHOLDS = (1000, 5000, 10000, 25000, 50000)
@@ -58,11 +58,11 @@ def filter_contigs(contigs: DataFrame, min_cov: float = 10, min_len: int = 500,
     """
     measured = with_measures(contigs)
     fallback = settle(samples_without_survivor(measured, min_cov, min_len))
-    count = rows_up_to(fallback, broadcast_rows)
+    small, count = fits_broadcast(fallback, broadcast_rows)
     kept = measured.filter(passes(min_cov, min_len)).withColumn("used_fallback", F.lit(False))
     if count == 0:
         return kept
-    if count <= broadcast_rows:
+    if small:
         marked = fallback.withColumn("used_fallback", F.lit(True))
         joined = measured.join(F.broadcast(marked), "sample", "left")
         return (joined.withColumn("used_fallback", F.coalesce("used_fallback", F.lit(False)))
@@ -84,11 +84,8 @@ def remove_contigs(contigs: DataFrame, removals: DataFrame,
     dropped = removals.select("path", "contig_id").filter("contig_id is not null").distinct()
     ids = contigs if "contig_id" in contigs.columns else (
         contigs.withColumn("contig_id", names.contig_id("header")))
-    small = rows_up_to(removals.select("path", "contig_id"), broadcast_rows) <= broadcast_rows
-    if small:
-        listed, dropped = F.broadcast(listed), F.broadcast(dropped)
-    return (ids.join(listed, "path", "left_semi")
-            .join(dropped, ["path", "contig_id"], "left_anti")
+    return (ids.join(broadcast_if_small(listed, broadcast_rows), "path", "left_semi")
+            .join(broadcast_if_small(dropped, broadcast_rows), ["path", "contig_id"], "left_anti")
             .select(contigs.columns))
 
 
@@ -139,32 +136,25 @@ def stats_of_counts(counts: DataFrame, keys: list[str], ref_len: int | None = No
     number of contigs needed for that; N90/L90 likewise. NG50 takes half of ``ref_len`` instead.
     """
     rows = running_length(counts, keys)
-    length, n = F.col("length"), F.col("n")
 
-    def nx(percent: int, total: str) -> Column:
-        return F.expr(f"max(case when cum_bases * 100 >= {total} * {percent} then length end)")
+    def nx(percent: int, total: str) -> str:
+        return f"max(case when cum_bases * 100 >= {total} * {percent} then length end)"
 
-    def lx(percent: int, total: str) -> Column:
+    def lx(percent: int, total: str) -> str:
         # Contigs of one length share a row: those past the mark do not count.
         spare = f"least((cum_bases * 100 - {total} * {percent}) div nullif(length * 100, 0), n - 1)"
-        return F.expr(
-            f"min(case when cum_bases * 100 >= {total} * {percent} then cum_contigs - {spare} end)")
+        return f"min(case when cum_bases * 100 >= {total} * {percent} then cum_contigs - {spare} end)"
 
     total = "total_bases"
     columns = [
-        F.sum("n").alias("n_contigs"),
-        F.max("total_bases").alias("total_length"),
-        F.max("length").alias("largest"),
-        nx(50, total).alias("n50"), lx(50, total).alias("l50"),
-        nx(90, total).alias("n90"), lx(90, total).alias("l90"),
-        F.sum("gc").alias("gc_bases"),
-        F.sum("unknown").alias("n_bases"),
+        "sum(n) as n_contigs", "max(total_bases) as total_length", "max(length) as largest",
+        f"{nx(50, total)} as n50", f"{lx(50, total)} as l50", f"{nx(90, total)} as n90", f"{lx(90, total)} as l90",
+        "sum(gc) as gc_bases", "sum(unknown) as n_bases",
     ]
-    columns += [F.coalesce(F.sum(F.when(length >= t, n)), F.lit(0)).cast("long").alias(f"contigs_ge_{t}")
-                for t in LENGTH_THRESHOLDS]
+    columns += [f"coalesce(sum(case when length >= {t} then n end), 0L) as contigs_ge_{t}" for t in LENGTH_THRESHOLDS]
     if ref_len is not None:
-        columns.append(nx(50, str(int(ref_len))).alias("ng50"))
-    return (rows.groupBy(*keys).agg(*columns)
+        columns.append(f"{nx(50, str(int(ref_len)))} as ng50")
+    return (rows.groupBy(*keys).agg(*[F.expr(c) for c in columns])
             .withColumn("gc_pct", bases.rate(F.col("gc_bases") * 100, "total_length", 2))
             .withColumn("n_per_100kbp", bases.rate(F.col("n_bases") * 100000, "total_length", 2)))
 
@@ -181,9 +171,7 @@ def compare_before_after(metrics: DataFrame, columns: list[str]) -> DataFrame:
 
     ``metrics`` has one row per sample and stage. One shuffle, on sample.
     """
-    def at(stage: str, c: str) -> Column:
-        return F.max(F.when(F.col("stage") == stage, F.col(c)))
-
-    sides = [at(stage, c).alias(f"{c}_{stage}") for c in columns for stage in ("before", "after")]
+    sides = [F.expr(f"max(case when stage = '{stage}' then `{c}` end) as `{c}_{stage}`")
+             for c in columns for stage in ("before", "after")]
     wide = metrics.groupBy("sample").agg(*sides)
-    return wide.withColumns({f"{c}_delta": F.col(f"{c}_after") - F.col(f"{c}_before") for c in columns})
+    return wide.selectExpr("*", *[f"`{c}_after` - `{c}_before` as `{c}_delta`" for c in columns])

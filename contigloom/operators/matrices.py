@@ -42,5 +42,6 @@ def merge_amr_matrices(amr_long: DataFrame, columns: list[str] | None = None) ->
     """Wide merged matrix, one row per sample of any file; samples and columns without a value stay."""
     columns = matrix_columns(amr_long) if columns is None else columns
     cells = merge_amr_cells(amr_long)
+    # A conditional maximum per column: one shuffle on the sample, where a pivot takes two.
     wide = [F.max(F.when(F.col("drug_class") == c, F.col("value"))).alias(c) for c in columns]
     return cells.groupBy("sample").agg(*wide)

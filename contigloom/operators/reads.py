@@ -57,15 +57,16 @@ def read_passes(q: int = 15, u: float = 40, e: float = 0, l: int = 15) -> Column
     return F.coalesce(good, F.lit(False))
 
 
-def filter_reads(reads: DataFrame, q: int = 15, u: float = 40, e: float = 0, l: int = 15) -> DataFrame:
-    """Reads of the pairs whose mates all pass.
+def filter_reads(reads: DataFrame, q: int = 15, u: float = 40, e: float = 0, l: int = 15,
+                 pair: str = "read_no") -> DataFrame:
+    """Reads of the pairs whose mates all pass; ``pair`` names a pair within a sample.
 
     One shuffle, on the pair. A read that fails itself goes through it without its letters.
     """
     flagged = reads.withColumn("_pass", read_passes(q, u, e, l))
     light = flagged.withColumns({c: F.when(F.col("_pass"), F.col(c)) for c in ("seq", "qual")})
-    pair = Window.partitionBy("sample", "read_no")
-    return (light.withColumn("_pair", F.min("_pass").over(pair))
+    mates = Window.partitionBy("sample", pair)
+    return (light.withColumn("_pair", F.min("_pass").over(mates))
             .filter(F.col("_pair")).select(reads.columns))
 
 

@@ -16,13 +16,13 @@ from contigloom.schemas import FAIL, OK, OPTIONAL_TOOLS, PENDING, SKIPPED, STAGE
 def expand_sample_steps(samples: DataFrame, steps: list[str] = STEPS) -> DataFrame:
     """Every sample with every step, pending."""
     return samples.select(
-        "sample", F.explode(F.array(*[F.lit(s) for s in steps])).alias("step"),
+        "sample", F.explode(F.lit(list(steps))).alias("step"),
         F.lit(PENDING).alias("status"))
 
 
 def known_steps(skip: DataFrame) -> DataFrame:
     """Requested names that are steps, spelled as the steps are; at most sixteen rows."""
-    spelled = F.create_map(*[x for s in STEPS for x in (F.lit(s.upper()), F.lit(s))])
+    spelled = F.expr("map(" + ", ".join(f"'{s.upper()}', '{s}'" for s in STEPS) + ")")
     return (skip.select(F.try_element_at(spelled, F.upper("name")).alias("step"))
             .filter("step is not null").distinct())
 
@@ -56,8 +56,7 @@ def upsert_status(status: DataFrame, updates: DataFrame) -> DataFrame:
 
 def status_matrix(status: DataFrame) -> DataFrame:
     """One row per sample, one column per step; a cell without a row is pending."""
-    cells = [F.coalesce(F.max(F.when(F.col("step") == s, F.col("status"))), F.lit(PENDING)).alias(s)
-             for s in STEPS]
+    cells = [F.expr(f"coalesce(max(case when step = '{s}' then status end), '{PENDING}') as `{s}`") for s in STEPS]
     return status.groupBy(F.col("sample").alias("Sample")).agg(*cells)
 
 
@@ -82,7 +81,7 @@ def done(status: str = "status") -> Column:
 def last_incomplete_step(status: DataFrame) -> DataFrame:
     """Per sample the latest step that is neither OK nor skipped; NULL when none is left."""
     finished = F.collect_set(F.when(done(), F.col("step")))  # at most sixteen names
-    latest_first = F.array(*[F.lit(s) for s in reversed(STEPS)])
+    latest_first = F.expr("array(" + ", ".join(f"'{s}'" for s in reversed(STEPS)) + ")")
     return (status.groupBy("sample").agg(finished.alias("_done"))
             .select("sample", F.get(F.array_except(latest_first, F.col("_done")), F.lit(0)).alias("step")))
 
@@ -90,8 +89,9 @@ def last_incomplete_step(status: DataFrame) -> DataFrame:
 def stage_progress(status: DataFrame) -> DataFrame:
     """Per counted stage: samples with any step neither pending nor skipped, and all samples."""
     active = ~F.col("status").isin(PENDING, SKIPPED)
-    per_sample = status.groupBy("sample").agg(*[
-        F.max(active & F.col("step").isin(steps)).alias(f"s{stage}") for stage, steps in STAGES.items()])
+    seen = status.withColumn("_active", active)
+    per_sample = seen.groupBy("sample").agg(*[
+        F.max(F.col("_active") & F.col("step").isin(steps)).alias(f"s{stage}") for stage, steps in STAGES.items()])
     totals = per_sample.agg(F.count("*").alias("n_total"),
                             *[F.count_if(f"s{stage}").alias(f"s{stage}") for stage in STAGES])
     rows = F.explode(F.array(*[

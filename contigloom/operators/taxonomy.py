@@ -62,6 +62,7 @@ def lineages(taxonomy: DataFrame) -> DataFrame:
     is a root, as one without a parent is. For taxonomies of more than a million taxa set
     ``spark.sql.cteRecursionRowLimit``.
     """
+    nodes = settle(taxonomy.select("taxid", "parent_taxid", "name"))  # every level reads it again
     return settle(taxonomy.sparkSession.sql("""
         with recursive tree(taxid, name, lineage) as (
             select cast(taxid as int), name, array(cast(taxid as int)) from {taxonomy}
@@ -69,7 +70,7 @@ def lineages(taxonomy: DataFrame) -> DataFrame:
             union all
             select cast(c.taxid as int), c.name, array_append(p.lineage, cast(c.taxid as int))
             from {taxonomy} c join tree p on c.parent_taxid = p.taxid where c.parent_taxid <> c.taxid)
-        select taxid, name, lineage from tree""", taxonomy=taxonomy))
+        select taxid, name, lineage from tree""", taxonomy=nodes))
 
 
 def classify_contigs(kmer_hits: DataFrame, taxa: DataFrame, contigs: DataFrame | None = None,

@@ -81,14 +81,12 @@ def read_fasta(spark, sf):
 @query
 def read_fastq(spark, sf):
     out = scratch_dir(spark, "fastq")
-    reads = views(spark, sf)("reads_v")
-    record = F.concat(F.lit("@"), "sample", F.lit("."), "read_no", F.lit("/"), "mate", F.lit("\n"), "seq",
-                      F.lit("\n+\n"), "qual")
-    (reads.select("sample", "mate", "read_no", record.alias("value"))
-     .repartitionByRange("sample", "mate", "read_no").sortWithinPartitions("sample", "mate", "read_no")
-     .drop("read_no").write.partitionBy("sample", "mate").text(out))
-    files = (spark.read.format("binaryFile").load(out)
-             .select("path", "length", "sample", "mate"))
+    reads = views(spark, sf)("reads_v").withColumn("read_id", F.concat("sample", F.lit("."), "read_no"))
+    for mate, compression in ((1, "gzip"), (2, "none")):
+        sinks.write_fastq(reads.filter(F.col("mate") == mate), out, "append", compression)
+    files = spark.read.format("binaryFile").load(out).select(
+        "path", "length", F.regexp_extract("file", "^(.*)_trimmed_R[12]", 1).alias("sample"),
+        F.regexp_extract("file", "_trimmed_R([12])", 1).cast("int").alias("mate"))
     return fastq.read_fastq(spark, files).select("sample", "mate", "read_id", "seq", "qual")
 
 

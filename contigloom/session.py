@@ -9,7 +9,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# A side of a join is broadcast up to this many rows and bytes (as JSON text).
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -43,14 +45,16 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def rows_up_to(df: DataFrame, limit: int) -> int:
-    """The number of rows, counted no further than ``limit + 1``."""
-    return df.limit(limit + 1).count()
+def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> tuple[bool, int]:
+    """Whether ``df`` is measured to be small, and its rows, counted no further than ``limit + 1``."""
+    size = df.limit(limit + 1).agg(
+        F.count("*").alias("n"), F.expr("coalesce(sum(length(to_json(struct(*)))), 0)").alias("size")).first()
+    return size["n"] <= limit and size["size"] <= BROADCAST_BYTES, size["n"]
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast when ``df`` is counted to hold at most ``limit`` rows.
+    """Hint a broadcast when ``df`` is measured to be small.
 
     A larger side comes back as it is, and the join shuffles both sides on its keys.
     """
-    return F.broadcast(df) if rows_up_to(df, limit) <= limit else df
+    return F.broadcast(df) if fits_broadcast(df, limit)[0] else df

@@ -137,6 +137,8 @@ def _spread(ranges: DataFrame) -> DataFrame:
 def read_fastq(spark: SparkSession, read_files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Reads of ``read_files(sample, mate, path, length)``, numbered from 0 along each file.
 
+    Where a mate comes in several files (parts Spark wrote), numbers repeat: pair by ``read_id`` then.
+
     Plain files are read in byte ranges. To number their reads, ranges of files that have several are
     counted first. A gzip file cannot be split and is one task.
     """

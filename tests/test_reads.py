@@ -160,3 +160,29 @@ def test_tail_lines_limits_before_the_shuffle(spark):
     tail = pa.tail_lines(lines, 3)
     assert as_tuples(tail, "line_no") == [(34,), (35,), (36,), (37,), (38,), (39,)]
     assert "WindowGroupLimit" in plan_of(tail)
+
+
+def test_timestamp_text(spark):
+    table = spark.createDataFrame([(90061,)], "s bigint")
+    from contigloom.functions import names
+    assert table.select(names.timestamp_text("s")).collect()[0][0] == "1970-01-02 01:01:01"
+
+
+def test_fastq_round_trip_keeps_pairs_in_step(spark, tmp_path):
+    import os
+
+    from contigloom.sinks import files as sinks
+    from contigloom.sources import fastq
+    rows = [r for r in reads_of(random.Random(2), 90) if r[3]]
+    table = spark.createDataFrame(rows, COLUMNS).repartition(5)
+    sinks.write_fastq(table, str(tmp_path / "out"))
+    found = []
+    for folder, _, names in os.walk(tmp_path / "out"):
+        for n in names:
+            if n.startswith("part"):
+                assert n.endswith(".gz")
+                stem = folder.rsplit("file=", 1)[1]
+                found.append((stem[:2], int(stem[-7]), f"{folder}/{n}", os.path.getsize(f"{folder}/{n}")))
+    files = spark.createDataFrame(found, "sample string, mate int, path string, length bigint")
+    got = fastq.read_fastq(spark, files)
+    assert as_tuples(got, "sample", "mate", "read_id", "seq", "qual") == sorted((r[0], r[1], str(r[2]), r[3], r[4]) for r in rows)
