@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 # How many bases a kernel holds as integers at a time.
-SLICE_BASES = 4_000_000
+SLICE_BASES = 1_000_000
 
 NOT_A_BASE = 4
 CODE_OF_LETTER = np.full(256, NOT_A_BASE, dtype=np.int64)
@@ -138,21 +138,51 @@ def cycle_sums(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator
 
 
 def _kmer_codes(letters: np.ndarray, k: int, canonical: bool) -> tuple[np.ndarray, np.ndarray]:
-    """2-bit code of every k-letter window, and whether all its letters are bases."""
+    """2-bit code of every k-letter window, and whether all its letters are bases.
+
+    Codes of 1, 2, 4, ... letters are joined to k letters, so the work grows with log k.
+    """
     codes = CODE_OF_LETTER[letters]
     bad = np.concatenate([[0], np.cumsum(codes == NOT_A_BASE)])
     n = len(codes) - k + 1
     clean = bad[k:] == bad[:n]
-    forward = np.zeros(n, dtype=np.int64)
-    reverse = np.zeros(n, dtype=np.int64)
-    for j in range(k):
-        letter = codes[j:j + n] & 3
-        forward |= letter << (2 * (k - 1 - j))
-        if canonical:
-            reverse |= (3 - letter) << (2 * j)
+    part, part_rc, size = codes & 3, 3 - (codes & 3), 1
+    forward, reverse, have = part, part_rc, 0
+    while have < k:
+        if k & size:
+            starts = len(part) - have
+            if have:
+                forward = (forward[:starts] << (2 * size)) | part[have:]
+                if canonical:
+                    reverse = (part_rc[have:] << (2 * have)) | reverse[:starts]
+            else:
+                forward, reverse = part, part_rc
+            have += size
+        starts = len(part) - size
+        if have < k:
+            part = (part[:starts] << (2 * size)) | part[size:]
+            if canonical:
+                part_rc = (part_rc[size:] << (2 * size)) | part_rc[:starts]
+            size *= 2
     return (np.minimum(forward, reverse) if canonical else forward), clean
 
 
+def _count_pairs(row: np.ndarray, codes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (row, code) pairs, in order, and how often each occurs. ``row`` is not decreasing."""
+    near = row - row[0]
+    if 2 * k + int(near[-1]).bit_length() <= 62:
+        pair = np.sort((near << (2 * k)) | codes)
+        first = np.flatnonzero(np.concatenate([[True], np.diff(pair) != 0]))
+        pair, end = pair[first], len(pair)
+        row, codes = (pair >> (2 * k)) + row[0], pair & ((1 << (2 * k)) - 1)
+    else:
+        order = np.lexsort((codes, row))
+        row, codes = row[order], codes[order]
+        first = np.flatnonzero(np.concatenate([[True], (np.diff(row) != 0) | (np.diff(codes) != 0)]))
+        row, codes, end = row[first], codes[first], len(order)
+    return row, codes, np.diff(np.concatenate([first, [end]]))
+
+
 def _slices(starts: np.ndarray, k: int) -> Iterator[tuple[int, int]]:
     """Byte ranges of at most SLICE_BASES windows that together hold every window once."""
     size = int(starts[-1])
@@ -176,13 +206,10 @@ def kmer_rows(batches: Iterator[pa.RecordBatch], keys: list[str], k: int, canoni
             row, codes = row[keep], codes[keep]
             if not len(codes):
                 continue
-            order = np.lexsort((codes, row))
-            row, codes = row[order], codes[order]
-            first = np.flatnonzero(np.concatenate([[True], (np.diff(row) != 0) | (np.diff(codes) != 0)]))
-            n = np.diff(np.concatenate([first, [len(codes)]]))
-            taken = pa.array(row[first], pa.int64())
+            row, codes, n = _count_pairs(row, codes, k)
+            taken = pa.array(row, pa.int64())
             columns = [batch.column(key).take(taken) for key in keys]
-            columns += [pa.array(codes[first], pa.int64()), pa.array(n, pa.int64())]
+            columns += [pa.array(codes, pa.int64()), pa.array(n, pa.int64())]
             out = pa.RecordBatch.from_arrays(columns, schema=schema)
             for i in range(0, out.num_rows, 100_000):
                 yield out.slice(i, 100_000)

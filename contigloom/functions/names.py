@@ -19,7 +19,7 @@ def _col(c) -> Column:
 
 
 def base_name(path) -> Column:
-    return F.element_at(F.split(_col(path), "/"), -1)
+    return F.substring_index(_col(path), "/", -1)
 
 
 def stem(path) -> Column:
@@ -66,7 +66,8 @@ def contig_length(seq) -> Column:
 
 
 def na_fill(cell) -> Column:
-    return F.coalesce(F.nullif(_col(cell), F.lit("")), F.lit("NA"))
+    """The cell, or ``NA`` if it is empty or NULL; written so that ``cell`` is computed once."""
+    return F.coalesce(F.regexp_replace(_col(cell), "^$", "NA"), F.lit("NA"))
 
 
 def stage_tag(name) -> Column:
