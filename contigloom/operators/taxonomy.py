@@ -120,7 +120,8 @@ def taxonomy_report(classified: DataFrame, taxa: DataFrame) -> DataFrame:
     """
     direct = classified.groupBy("sample", "taxid").agg(F.count("*").alias("n"))
     lineage = F.coalesce("lineage", F.array(F.col("taxid")))
-    placed = (direct.join(broadcast_if_small(taxa.select("taxid", "lineage")), "taxid", "left")
+    taxa = broadcast_if_small(taxa)
+    placed = (direct.join(taxa.select("taxid", "lineage"), "taxid", "left")
               .select("sample", "taxid", "n", F.explode(lineage).alias("ancestor")))
     own = F.when(F.col("ancestor") == F.col("taxid"), F.col("n")).otherwise(0)
     clades = (placed.select("sample", "ancestor", "n", own.alias("own")).groupBy("sample", "ancestor")
@@ -128,8 +129,7 @@ def taxonomy_report(classified: DataFrame, taxa: DataFrame) -> DataFrame:
               .withColumnRenamed("ancestor", "taxid"))
     # At most one row per taxon in a sample.
     total = F.sum("direct").over(Window.partitionBy("sample"))
-    named = clades.withColumn("total", total).join(
-        broadcast_if_small(taxa.select("taxid", "name")), "taxid", "left")
+    named = clades.withColumn("total", total).join(taxa.select("taxid", "name"), "taxid", "left")
     return named.select("sample", "taxid", F.coalesce("name", F.lit("unclassified")).alias("name"), "direct",
                         "clade", F.round(F.col("clade") * 100 / F.col("total"), 2).alias("pct"))
 

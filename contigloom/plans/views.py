@@ -98,14 +98,21 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    tables = {t: table(spark, folder, t) for t in TABLES[name]}
-    tables = {t: spread(df) if t in HEAVY else df for t, df in tables.items()}
-    return spark.sql(SPARK_VIEWS[name], **tables)
+def views(spark: SparkSession, folder: str) -> Callable[[str], DataFrame]:
+    """A function from the name of a view to its DataFrame. The files of a table are looked up once."""
+    opened: dict[str, DataFrame] = {}
 
+    def source(t: str) -> DataFrame:
+        if t not in opened:
+            df = table(spark, folder, t)
+            opened[t] = spread(df) if t in HEAVY else df
+        return opened[t]
 
-def views(spark: SparkSession, folder: str) -> Callable[[str], DataFrame]:
-    return lambda name: view(spark, folder, name)
+    return lambda name: spark.sql(SPARK_VIEWS[name], **{t: source(t) for t in TABLES[name]})
+
+
+def view(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return views(spark, folder)(name)
 
 
 def duckdb_with(sql: str) -> str:

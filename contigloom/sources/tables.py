@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contigloom.schemas import GENE_HITS, STEPS
-from contigloom.sources.text import record_order
+from contigloom.sources.text import record_order, source_path
 
 TSV = {"sep": "\t", "quote": "", "escape": "\x00"}
 
@@ -102,7 +102,7 @@ def read_tool_report(spark: SparkSession, root: str, tool: str) -> DataFrame:
 def _report(spark: SparkSession, path: str, spec: dict) -> DataFrame:
     table = (spark.read.schema(spec["schema"])
              .options(**TSV, header=spec["header"], ignoreTrailingWhiteSpace=True).csv(path))
-    file = F.col("_metadata.file_path")
+    file = source_path()
     found = F.regexp_extract(file, spec["stage"], 1)
     stage = F.when(found.isin("after", "_filtered"), "after").otherwise("before")
     if spec["sample"] is None:

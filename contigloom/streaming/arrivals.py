@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contigloom.operators.contigs import filter_contigs, with_measures
-from contigloom.sources.text import ROW_IN_PARTITION, fasta_records, without_preamble
+from contigloom.sources.text import ROW_IN_PARTITION, fasta_records, source_path, without_preamble
 
 
 def incremental_filter(spark: SparkSession, source: str, out: str, checkpoint: str,
@@ -17,7 +17,7 @@ def incremental_filter(spark: SparkSession, source: str, out: str, checkpoint: s
     so a sample's fallback is decided on all of its contigs. A repeated batch replaces its folder.
     """
     lines = (spark.readStream.option("lineSep", "\n>").text(source)
-             .select("value", F.col("_metadata.file_path").alias("path"),
+             .select("value", source_path().alias("path"),
                      F.col("_metadata.file_block_start").alias("block")))
 
     def process(batch: DataFrame, number: int) -> None:
