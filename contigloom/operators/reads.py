@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 
 from contigloom.functions import bases, kernels
 
-CYCLE_COLUMNS = ("sample string, mate int, pos int, n bigint, sum_q bigint, "
-                 "n_a bigint, n_c bigint, n_g bigint, n_t bigint, n_other bigint")
-
 
 def _by_slices(kernel, qual: pa.Array) -> pa.Array:
     parts = [kernel(qual.slice(a, b - a)) for a, b in kernels.row_slices(qual)]
@@ -99,18 +96,18 @@ def qc_before_and_after(reads: DataFrame, trimmed: DataFrame) -> DataFrame:
 def per_cycle_quality(reads: DataFrame) -> DataFrame:
     """Mean quality and base counts per sample, mate and position in the read.
 
-    Each Arrow batch is summed per position before anything is shuffled, so the shuffle carries
-    positions, not bases.
+    Bases are taken from bytes, whose positions need no search, and summed per position inside each
+    task; the shuffle carries positions, not bases.
     """
-    def sums(batches):
-        text, whole, small = pa.string(), pa.int64(), pa.int32()
-        schema = pa.schema([("sample", text), ("mate", small), ("pos", small), ("n", whole),
-                            ("sum_q", whole), ("n_a", whole), ("n_c", whole), ("n_g", whole),
-                            ("n_t", whole), ("n_other", whole)])
-        return kernels.cycle_sums(batches, schema)
-
-    narrow = reads.select(F.col("sample"), F.col("mate").cast("int").alias("mate"), "seq", "qual")
-    partial = narrow.mapInArrow(sums, CYCLE_COLUMNS)
-    counted = ["n", "sum_q", "n_a", "n_c", "n_g", "n_t", "n_other"]
-    return (partial.groupBy("sample", "mate", "pos").agg(*[F.sum(c).alias(c) for c in counted])
-            .withColumn("mean_q", bases.rate("sum_q", "n")))
+    message = F.lit("sequence and quality of a read differ in length")
+    checked = reads.filter(F.length("seq") > 0).filter(
+        F.when(F.length("seq") != F.length("qual"), F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+    letters = checked.select("sample", "mate", F.upper("seq").cast("binary").alias("s"), F.col("qual").cast("binary").alias("q"))
+    cells = (letters.select("sample", "mate", "s", "q", F.explode(F.expr("sequence(1, length(s))")).alias("pos"))
+             .selectExpr("sample", "mate", "pos", "substring(s, pos, 1) as base",
+                         "ascii(cast(substring(q, pos, 1) as string)) - 33 as score"))
+    bases_of = {"n_a": "41", "n_c": "43", "n_g": "47", "n_t": "54"}
+    sums = ["count(*) as n", "sum(score) as sum_q"]
+    sums += [f"count_if(base = X'{code}') as {name}" for name, code in bases_of.items()]
+    return (cells.groupBy("sample", "mate", "pos").agg(*[F.expr(e) for e in sums])
+            .withColumns({"n_other": F.expr("n - n_a - n_c - n_g - n_t"), "mean_q": bases.rate("sum_q", "n")}))

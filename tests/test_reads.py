@@ -82,32 +82,20 @@ def test_read_qc_stats(spark):
     assert one["mean_length"] == 3.0 and rows[2]["q20_rate"] is None
 
 
-@pytest.mark.parametrize("slice_bases", [1, 50, 4_000_000])
-def test_per_cycle_quality_against_counting(spark, monkeypatch, slice_bases):
-    rows = reads_of(random.Random(4), 40)
-    import pyarrow
-    batch = pyarrow.RecordBatch.from_arrays(
-        [pyarrow.array([r[0] for r in rows]), pyarrow.array([r[1] for r in rows], pyarrow.int32()),
-         pyarrow.array([r[3] for r in rows]), pyarrow.array([r[4] for r in rows])], names=["sample", "mate", "seq", "qual"])
+def test_per_cycle_quality_against_counting(spark):
+    rows = reads_of(random.Random(4), 40) + [("s0", 1, 900, "acgn", "IIII")]
     wanted = {}
     for s, m, _, seq, qual in rows:
-        for i, (b, q) in enumerate(zip(seq, qual), 1):
-            cell = wanted.setdefault((s, m, i), [0, 0, 0])
+        for i, (b, q) in enumerate(zip(seq.upper(), qual), 1):
+            cell = wanted.setdefault((s, m, i), [0, 0, 0, 0])
             cell[0] += 1
             cell[1] += ord(q) - 33
             cell[2] += b == "N"
-    monkeypatch.setattr(kernels, "SLICE_BASES", slice_bases)
-    fields = [("sample", pyarrow.string()), ("mate", pyarrow.int32()), ("pos", pyarrow.int32())]
-    fields += [(c, pyarrow.int64()) for c in ("n", "sum_q", "n_a", "n_c", "n_g", "n_t", "n_other")]
-    sums = {}
-    for out in kernels.cycle_sums(iter([batch]), pyarrow.schema(fields)):
-        for r in out.to_pylist():
-            cell = sums.setdefault((r["sample"], r["mate"], r["pos"]), [0, 0, 0])
-            for i, c in enumerate(("n", "sum_q", "n_other")):
-                cell[i] += r[c]
-    assert sums == wanted
-    got = re.per_cycle_quality(spark.createDataFrame(rows, COLUMNS)).collect()
-    assert {(r["sample"], r["mate"], r["pos"]): [r["n"], r["sum_q"], r["n_other"]] for r in got} == wanted
+            cell[3] += b == "G"
+    got = re.per_cycle_quality(spark.createDataFrame(rows, COLUMNS))
+    assert {(r["sample"], r["mate"], r["pos"]): [r["n"], r["sum_q"], r["n_other"], r["n_g"]] for r in got.collect()} == wanted
+    assert "WholeStageCodegen" in got._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen"))
 
 
 def test_unequal_lengths_are_an_error(spark):
