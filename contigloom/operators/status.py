@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from contigloom.operators.pairs import tail_lines
 from contigloom.schemas import FAIL, OK, OPTIONAL_TOOLS, PENDING, SKIPPED, STAGES, STEPS
+from contigloom.session import fits_broadcast
 
 
 def expand_sample_steps(samples: DataFrame, steps: list[str] = STEPS) -> DataFrame:
@@ -138,12 +139,16 @@ def error_digest(status: DataFrame, log_lines: DataFrame, n: int = 5) -> DataFra
     """For each failed step the last ``n`` lines of its log.
 
     ``log_path`` is matched to ``log_lines.file``. When it is no log file, it is the message itself and
-    gives one row with ``line_no`` NULL.
+    gives one row with ``line_no`` NULL. Unless few logs are wanted, which a broadcast picks out, lines are
+    cut to ``n`` per log before any join, so a huge log is never shuffled.
     """
     failed = status.filter((F.col("status") == FAIL) & (F.col("log_path") != "")).select(
         "sample", "step", "log_path")
     logs = failed.select(F.col("log_path").alias("file")).distinct()
-    tails = tail_lines(log_lines.join(logs, "file", "left_semi").select("file", "line_no", "line"), n)
+    lines = log_lines.select("file", "line_no", "line")
+    if fits_broadcast(logs)[0]:
+        lines = lines.join(F.broadcast(logs), "file", "left_semi")
+    tails = tail_lines(lines, n)
     joined = failed.join(tails, failed["log_path"] == tails["file"], "left")
     return joined.select("sample", "step", "line_no",
                          F.when(F.col("file").isNull(), F.col("log_path")).otherwise(F.col("line")).alias("line"))

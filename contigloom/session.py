@@ -8,8 +8,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A side of a join is broadcast up to this many rows and bytes (as JSON text).
+# A side of a join is broadcast up to this many rows and bytes.
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 256 * 1024 * 1024
 
@@ -45,11 +46,25 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def _bytes_of(field: T.StructField) -> str:
+    """SQL for about how many bytes a value of the column takes."""
+    if isinstance(field.dataType, T.StringType):
+        return f"coalesce(octet_length(`{field.name}`), 0) + 8"
+    if isinstance(field.dataType, T.ArrayType) and not isinstance(field.dataType.elementType, T.StringType):
+        return f"coalesce(size(`{field.name}`), 0) * 8 + 8"
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return f"coalesce(length(to_json(struct(`{field.name}`))), 0)"
+    return "8"
+
+
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> tuple[bool, int]:
-    """Whether ``df`` is measured to be small, and its rows, counted no further than ``limit + 1``."""
-    size = df.limit(limit + 1).agg(
-        F.count("*").alias("n"), F.expr("coalesce(sum(length(to_json(struct(*)))), 0)").alias("size")).first()
-    return size["n"] <= limit and size["size"] <= BROADCAST_BYTES, size["n"]
+    """Whether ``df`` is measured to be small, and its number of rows.
+
+    Rows and bytes are summed where the rows are; no row moves for it.
+    """
+    size = " + ".join(_bytes_of(f) for f in df.schema.fields)
+    found = df.agg(F.count("*").alias("n"), F.expr(f"coalesce(sum({size}), 0)").alias("size")).first()
+    return found["n"] <= limit and found["size"] <= BROADCAST_BYTES, found["n"]
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:

@@ -47,6 +47,12 @@ def test_read_run(spark, tmp_path):
         cohort.run_reads(spark, str(tmp_path / "in"), str(tmp_path / "out2"))
 
 
+def test_size_check(spark):
+    table = spark.createDataFrame([("a" * 100, [1, 2], None), (None, None, ["x"])], "s string, i array<int>, t array<string>")
+    assert session.fits_broadcast(table, 2) == (True, 2) and session.fits_broadcast(table, 1) == (False, 2)
+    assert session.fits_broadcast(table.limit(0), 0) == (True, 0)
+
+
 def test_nothing_fits_a_broadcast(spark, monkeypatch):
     """The shuffle paths give the same results as the broadcast ones."""
     nodes = spark.createDataFrame([(1, None, "r"), (2, 1, "a"), (3, 1, "b")], "taxid int, parent_taxid int, name string")

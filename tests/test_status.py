@@ -1,8 +1,10 @@
 import datetime
 
+import pytest
 from conftest import as_tuples
 from pyspark.sql import functions as F
 
+from contigloom import session
 from contigloom.functions import names
 from contigloom.operators import status as st
 from contigloom.schemas import STEPS
@@ -90,7 +92,9 @@ def test_failed_step_with_output_is_kept_unless_asked(spark):
         assert as_tuples(got.filter("step = 'FASTP'"), "decision") == [(wanted,)]
 
 
-def test_error_digest(spark):
+@pytest.mark.parametrize("size", [session.BROADCAST_BYTES, -1])
+def test_error_digest(spark, monkeypatch, size):
+    monkeypatch.setattr(session, "BROADCAST_BYTES", size)
     table = spark.createDataFrame([("a", "FASTP", "FAIL", "l1"), ("b", "FASTP", "FAIL", "went wrong"), ("c", "FASTP", "OK", "l1"),
                                    ("d", "GTDBTK-b", "FAIL", "l1")], "sample string, step string, status string, log_path string")
     lines = spark.createDataFrame([("l1", i, f"x{i}") for i in range(9)] + [("l2", 0, "y")], "file string, line_no bigint, line string")
