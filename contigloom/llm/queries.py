@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contigloom.llm import chats, extract, packing, private, quality, secrets, urls
+from contigloom.llm import chats, extract, leaks, near, packing, private, quality, repeats, secrets, urls
 from contigloom.llm.spans import digest, listed, plain
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,3 +108,19 @@ select conv_id, count(*) as n_turns,
       + 1 + length(replace(replace(text, '\', '\\'), '<|', '<\|')) + length('<|im_end|>') + 1)::bigint as formatted_chars
 from rows group by conv_id
 """
+
+
+@query
+def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near.near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op9_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
+    return leaks.leaked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op7_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    found = repeats.without_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))

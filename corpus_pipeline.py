@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contigloom.llm import quality
+from pyspark.sql import functions as F
+
+from contigloom.llm import leaks, near, packing, quality, secrets
+from contigloom.llm.queries import table, tokenizer_path
 from contigloom.session import scratch_dir
 
 
@@ -13,14 +16,38 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
-STAGES = [("quality", quality_stage)]
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays, the one with the smallest doc_id."""
+    return near.keep_one(docs)
+
+
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items go."""
+    return leaks.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by a mark; ``n_chars`` follows the text where it changed."""
+    found = secrets.scan(docs, secrets.train(secrets.findings(docs)))
+    clean = secrets.redacted(found.withColumn("changed_", F.size("spans_") > 0))
+    return clean.withColumn("n_chars", F.when(F.col("changed_"), F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in the training sequences."""
+    pieces = packing.tokenise(docs.select("doc_id", "text"), tokenizer_path())
+    return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
+STAGES = [("quality", quality_stage), ("near duplicates", near_duplicate_stage), ("benchmark", benchmark_stage),
+          ("secrets", secret_stage), ("packing", packing_stage)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is written as Parquet and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        path = scratch_dir(spark, f"pipeline-{name}")
+        path = scratch_dir(spark, f"pipeline-{name.replace(' ', '-')}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
