@@ -58,7 +58,7 @@ class Token(NamedTuple):
     sort: str  # key of its weight
     weight_words: int  # words, or 0 for a tag
     text: str  # raw text, or the tag's name
-    place: str  # "main", "apart" or ""
+    place: str  # "main", "apart" (never main text), "inner" (the same inside the marked main part: left out, scores 0) or ""
     breaks: bool  # ends a block
 
 
@@ -99,12 +99,14 @@ def tokens_of(page: str) -> list[Token]:
             continue
         if m[1]:
             depth = next((i for i in range(len(open_) - 1, -1, -1) if open_[i][0] == name), None)
-            out.append(Token(f"tag:/{name if name in BLOCKS or name in INLINE else 'other'}", 0, name, where(), name in BLOCKS))
+            out.append(Token(f"tag:/{name if name in BLOCKS or name in INLINE else 'other'}:{where() if where() in ('apart', 'inner') else ''}", 0, name, where(), name in BLOCKS))
             # an end tag closes inline elements and paragraphs left open in it, but no enclosing section
             if depth is not None and not (name in INLINE and any(e in BLOCKS for e, _ in open_[depth + 1:])):
                 del open_[depth:]
             continue
-        out.append(Token(f"tag:{name if name in BLOCKS or name in INLINE else 'other'}:{'apart' if _apart(name, m[3]) else ''}", 0, name, where(), name in BLOCKS))
+        apart = where() in ("apart", "inner") or _apart(name, m[3])
+        side = "inner" if apart and where() in ("main", "inner") else "apart" if apart else ""
+        out.append(Token(f"tag:{name if name in BLOCKS or name in INLINE else 'other'}:{side}", 0, name, where(), name in BLOCKS))
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)
             at = end.end() if end else len(page)
@@ -117,7 +119,7 @@ def tokens_of(page: str) -> list[Token]:
                 del open_[depth:]
         if name in ("li", "dd", "dt", "td", "th", "tr", "option") and open_ and open_[-1][0] == name:
             open_.pop()
-        place = "apart" if where() == "apart" or _apart(name, m[3]) else "main" if name in MAIN else where()
+        place = side or ("main" if name in MAIN else where())
         open_.append((name, place))
     return out
 
@@ -125,8 +127,10 @@ def tokens_of(page: str) -> list[Token]:
 def prior(sort: str) -> float:
     """The weight of a token that no labelled page shows."""
     kind, what, place = (sort.split(":") + ["", ""])[:3]
+    if place == "inner":
+        return 0.0
     if kind == "words":
-        return -3.0 if place == "apart" else {"a": -1.0, "li": -0.3, "button": -2.0, "label": -1.0}.get(what, 1.0)
+        return -3.0 if place == "apart" else {"a": -1.0, "li": 1.0 if place == "main" else -0.3, "button": -2.0, "label": -1.0}.get(what, 1.0)
     if place == "apart":
         return -4.0
     return {"/html": -2.0, "/body": -2.0, "body": -2.0, "html": -2.0, "head": -4.0, "/head": -4.0, "title": -4.0}.get(what, -0.2 if what.strip("/") in INLINE else -0.5)
@@ -138,7 +142,7 @@ def page_counts(page: str) -> Counter:
     tokens = tokens_of(page)
     if any(t.place == "main" for t in tokens):
         for t in tokens:
-            if t.weight_words or t.sort.startswith("tag:"):
+            if not t.sort.endswith(":inner") and (t.weight_words or t.sort.startswith("tag:")):
                 found[t.sort, t.place == "main"] += max(1, t.weight_words)
     return found
 
@@ -189,7 +193,7 @@ def main_text(page: str, weights: dict[str, float]) -> str:
                 held = []
             elif t.text == "br":
                 held.append(" ")
-        elif t.place != "apart":
+        elif t.place not in ("apart", "inner"):
             held.append(t.text)
     blocks.append("".join(held))
     lines = (" ".join(entities.unescape(b).split()) for b in blocks)

@@ -1,0 +1,69 @@
+import pytest
+from pyspark.sql import functions as F
+
+from contigloom.llm import extract
+from contigloom.llm.queries import table
+from tests.conftest import SF
+from tests.llm.cases import prose
+
+PAGE = """<!DOCTYPE html><html><head><title>{0} title</title><style>p{{}}</style><script>var t="</p>";</script></head><body>
+<nav><ul><li><a href="/a">Home</a></li><li><a href='/b'>News here</a></li></ul></nav><div class="ad">Buy now good thing</div>
+<article><h1>{0} head</h1><p><b>{1}<br>more&amp;more<p>{2} <i>in</i>line&nbsp;x</p><div class="share">Share this</div><ul><li>one</li><li>two words</li></ul>
+<form><label>Mail</label><input name=q></form><!-- hidden words --><p>last   {0}
+line</p></article><section class="comments"><p>{3}</p></section><footer>&copy; words of the foot</footer></body></html>"""
+
+
+def pages(spark, texts):
+    return spark.createDataFrame([(i, f"u{i}", t) for i, t in enumerate(texts)], "page_id long, url string, html string")
+
+
+@pytest.fixture(scope="module")
+def weights(spark):
+    return extract.learn(table(spark, SF, "pages"))
+
+
+def test_main_text_of_a_page(weights):
+    a, b, c = (prose(30, i) for i in range(3))
+    want = "\n".join(["Top head", f"{a} more&more", f"{b} inline x", "one", "two words", "last Top line"])
+    assert extract.main_text(PAGE.format("Top", a, b, c), weights) == want
+
+
+@pytest.mark.parametrize("given", [{}, None])
+def test_without_an_article_the_prose_is_found(weights, given):
+    body = "".join(f"<p>{prose(40, i)}</p>" for i in range(4))
+    page = f"<body><div class='menu'><a>x y z</a></div><div id=content>{body}</div><div class=sidebar><p>{prose(9, 9)}</p></div><footer>end of it</footer>"
+    assert extract.main_text(page, weights if given is None else given) == "\n".join(prose(40, i) for i in range(4))
+
+
+def test_pages_of_the_tables_are_exact(spark, weights):
+    import html
+    import re
+
+    for r in extract.extract(table(spark, SF, "pages"), weights).collect():
+        body = re.search(r"<article>(.*?)</article>", r["html"], re.S)[1]
+        blocks = (" ".join(html.unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split("</?(?:p|h1)>", body))
+        assert r["text"] == "\n".join(b for b in blocks if b)
+
+
+def test_odd_pages(spark, weights):
+    texts = [None, "", "   ", "plain words only here", "<", "<p", "<script>never closed " + "x" * 50, "<!-- open", "</p></div></b>", "<p>" * 3000 + "deep words", "a<br>b &lt;c&gt;", "<p>é</p>" * 2,
+             "<nav>only a menu</nav>"]
+    rows = pages(spark, texts + texts).withColumns({"text": F.lit("mine"), "n": F.lit(1)})
+    got = {r["page_id"]: r["text"] for r in extract.extract(rows, weights).collect()}
+    n = len(texts)
+    assert all(got[i] == got[i + n] for i in range(n))
+    assert got[0] == got[1] == got[2] == got[8] == got[12] == "" and got[3] == texts[3] and got[10] == "a b <c>" and got[11] == "é\né"
+    assert extract.extract(rows.limit(0), weights).count() == 0
+    assert extract.learn(rows.limit(0)) == {}
+
+
+def test_the_best_run_is_that_of_brute_force(weights):
+    import random
+
+    rng = random.Random(4)
+    for _ in range(200):
+        tokens = [extract.Token(rng.choice(["words:p:", "tag:p:", "words:a:", "tag:/p"]), rng.randrange(4), "x", "", False) for _ in range(rng.randrange(1, 14))]
+        value = [(w if (w := weights.get(t.sort)) is not None else extract.prior(t.sort)) * (t.weight_words if t.sort.startswith("words") else 1) for t in tokens]
+        best = max((sum(value[a:b]) for a in range(len(tokens)) for b in range(a, len(tokens) + 1)))
+        a, b = extract.region(tokens, weights)
+        assert sum(value[a:b]) == pytest.approx(best)

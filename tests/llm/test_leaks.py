@@ -1,0 +1,71 @@
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from contigloom.llm import leaks
+from tests.llm.cases import DOCS, ODD, docs, prose
+
+ITEM = "Yesterday morning the farmer Thomas carried 12 baskets with 30 kg of apples to Boston and sold 7 baskets before noon for 45 dollars"
+WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
+PLAIN = " ".join(WORDS)
+
+
+def benchmark(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts, 1)), "item_id long, text string")
+
+
+def found(spark, texts, items):
+    return {(r["doc_id"], r["item_id"]): r["exact"] for r in leaks.leaked(docs(spark, texts), benchmark(spark, items)).collect()}
+
+
+def test_verbatim_and_reparameterised_items_are_found(spark):
+    other = ITEM.replace("12", "15").replace("30 kg", "8 tons").replace("Thomas", "Peter").replace("Boston", "Denver").replace("45", "99")
+    part = "And then, " + " ".join(ITEM.split()[4:19]) + " it went on"
+    texts = [prose(60, 1) + " " + ITEM + " " + prose(30, 2), prose(9, 3) + ". " + other, part, prose(200, 4), PLAIN, "x " + PLAIN[:60]]
+    assert found(spark, texts, [ITEM, PLAIN, None, ""]) == {(0, 1): True, (1, 1): False, (2, 1): True, (4, 2): True}
+
+
+def test_slots_must_be_consistent(spark):
+    item = "if box 3 holds red balls and box 3 holds blue balls then box 5 holds green balls only at night"
+    same = item.replace("3", "8")
+    torn = item.replace("3", "8", 1)
+    assert found(spark, [same, torn], [item]) == {(0, 1): False}
+
+
+def test_thirteen_tokens_are_needed_and_short_items_are_whole_windows(spark):
+    twelve, thirteen = " ".join(WORDS[:12]), " ".join(WORDS[3:16])
+    texts = ["q r " + twelve + " s", "q r " + thirteen + " s", "so delta epsilon zeta eta theta end", "delta epsilon zeta eta"]
+    assert found(spark, texts, [PLAIN, "delta epsilon zeta eta theta", "a 1 2 3"]) == {(1, 1): True, (0, 2): True, (1, 2): True, (2, 2): True}
+
+
+def test_numbers_alone_are_no_evidence(spark):
+    assert found(spark, ["1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16"], ["21 22 23 24 25 26 27 28 29 30 31 32 33 34"]) == {}
+
+
+def test_odd_documents_repeats_and_clashing_columns(spark):
+    texts = [*enumerate(ODD, 50), (1, PLAIN), (1, PLAIN), (None, PLAIN), (2, prose(50, 1))]
+    rows = docs(spark, texts).withColumns({"hash": F.lit(1), "item_id": F.lit("x"), "tokens": F.lit(2), "leak_doc_id_x": F.lit(0)})
+    got = leaks.leaked(rows, benchmark(spark, [PLAIN, PLAIN]))
+    assert sorted((r["doc_id"] or -1, r["item_id"], r["n_windows"], r["n_item"]) for r in got.collect()) == [(i, k, 13, 13) for i in (-1, 1) for k in (1, 2)]
+    kept = leaks.without_leaks(rows, benchmark(spark, [PLAIN]))
+    assert kept.columns == rows.columns and sorted(r["doc_id"] for r in kept.collect()) == [2, *range(50, 50 + len(ODD))]
+
+
+@pytest.mark.parametrize("texts, items", [([], [PLAIN]), ([PLAIN], []), ([], [])])
+def test_empty_tables(spark, texts, items):
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = docs(spark, texts) if texts else spark.createDataFrame([], DOCS)
+    assert leaks.leaked(rows, bench).count() == 0
+    assert leaks.without_leaks(rows, bench).count() == len(texts)
+
+
+def test_large_benchmarks_are_not_broadcast_and_no_python_runs(spark, monkeypatch):
+    monkeypatch.setattr(leaks, "broadcast_if_small", lambda frame: frame)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = leaks.leaked(docs(spark, [PLAIN, prose(90, 2)]), benchmark(spark, [PLAIN]))
+        assert [r["doc_id"] for r in frame.collect()] == [0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not re.search("Python|Pandas|Arrow", frame._jdf.queryExecution().executedPlan().toString())
