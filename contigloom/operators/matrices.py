@@ -33,7 +33,7 @@ def merge_amr_cells(amr_long: DataFrame) -> DataFrame:
 
 def matrix_columns(amr_long: DataFrame) -> list[str]:
     """Column names in order: those of the first file, then new ones. Bounded by the file headers."""
-    rows = (amr_long.groupBy("drug_class").agg(F.min(F.struct("file_ord", "col_no")).alias("at"))
+    rows = (amr_long.filter("drug_class is not null").groupBy("drug_class").agg(F.min(F.struct("file_ord", "col_no")).alias("at"))
             .orderBy("at").collect())
     return [r["drug_class"] for r in rows]
 
@@ -42,6 +42,8 @@ def merge_amr_matrices(amr_long: DataFrame, columns: list[str] | None = None) ->
     """Wide merged matrix, one row per sample of any file; samples and columns without a value stay."""
     columns = matrix_columns(amr_long) if columns is None else columns
     cells = merge_amr_cells(amr_long)
+    if not columns:
+        return cells.select("sample").distinct()
     # A conditional maximum per column: one shuffle on the sample, where a pivot takes two.
     wide = [F.max(F.when(F.col("drug_class") == c, F.col("value"))).alias(c) for c in columns]
     return cells.groupBy("sample").agg(*wide)

@@ -40,12 +40,18 @@ def missing_mates(read_files: DataFrame) -> DataFrame:
         .filter("missing is not null"))
 
 
-def require_mates(read_files: DataFrame) -> None:
-    """Raise when any sample lacks a mate; the message names the first few."""
-    gaps = missing_mates(read_files).orderBy("sample", "missing").limit(20).collect()
-    if gaps:
-        named = ", ".join(f"{r['sample']} (R{r['missing']})" for r in gaps)
-        raise ValueError(f"read files missing: {named}")
+def require_mates(read_files: DataFrame, named: int = 20) -> None:
+    """Raise when any sample lacks a mate.
+
+    The message gives the full number and names the first few; :func:`missing_mates` is the whole list.
+    """
+    gaps = missing_mates(read_files)
+    total = gaps.count()
+    if total:
+        first = gaps.orderBy("sample", "missing").limit(named).collect()
+        listed = ", ".join(f"{r['sample']} (R{r['missing']})" for r in first)
+        more = f", and {total - named} more" if total > named else ""
+        raise ValueError(f"{total} read files missing: {listed}{more}")
 
 
 def distinct_samples(read_files: DataFrame) -> DataFrame:
@@ -53,11 +59,15 @@ def distinct_samples(read_files: DataFrame) -> DataFrame:
 
 
 def pick_contig_file(files: DataFrame) -> DataFrame:
-    """``sample, path``: among files of one sample the first extension in sorted order, then path."""
+    """``sample, path``: among files of one sample the first extension in sorted order.
+
+    Of files with one name in several folders the greatest path counts.
+    """
     extension = F.lower(F.element_at(F.split("path", "[.]"), -1))
     rank = F.array_position(F.array(*[F.lit(e) for e in FASTA_EXTENSIONS]), extension)
-    first = F.min(F.struct(rank.alias("rank"), F.col("path").alias("path"))).alias("_first")
-    return files.groupBy("sample").agg(first).select("sample", "_first.path")
+    named = latest_wins(files.select("sample", "path", names.base_name("path").alias("name"), rank.alias("rank")), ["sample", "name"])
+    first = F.min_by("path", F.struct("rank", "name")).alias("path")
+    return named.groupBy("sample").agg(first).select("sample", "path")
 
 
 def natural_sort(table: DataFrame, name: str = "sample") -> DataFrame:

@@ -56,15 +56,27 @@ def read_passes(q: int = 15, u: float = 40, e: float = 0, l: int = 15) -> Column
 
 def filter_reads(reads: DataFrame, q: int = 15, u: float = 40, e: float = 0, l: int = 15,
                  pair: str = "read_no") -> DataFrame:
-    """Reads of the pairs whose mates all pass; ``pair`` names a pair within a sample.
+    """Reads of the pairs whose mates are both there and pass; ``pair`` names a pair within a sample.
 
-    One shuffle, on the pair. A read that fails itself goes through it without its letters.
+    A mate alone goes; :func:`lone_mates` lists them. Raises when the two of a pair have different read ids, where there are
+    ids. One shuffle, on the pair. A read that fails itself goes through it without its letters.
     """
     flagged = reads.withColumn("_pass", read_passes(q, u, e, l))
     light = flagged.withColumns({c: F.when(F.col("_pass"), F.col(c)) for c in ("seq", "qual")})
     mates = Window.partitionBy("sample", pair)
-    return (light.withColumn("_pair", F.min("_pass").over(mates))
-            .filter(F.col("_pair")).select(reads.columns))
+    both = F.min("mate").over(mates) != F.max("mate").over(mates)
+    light = light.withColumn("_pair", F.min("_pass").over(mates) & both)
+    if "read_id" in reads.columns and pair != "read_id":
+        message = F.concat(F.lit("mates with different ids in sample "), "sample", F.lit(", read "), F.col(pair).cast("string"))
+        torn = F.min("read_id").over(mates) != F.max("read_id").over(mates)
+        light = light.withColumn("_pair", F.when(torn, F.raise_error(message).cast("boolean")).otherwise(F.col("_pair")))
+    return light.filter(F.col("_pair")).select(reads.columns)
+
+
+def lone_mates(reads: DataFrame, pair: str = "read_no") -> DataFrame:
+    """``sample, pair, mate`` of reads whose mate is missing: the sample's files are not equally long."""
+    return (reads.groupBy("sample", pair).agg(F.min("mate").alias("mate"), F.max("mate").alias("_last"))
+            .filter(F.col("mate") == F.col("_last")).drop("_last"))
 
 
 def read_qc_stats(reads: DataFrame, keys: list[str] | None = None) -> DataFrame:

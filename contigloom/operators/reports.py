@@ -2,25 +2,37 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contigloom.schemas import STEPS
-
 PAGE_ROWS = 25
 
 
-def cohort_report(*reports: DataFrame) -> DataFrame:
+def cohort_report(*reports: DataFrame, names: list[str] | None = None) -> DataFrame:
     """One row per sample and stage with the columns of every report.
 
-    Each report has ``sample, stage`` once per pair. Stacking and grouping takes one shuffle where
+    Each report has ``sample, stage`` once per pair; a repeated pair raises. Columns that two reports share get their report's
+    name in front, from ``names``; without names they raise. Stacking and grouping takes one shuffle where
     chained outer joins take one per report; a report without the pair leaves its columns NULL.
     """
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), reports)
-    values = [c for c in stacked.columns if c not in ("sample", "stage")]
-    return stacked.groupBy("sample", "stage").agg(*[F.first(c, ignorenulls=True).alias(c) for c in values])
+    count = Counter(c for r in reports for c in r.columns if c not in ("sample", "stage"))
+    shared = sorted(c for c, n in count.items() if n > 1)
+    if shared and not names:
+        raise ValueError(f"columns in more than one report, so the reports need names: {shared}")
+    tagged = [r.withColumnsRenamed({c: f"{names[i]}_{c}" for c in shared if c in r.columns} if shared else {}).withColumn("_report", F.lit(i))
+              for i, r in enumerate(reports)]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    values = [c for c in stacked.columns if c not in ("sample", "stage", "_report")]
+    grouped = stacked.groupBy("sample", "stage").agg(
+        *[F.first(c, ignorenulls=True).alias(c) for c in values],
+        *[F.count_if(F.col("_report") == i).alias(f"_n{i}") for i in range(len(reports))])
+    twice = F.greatest(*[F.col(f"_n{i}") for i in range(len(reports))], F.lit(0)) > 1
+    message = F.concat(F.lit("a report has more than one row of "), F.coalesce("sample", F.lit("NULL")), F.lit(", "), F.coalesce("stage", F.lit("NULL")))
+    checked = grouped.filter(F.when(twice, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+    return checked.select("sample", "stage", *values)
 
 
 def report_search(table: DataFrame, texts: dict[str, str]) -> DataFrame:
@@ -56,6 +68,3 @@ def limit_report(table: DataFrame, keys: list[str], rows: int = PAGE_ROWS, page:
     """One page of the sorted table. ``keys`` should tell all rows apart."""
     return table.orderBy(*keys).limit(rows * (page + 1)).offset(rows * page)
 
-
-def steps_table(spark) -> DataFrame:
-    return spark.createDataFrame([(s,) for s in STEPS], "step string")

@@ -135,21 +135,29 @@ def steps_to_run(status: DataFrame, required: DataFrame, files: DataFrame, skip:
     return rows.select("sample", "step", decision.alias("decision"))
 
 
-def error_digest(status: DataFrame, log_lines: DataFrame, n: int = 5) -> DataFrame:
+def error_digest(status: DataFrame, log_lines: DataFrame, n: int = 5, files: DataFrame | None = None) -> DataFrame:
     """For each failed step the last ``n`` lines of its log.
 
-    ``log_path`` is matched to ``log_lines.file``. When it is no log file, it is the message itself and
-    gives one row with ``line_no`` NULL. Unless few logs are wanted, which a broadcast picks out, lines are
+    ``log_path`` is matched to ``log_lines.file``; a cohort log, read once per step, counts once. When it is no log file, it is the
+    message itself and gives one row with ``line_no`` NULL. ``files(path)`` lists the log files that there are: one without lines
+    gives no row. Without it, the files are those with lines. Unless few logs are wanted, which a broadcast picks out, lines are
     cut to ``n`` per log before any join, so a huge log is never shuffled.
     """
     failed = status.filter((F.col("status") == FAIL) & (F.col("log_path") != "")).select(
         "sample", "step", "log_path")
     logs = failed.select(F.col("log_path").alias("file")).distinct()
     lines = log_lines.select("file", "line_no", "line")
+    if "step" in log_lines.columns:  # a cohort log comes once for each of its steps
+        first = F.min("step").over(Window.partitionBy("file", "line_no"))
+        lines = log_lines.filter("sample is not null").select("file", "line_no", "line").unionByName(
+            log_lines.filter("sample is null").withColumn("_first", first).filter("step = _first").select("file", "line_no", "line"))
     if fits_broadcast(logs)[0]:
         lines = lines.join(F.broadcast(logs), "file", "left_semi")
     tails = tail_lines(lines, n)
     joined = failed.join(tails, failed["log_path"] == tails["file"], "left")
+    if files is not None:
+        empty = files.select(F.col("path").alias("log_path")).distinct().withColumn("_empty", F.lit(True))
+        joined = joined.join(empty, "log_path", "left").filter("file is not null or _empty is null")
     return joined.select("sample", "step", "line_no",
                          F.when(F.col("file").isNull(), F.col("log_path")).otherwise(F.col("line")).alias("line"))
 

@@ -58,19 +58,25 @@ def screen_kmers(contigs: DataFrame, kmer_taxa: DataFrame, k: int, canonical: bo
 def lineages(taxonomy: DataFrame) -> DataFrame:
     """``taxid, name, lineage``: taxa from the root down to the taxon itself.
 
-    One row per taxon, so its size does not depend on the cohort; computed once, level by level. A taxon that is its own parent
-    is a root, as one without a parent is. For taxonomies of more than a million taxa set
-    ``spark.sql.cteRecursionRowLimit``.
+    One row per taxon, so its size does not depend on the cohort. Each round joins every unfinished path with the path of
+    the taxon it has reached, which doubles its length: about log2(depth) rounds for any number of taxa. A taxon that is
+    its own parent is a root, as one without a parent is; one whose parents are not in the table is left out. Raises on a
+    cycle.
     """
-    nodes = settle(taxonomy.select("taxid", "parent_taxid", "name"))  # every level reads it again
-    return settle(taxonomy.sparkSession.sql("""
-        with recursive tree(taxid, name, lineage) as (
-            select cast(taxid as int), name, array(cast(taxid as int)) from {taxonomy}
-            where parent_taxid is null or parent_taxid = taxid
-            union all
-            select cast(c.taxid as int), c.name, array_append(p.lineage, cast(c.taxid as int))
-            from {taxonomy} c join tree p on c.parent_taxid = p.taxid where c.parent_taxid <> c.taxid)
-        select taxid, name, lineage from tree""", taxonomy=nodes))
+    up = F.when(F.col("parent_taxid") != F.col("taxid"), F.col("parent_taxid").cast("int"))
+    paths = settle(taxonomy.select(F.col("taxid").cast("int").alias("taxid"), "name", up.alias("above"),
+                                   F.array(F.col("taxid").cast("int")).alias("lineage")))
+    open_before = None
+    while open_now := paths.filter("above is not null").count():
+        if open_now == open_before:  # the shortest unfinished paths end in each round, unless they go round
+            some = [r["taxid"] for r in paths.filter("above is not null").select("taxid").orderBy("taxid").limit(5).collect()]
+            raise ValueError(f"{open_now} taxa on or below a cycle, such as {some}")
+        open_before = open_now
+        higher = paths.select(F.col("taxid").alias("above"), F.col("above").alias("next"), F.col("lineage").alias("upper"))
+        longer = paths.filter("above is not null").join(higher, "above").select(
+            "taxid", "name", F.col("next").alias("above"), F.concat("upper", "lineage").alias("lineage"))
+        paths = settle(paths.filter("above is null").unionByName(longer))
+    return paths.drop("above")
 
 
 def classify_contigs(kmer_hits: DataFrame, taxa: DataFrame, contigs: DataFrame | None = None,
@@ -85,21 +91,20 @@ def classify_contigs(kmer_hits: DataFrame, taxa: DataFrame, contigs: DataFrame |
     own = kmer_hits.select(*keys, F.col("taxid").cast("int").alias("taxid"), "n")
     tree = broadcast_if_small(taxa.select("taxid", "lineage"))
     # Each hit asks every taxon of its lineage for that taxon's own k-mers, and answers for itself.
-    # Partitioned by contig once, all that follows needs no further shuffle; a contig has at most as
-    # many hits as the taxonomy has taxa.
+    # Partitioned by contig once, all up to the best taxa needs no further shuffle; a contig has at most as
+    # many hits as the taxonomy has taxa. Lineages stay behind: only the best taxa meet theirs again.
     asked = F.transform("lineage", lambda a: F.struct(
-        a.alias("taxon"), F.col("taxid").alias("leaf"), F.lit(0).cast("long").alias("n"), F.col("lineage").alias("lineage")))
-    told = F.array(F.struct(
-        F.col("taxid").alias("taxon"), F.lit(None).cast("int").alias("leaf"), F.col("n").alias("n"),
-        F.lit(None).cast("array<int>").alias("lineage")))
+        a.alias("taxon"), F.col("taxid").alias("leaf"), F.lit(0).cast("long").alias("n")))
+    told = F.array(F.struct(F.col("taxid").alias("taxon"), F.lit(None).cast("int").alias("leaf"), F.col("n").alias("n")))
     rows = (own.join(tree, "taxid").repartition(*keys)
             .select(*keys, F.explode(F.concat(asked, told)).alias("r")).select(*keys, "r.*"))
     answered = rows.withColumn("n", F.sum("n").over(Window.partitionBy(*keys, "taxon"))).filter("leaf is not null")
-    scored = answered.groupBy(*keys, "leaf").agg(F.sum("n").alias("score"), F.first("lineage").alias("lineage"))
+    scored = answered.groupBy(*keys, "leaf").agg(F.sum("n").alias("score"))
     contig = Window.partitionBy(*keys)
     best = (scored.withColumn("_rank", F.rank().over(contig.orderBy(F.desc("score"))))
             .filter("_rank = 1").withColumn("_ties", F.count("*").over(contig)))
-    shared = (best.select(*keys, "score", "_ties", F.posexplode("lineage").alias("depth", "ancestor"))
+    shared = (best.withColumnRenamed("leaf", "taxid").join(tree, "taxid")
+              .select(*keys, "score", "_ties", F.posexplode("lineage").alias("depth", "ancestor"))
               .groupBy(*keys, "ancestor")
               .agg(F.count("*").alias("m"), F.max("_ties").alias("_ties"),
                    F.max("score").alias("score"), F.max("depth").alias("depth"))

@@ -89,7 +89,8 @@ def _passed(source: str, q: int, u: int, e: int, l: int) -> str:
     mean = "" if e == 0 else f" and list_sum({_QUAL}) >= length(qual) * {e}"
     return f"""judged as (select *, length(qual) >= {l} and (length(qual) - length(translate(qual, '{low}', ''))) * 100 <= length(qual) * {u}{mean} as ok from {source}),
     passed as (select sample, read_no, mate, seq, qual from
-      (select *, bool_and(coalesce(ok, false)) over (partition by sample, read_no) as pair_ok from judged) where pair_ok)"""
+      (select *, bool_and(coalesce(ok, false)) over (partition by sample, read_no)
+        and min(mate) over (partition by sample, read_no) <> max(mate) over (partition by sample, read_no) as pair_ok from judged) where pair_ok)"""
 
 
 _LOW20 = "!\"#$%&''()*+,-./01234"
@@ -159,8 +160,8 @@ ORACLE: dict[str, str] = {
         select sample, stage, 'Assembly' as metric, sample as value from stats
         union all select sample, stage, '# contigs', cast(n_contigs as varchar) from stats
         union all select sample, stage, 'N50', cast(n50 as varchar) from stats""",
-    "read_step_logs": """select file as sample, case when line_no % 2 = 0 then 'FASTP' else 'KRAKEN2-a' end as step,
-        concat('line ', line_no) as line from log_lines_v""",
+    "read_step_logs": """select case when line_no % 4 < 2 then file end as sample, unnest(case line_no % 4 when 0 then ['FASTP'] when 1 then ['KRAKEN2-a']
+          when 2 then ['GTDBTK-b', 'GTDBTK-a'] else ['MULTIQC'] end) as step, replace(line, chr(10), '\\n') as line from log_lines_v""",
     "write_fasta": f"""with {_FILTERED}
         select concat(sample, '_filtered.fasta') as file, md5(concat('>', header)) as line_md5 from filtered
         union all select concat(sample, '_filtered.fasta'), md5(seq) from filtered""",
@@ -194,7 +195,8 @@ ORACLE: dict[str, str] = {
     "filter_contigs": f"with {_FILTERED} select sample, rec_no, header, md5(seq) as seq_md5, used_fallback from filtered",
     "drop_sentinel_samples": f"""with {_COMBINED} select sample, count(*) as n from cells
         where sample not in ('abricate', 'before', 'filtered') group by sample""",
-    "drop_comments": "select file, line_no, 'x' as line from log_lines_v where line_no % 3 = 1",
+    "drop_comments": """select file, line_no, case line_no % 4 when 1 then concat(' #', line) else line end as line from log_lines_v
+        where line_no % 4 = 1 or line_no % 4 = 3 and trim(line) <> '' and line not like '#%'""",
     "select_steps": """select distinct step from status_v where upper(step) not in (select upper(name) from skips_v)""",
     "filter_hits": "select * from hits_v where pct_identity >= 80 and pct_coverage >= 80",
     "report_search": f"""with {_COMBINED} select "Sample", "Database" from combined
@@ -205,7 +207,7 @@ ORACLE: dict[str, str] = {
     "missing_mates": f"""with {_READ_FILES} select s.sample, m.mate as missing from (select distinct sample from read_files) s
         cross join (values (1), (2)) m(mate) where not exists (select 1 from read_files r where r.sample = s.sample and r.mate = m.mate)""",
     "remove_contigs": f"with {_REMOVALS} select sample, header, md5(seq) as seq_md5 from remaining",
-    "merge_amr_matrices": """with cells as (select sample, drug_class, string_agg(value, ';' order by stage) as value from amr_v group by 1, 2)
+    "merge_amr_matrices": """with cells as (select sample, drug_class, string_agg(nullif(value, ''), ';' order by stage) as value from amr_v group by 1, 2)
         select sample, """ + ", ".join(f"max(value) filter (where drug_class = '{c}') as \"{c}\""
                                        for c in ("F_A", "F_N", "F_R", "SHARED", "O_A", "O_N", "O_R")) + " from cells group by sample",
     "expand_sample_steps": f"with {_STEPS} select sample, step, '-' as status from (select distinct sample from status_v) cross join steps",
@@ -256,7 +258,7 @@ ORACLE: dict[str, str] = {
     "last_incomplete_step": f"with {_DENSE}, {_LAST.format(t='dense')} select sample, step from last",
     "tail_lines": """select file, line_no, line from (select *, row_number() over (partition by file order by line_no desc) as rn from log_lines_v) where rn <= 5""",
     "pick_contig_file": """with files as (select concat(sample, '_', rec_no // 3) as sample, ['fna', 'fasta', 'ffn', 'FAS', 'fa'][rec_no % 5 + 1] as ext from contigs_v)
-        select sample, concat('/in/', sample, '.', arg_min(ext, list_position(['fa', 'fas', 'fasta', 'ffn', 'fna'], lower(ext)))) as path from files group by sample""",
+        select sample, concat('/in/b/', sample, '.', arg_min(ext, list_position(['fa', 'fas', 'fasta', 'ffn', 'fna'], lower(ext)))) as path from files group by sample""",
     "latest_wins": f"with {_READ_FILES} select concat('S', length(sample)) as sample, mate, max(path) as path from read_files group by 1, 2",
     "length_cumsum": """with counts as (select sample, stage, cast(length(seq) as bigint) as length, count(*) as n from contigs_v group by 1, 2, 3)
         select *, cast(sum(length * n) over w as bigint) as cum_bases, cast(sum(n) over w as bigint) as cum_contigs,

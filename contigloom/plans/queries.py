@@ -153,9 +153,11 @@ def read_tool_reports(spark, sf):
 @query
 def read_step_logs(spark, sf):
     out = scratch_dir(spark, "logs")
+    kind = F.col("line_no") % 4
+    name = F.when(kind == 0, F.concat("file", F.lit("_fastp.log"))).when(kind == 1, F.concat("file", F.lit("_kraken2_filtered.log"))).when(
+        kind == 2, "gtdbtk.log").otherwise("multiqc.log")
     lines = views(spark, sf)("log_lines_v").select(
-        F.concat("file", F.when(F.col("line_no") % 2 == 0, "_fastp.log").otherwise("_kraken2_filtered.log")).alias("file"),
-        F.concat(F.lit("line "), "line_no").alias("value"), "line_no")
+        name.alias("file"), F.replace("line", F.lit("\n"), F.lit("\\n")).alias("value"), "line_no")
     (lines.repartitionByRange("file", "line_no").sortWithinPartitions("file", "line_no").drop("line_no")
      .write.partitionBy("file").text(out))
     return text.read_step_logs(spark, out).select("sample", "step", "line")
@@ -294,9 +296,9 @@ def drop_sentinel_samples(spark, sf):
 
 @query
 def drop_comments(spark, sf):
-    start = F.when(F.col("line_no") % 3 == 0, "#").when(F.col("line_no") % 3 == 1, "x")
-    lines = views(spark, sf)("log_lines_v").select("file", "line_no", F.coalesce(start, F.lit("")).alias("line"))
-    return text.drop_comments(lines)
+    kind = F.col("line_no") % 4
+    line = F.when(kind == 0, F.concat(F.lit("#"), "line")).when(kind == 1, F.concat(F.lit(" #"), "line")).when(kind == 2, "  ").otherwise(F.col("line"))
+    return text.drop_comments(views(spark, sf)("log_lines_v").withColumn("line", line))
 
 
 @query
@@ -507,9 +509,10 @@ def tail_lines(spark, sf):
 def pick_contig_file(spark, sf):
     ext = F.element_at(F.array(*[F.lit(e) for e in ("fna", "fasta", "ffn", "FAS", "fa")]),
                        (F.col("rec_no") % 5 + 1).cast("int"))
-    files = views(spark, sf)("contigs_v").select(
-        F.concat("sample", F.lit("_"), F.floor(F.col("rec_no") / 3)).alias("sample"), ext.alias("ext"))
-    return pa.pick_contig_file(files.select("sample", F.concat(F.lit("/in/"), "sample", F.lit("."), "ext").alias("path")))
+    sample = F.concat("sample", F.lit("_"), F.floor(F.col("rec_no") / 3))
+    folder = F.explode(F.array(F.lit("/in/a/"), F.lit("/in/b/")))  # one name in two folders
+    files = views(spark, sf)("contigs_v").select(sample.alias("sample"), ext.alias("ext"), folder.alias("folder"))
+    return pa.pick_contig_file(files.select("sample", F.concat("folder", "sample", F.lit("."), "ext").alias("path")))
 
 
 @query

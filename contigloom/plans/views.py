@@ -31,8 +31,8 @@ select source as sample, concat('/in/', source, '.fasta') as path, 'before' as s
 from (select *, case when source='src7' then doc_id%10 else (doc_id*37)%61 end as cov,
              {dna} as seq from {{documents}}) d""",
         "reads_v": f"""
-select concat('C',conv_id%8) as sample, conv_id as read_no, cast(turn+1 as int) as mate,
-       {dna} as seq, {qual} as qual from {{conversations}} where turn < 2""",
+select concat('C',conv_id%8) as sample, conv_id*1000000+cast((turn-turn%2)/2 as bigint) as read_no, cast(turn%2+1 as int) as mate,
+       {dna} as seq, {qual} as qual from {{conversations}}""",
         "read_names_v": """
 select concat('S',c_custkey, case c_custkey%3 when 0 then '_R1_001.fastq.gz' when 1 then '.1.fq' else '-R1.fastq' end) as name from {customer}
 union all
@@ -46,8 +46,9 @@ select case when l_suppkey=0 then '/out/before.fasta'
   cast(l_quantity as int)+50 as pct_identity, p_size+50 as pct_coverage
 from {lineitem} join {part} on l_partkey=p_partkey""",
         "amr_v": """
-select l_linestatus as stage, concat('S',l_suppkey%50) as sample, concat(l_linestatus,'_',l_returnflag) as drug_class, min(p_brand) as value
-from {lineitem} join {part} on l_partkey=p_partkey where l_suppkey%50<>l_partkey%50 group by 1,2,3
+select l_linestatus as stage, concat('S',l_suppkey%50) as sample, concat(l_linestatus,'_',l_returnflag) as drug_class,
+  max(case when l_suppkey%50=l_partkey%50 or l_suppkey%7=l_linenumber then '' else p_brand end) as value
+from {lineitem} join {part} on l_partkey=p_partkey group by 1,2,3
 union all
 select l_linestatus, concat('S',l_suppkey%50), 'SHARED', max(p_brand) from {lineitem} join {part} on l_partkey=p_partkey group by 1,2""",
         "status_v": """
@@ -84,28 +85,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-# Tables whose rows become sequences or hits: work per row is far more than reading it.
-HEAVY = {"documents", "conversations", "lineitem", "benchmark"}
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out when the files have fewer splits than there are cores.
-
-    A small file is often one row group and would keep all later work in one task. Inputs with enough
-    splits, as any large one has, are left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def views(spark: SparkSession, folder: str) -> Callable[[str], DataFrame]:
     """A function from the name of a view to its DataFrame. The files of a table are looked up once."""
     opened: dict[str, DataFrame] = {}
 
     def source(t: str) -> DataFrame:
         if t not in opened:
-            df = table(spark, folder, t)
-            opened[t] = spread(df) if t in HEAVY else df
+            opened[t] = table(spark, folder, t)
         return opened[t]
 
     return lambda name: spark.sql(SPARK_VIEWS[name], **{t: source(t) for t in TABLES[name]})

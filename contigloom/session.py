@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,17 +15,11 @@ BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
-
-    Only a local session (tests) may go without the setting; it gets a folder of its own.
-    """
+    """The shared folder named by ``spark.checkpoint.dir``; unset, a folder beside the session's warehouse."""
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    base = tempfile.mkdtemp(prefix="contigloom-")
-    spark.conf.set("spark.checkpoint.dir", base)
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-contigloom"
+        spark.conf.set("spark.checkpoint.dir", base)
     return base
 
 
