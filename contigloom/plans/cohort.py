@@ -8,47 +8,90 @@ from pyspark.sql import functions as F
 from contigloom.operators import contigs as co
 from contigloom.operators import pairs as pa
 from contigloom.operators import reads as re
+from contigloom.operators.status import select_steps
 from contigloom.plans.filter_effect import filter_effect
-from contigloom.schemas import FASTA_EXTENSIONS
-from contigloom.session import broadcast_if_small, settle
+from contigloom.schemas import FASTA_EXTENSIONS, OK, SKIPPED
+from contigloom.session import fits_broadcast, settle
 from contigloom.sinks import files as sinks
 from contigloom.sources.fastq import read_fastq
 from contigloom.sources.files import absolute, scan_contig_files, scan_read_files
-from contigloom.sources.text import plain_path, read_fasta
+from contigloom.sources.text import plain_path, read_fasta, read_removal_list
 
 
 def _any_case(word: str) -> str:
     return "".join(f"[{c}{c.upper()}]" for c in word)
 
 
-def cohort_contigs(spark: SparkSession, root: str, depth: int = 1) -> DataFrame:
-    """Contigs of every sample under ``root``; of several files of a sample one is taken."""
+def _globs(spark: SparkSession, root: str, depth: int, files: DataFrame | None = None) -> list[str]:
+    """A glob for each level under ``root`` that has contig files."""
     root = absolute(root)
-    files = settle(scan_contig_files(spark, root, depth))
+    files = scan_contig_files(spark, root, depth) if files is None else files
     above = len([p for p in root.split("/") if p])
     level = F.size(F.filter(F.split("path", "/"), lambda p: p != "")) - above
     levels = sorted(r["level"] for r in files.select(level.alias("level")).distinct().collect())  # at most depth
     if not levels:
         raise FileNotFoundError(f"no contig files in {root}")
     ending = ".{" + ",".join(_any_case(e) for e in FASTA_EXTENSIONS) + "}"
-    contigs = read_fasta(spark, [root.rstrip("/") + "/*" * n + ending for n in levels])
-    picked = pa.pick_contig_file(files).select(plain_path("path").alias("path"))
-    return contigs.join(broadcast_if_small(picked), "path", "left_semi")
+    return [root.rstrip("/") + "/*" * n + ending for n in levels]
+
+
+def cohort_contigs(spark: SparkSession, root: str, depth: int = 1) -> DataFrame:
+    """Contigs of every sample under ``root``; of several files of a sample one is taken."""
+    files = settle(scan_contig_files(spark, root, depth))
+    contigs = read_fasta(spark, _globs(spark, root, depth, files))
+    # the files that lost are few or none, so no sequence is shuffled to drop them
+    picked = pa.pick_contig_file(files).select("path")
+    lost = files.select("path").join(picked, "path", "left_anti").select(plain_path("path").alias("path"))
+    small, count = fits_broadcast(lost)
+    if not count:
+        return contigs
+    return contigs.join(F.broadcast(lost) if small else lost, "path", "left_anti")
+
+
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a job has finished writing this folder."""
+    done = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
+    return done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done)
 
 
 def run_contigs(spark: SparkSession, root: str, out: str, depth: int = 1, min_cov: float = 10,
-                min_len: int = 500) -> DataFrame:
+                min_len: int = 500, skip: tuple[str, ...] = (), resume: bool = True) -> DataFrame:
     """Filter a folder of contig files and report what that did.
 
-    Writes ``out/contigs`` (Parquet, parsed once), ``out/contigs_filtered`` (FASTA) and
-    ``out/reports/filter_effect``; returns the report.
+    Writes ``out/contigs`` (Parquet, parsed once), ``out/contigs_filtered`` (FASTA), ``out/reports/filter_effect`` and, per sample, the
+    state of the FILTER step in ``out/status``; returns the report. With ``resume`` what an earlier run has finished is kept, and a
+    part that is missing is made anew. ``skip=("FILTER",)`` leaves the filter out and marks it.
     """
-    cohort_contigs(spark, root, depth).write.mode("overwrite").parquet(f"{out}/contigs")
+    def wanted(path: str) -> bool:
+        return not (resume and is_written(spark, path))
+
+    skipped = not select_steps(spark.createDataFrame([("FILTER",)], "step string"),
+                               spark.createDataFrame([(s,) for s in skip], "name string")).take(1)
+    if wanted(f"{out}/contigs"):
+        cohort_contigs(spark, root, depth).write.mode("overwrite").parquet(f"{out}/contigs")
     contigs = spark.read.parquet(f"{out}/contigs")
-    sinks.write_fasta(co.filter_contigs(contigs, min_cov, min_len), f"{out}/contigs_filtered")
-    report = filter_effect(contigs, min_cov, min_len)
-    sinks.write_report_tsv(report, f"{out}/reports/filter_effect")
-    return report
+    if not skipped and wanted(f"{out}/contigs_filtered"):
+        sinks.write_fasta(co.filter_contigs(contigs, min_cov, min_len), f"{out}/contigs_filtered")
+    if wanted(f"{out}/status") or skipped:
+        samples = contigs.select("sample").distinct()
+        samples.select("sample", F.lit("FILTER").alias("step"), F.lit(SKIPPED if skipped else OK).alias("status"),
+                       F.current_timestamp().alias("ts"), F.lit(0).cast("long").alias("seq_no")).write.mode("append").parquet(f"{out}/status")
+    if wanted(f"{out}/reports/filter_effect"):
+        sinks.write_report_tsv(filter_effect(contigs, min_cov, min_len), f"{out}/reports/filter_effect", order=["sample"])
+    return filter_effect(contigs, min_cov, min_len)
+
+
+def run_removal(spark: SparkSession, removal_list: str, root: str, out: str, depth: int = 1, repeated: str = "last") -> DataFrame:
+    """Remove listed contigs from the files under ``root`` and write them to ``out`` with ``_removed`` in their names.
+
+    Returns the listed paths that are not there (``path``), to warn about.
+    """
+    removals = settle(read_removal_list(spark, removal_list, repeated)).withColumn("path", plain_path("path"))
+    files = scan_contig_files(spark, root, depth).select(plain_path("path").alias("path"))
+    missing = settle(co.listed_files_missing(removals, files))
+    contigs = read_fasta(spark, _globs(spark, root, depth))
+    sinks.write_removed_fasta(co.remove_contigs(contigs, removals), out)
+    return missing
 
 
 def run_reads(spark: SparkSession, root: str, out: str, depth: int = 1, trim: dict | None = None,
@@ -65,5 +108,5 @@ def run_reads(spark: SparkSession, root: str, out: str, depth: int = 1, trim: di
     cleaned = re.filter_reads(re.trim_reads(reads, **(trim or {})), **(keep or {}))
     sinks.write_fastq(cleaned, f"{out}/reads_trimmed")
     report = re.qc_before_and_after(reads, cleaned)
-    sinks.write_report_tsv(report, f"{out}/reports/read_quality")
+    sinks.write_report_tsv(report, f"{out}/reports/read_quality", order=["sample", "mate", "stage"])
     return report

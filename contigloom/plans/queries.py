@@ -622,4 +622,4 @@ def incremental_filter(spark, sf):
     source, out = scratch_dir(spark, "arrivals"), scratch_dir(spark, "arrived")
     sinks.write_fasta(views(spark, sf)("contigs_v"), source, suffix="")
     arrivals.incremental_filter(spark, source, out, out + "-checkpoint")
-    return spark.read.parquet(out).select("sample", "header", md5("seq").alias("seq_md5"), "used_fallback")
+    return arrivals.read_arrived(spark, out).select("sample", "header", md5("seq").alias("seq_md5"), "used_fallback")

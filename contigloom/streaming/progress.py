@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from contigloom.operators.status import latest_status
+from contigloom.operators.status import stage_progress
 from contigloom.schemas import STEPS
 
 
@@ -17,19 +17,36 @@ def stream_status(events: DataFrame) -> DataFrame:
             .agg(F.max_by("status", at).alias("status"), F.max(at).alias("at")))
 
 
-def write_progress(events: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Write the cells each micro-batch changed to ``out/batch=N``.
+def write_progress(events: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Keep the status of all samples and the counts of stages up to date under ``out``.
 
-    A repeated micro-batch replaces its own folder, so the table is right after a restart.
+    ``trigger`` is what ``DataStreamWriter.trigger`` takes, such as ``{"processingTime": "10 seconds"}`` for a live table; by default
+    the query ends when it has taken what is there. Each micro-batch writes the whole table, at most 16 cells a sample, and
+    the stage counts to one of two folders in turn, so nothing piles up and the other folder stays readable meanwhile. A
+    repeated micro-batch replaces its own folder.
     """
-    def save(changed: DataFrame, batch: int) -> None:
-        (changed.select("sample", "step", "status", "at.ts", "at.seq_no")
-         .write.mode("overwrite").parquet(f"{out}/batch={batch}"))
+    def save(cells: DataFrame, batch: int) -> None:
+        latest = cells.select("sample", "step", "status", "at.ts", "at.seq_no", F.lit(batch).cast("long").alias("version"))
+        latest.write.mode("overwrite").parquet(f"{out}/cells/turn={batch % 2}")
+        written = events.sparkSession.read.parquet(f"{out}/cells/turn={batch % 2}")
+        counts = stage_progress(written).withColumn("version", F.lit(batch).cast("long"))
+        counts.write.mode("overwrite").parquet(f"{out}/stages/turn={batch % 2}")
 
-    return (stream_status(events).writeStream.outputMode("update").foreachBatch(save)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    return (stream_status(events).writeStream.outputMode("complete").foreachBatch(save)
+            .option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start())
+
+
+def _newest(spark: SparkSession, path: str) -> DataFrame:
+    table = spark.read.parquet(path)
+    last = table.agg(F.max("version")).first()[0]
+    return table.filter(F.col("version") == last).drop("version", "turn")
 
 
 def read_progress(spark: SparkSession, out: str) -> DataFrame:
     """The status table as of the last finished micro-batch."""
-    return latest_status(spark.read.parquet(out).drop("batch"))
+    return _newest(spark, f"{out}/cells")
+
+
+def read_stage_progress(spark: SparkSession, out: str) -> DataFrame:
+    """The stage counts as of the last finished micro-batch."""
+    return _newest(spark, f"{out}/stages")

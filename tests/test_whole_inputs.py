@@ -123,3 +123,69 @@ def test_a_cycle_of_taxa_is_reported_and_strays_are_left_out(spark):
     assert as_tuples(got, "taxid", "lineage") == [(1, [1]), (2, [1, 2]), (3, [1, 2, 3])]
     with pytest.raises(ValueError, match="cycle"):
         taxonomy.lineages(spark.createDataFrame([*rows, (4, 6, "x"), (5, 4, "y"), (6, 5, "z"), (7, 6, "w")], schema))
+
+
+LONG = "ACGT" * 150
+
+
+def test_arriving_files_decide_for_themselves_and_one_counts(spark, tmp_path):
+    from contigloom.streaming import arrivals
+
+    source, out, checkpoint = (str(tmp_path / x) for x in ("in", "out", "checkpoint"))
+    put(tmp_path, "in/s.fasta", f">a_cov_1\n{LONG}\n>b_cov_99\n{LONG}\n")
+    put(tmp_path, "in/note.txt", ">x\nA\n")
+    arrivals.incremental_filter(spark, source, out, checkpoint)
+    put(tmp_path, "in/s.fa", f">c_cov_1\n{LONG}\n")
+    put(tmp_path, "in/t.fna", f">d_cov_50\n{LONG}\n>e_cov_2\n{LONG}\n")
+    arrivals.incremental_filter(spark, source, out, checkpoint)
+    assert as_tuples(arrivals.read_arrived(spark, out), "sample", "header", "used_fallback") == [("s", "c_cov_1", True), ("t", "d_cov_50", False)]
+
+
+def test_a_second_run_keeps_what_is_there_and_makes_what_is_not(spark, tmp_path):
+    import shutil
+
+    from contigloom.plans import cohort
+
+    put(tmp_path, "in/a.fa", f">n1_cov_20\n{LONG}\n>n2_cov_2\n{LONG}\n")
+    source, out = str(tmp_path / "in"), tmp_path / "out"
+    cohort.run_contigs(spark, source, str(out))
+    first = {p: p.stat().st_mtime_ns for p in out.rglob("*") if p.is_file()}
+    cohort.run_contigs(spark, source, str(out))
+    assert {p: p.stat().st_mtime_ns for p in out.rglob("*") if p.is_file()} == first
+    shutil.rmtree(out / "contigs_filtered")
+    cohort.run_contigs(spark, source, str(out))
+    assert as_tuples(text.read_fasta(spark, str(out / "contigs_filtered")), "header") == [("n1_cov_20",)]
+    cohort.run_contigs(spark, source, str(tmp_path / "skipped"), skip=("filter",))
+    assert not (tmp_path / "skipped/contigs_filtered").exists()
+    assert as_tuples(spark.read.parquet(str(tmp_path / "skipped/status")), "sample", "step", "status") == [("a", "FILTER", "SKIPPED")]
+
+
+def test_removal_run_from_list_to_files(spark, tmp_path):
+    from contigloom.plans import cohort
+
+    path = put(tmp_path, "in/a.fasta", ">x\nA\n>y\nC\n")
+    put(tmp_path, "in/b.fasta", ">z\nA\n")
+    listed = put(tmp_path, "list.tab", f"{path}\tx\n{tmp_path}/in/gone.fa\tq\n")
+    missing = cohort.run_removal(spark, listed, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert as_tuples(missing, "path") == [(f"{tmp_path}/in/gone.fa",)]
+    lines = spark.read.option("recursiveFileLookup", True).text(str(tmp_path / "out"))
+    assert sorted(r["value"] for r in lines.collect()) == [">y", "C"]
+
+
+def test_sorted_reports_and_live_stage_counts(spark, tmp_path):
+    from contigloom.sinks import files as sinks
+    from contigloom.streaming import progress
+
+    table = spark.range(100).select((99 - F.col("id")).alias("id")).repartition(7)
+    sinks.write_report_tsv(table, str(tmp_path / "t"), header=False, order=["id"])
+    parts = sorted((tmp_path / "t").glob("part-*"))
+    assert [int(x) for p in parts for x in p.read_text().split()] == list(range(100))
+    events = "sample string, step string, status string, ts timestamp, seq_no long"
+    for k, (state, expected) in enumerate((("OK", 1), ("FAIL", 2))):
+        rows = spark.sql(f"select 's{k}' as sample, 'FASTP' as step, '{state}' as status, timestamp '2024-01-01' as ts, {k}L as seq_no")
+        rows.write.mode("append").parquet(str(tmp_path / "events"))
+        stream = spark.readStream.schema(events).parquet(str(tmp_path / "events"))
+        progress.write_progress(stream, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+        counts = {r["stage"]: (r["n_run"], r["n_total"]) for r in progress.read_stage_progress(spark, str(tmp_path / "out")).collect()}
+        assert counts[1] == (expected, expected) and counts[2][0] == 0
+    assert as_tuples(progress.read_progress(spark, str(tmp_path / "out")), "sample", "status") == [("s0", "OK"), ("s1", "FAIL")]
