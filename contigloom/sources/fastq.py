@@ -20,7 +20,7 @@ from contigloom.sources.files import file_system
 
 RANGE_BYTES = 64 * 1024 * 1024
 BLOCK_BYTES = 4 * 1024 * 1024
-MAX_TASKS = 100_000
+TASKS_PER_CORE = 32
 
 
 def _find_record(f: io.BufferedReader, start: int) -> None:
@@ -129,34 +129,49 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["path", "start", "n"])
 
 
-def _spread(ranges: DataFrame) -> DataFrame:
-    """One task per range; a size-based merge would see only a few bytes per range."""
-    return ranges.repartition(max(1, min(ranges.count(), MAX_TASKS)))
+def _one_task_each(ranges: DataFrame) -> DataFrame:
+    """Ranges, each in a task of its own; a size-based merge would see only a few bytes per range.
 
-
-def read_fastq(spark: SparkSession, read_files: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
+    Numbers come from how many rows each partition holds, so no range shares a task with another.
+    """
+    ranges = settle(ranges.withColumn("_part", F.spark_partition_id()).withColumn("_row", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
+    held = {r["_part"]: r["count"] for r in ranges.groupBy("_part").count().collect()}  # one number per partition of the listing
+    if not held:
+        return ranges.drop("_part", "_row")
+    before, firsts = 0, []
+    for part in sorted(held):
+        firsts += [F.lit(part), F.lit(before)]
+        before += held[part]
+    place = (F.create_map(*firsts)[F.col("_part")] + F.col("_row")).cast("int")
+    return ranges.repartitionById(before, place).drop("_part", "_row")
+
+
+def read_fastq(spark: SparkSession, read_files: DataFrame, range_bytes: int | None = None) -> DataFrame:
     """Reads of ``read_files(sample, mate, path, length)``, numbered from 0 along each file.
 
     Where a mate comes in several files (parts Spark wrote), numbers repeat: pair by ``read_id`` then.
 
-    Plain files are read in byte ranges. To number their reads, ranges of files that have several are
-    counted first. A gzip file cannot be split and is one task.
+    Plain files are read in byte ranges, by default of 64 MiB or, beyond ``TASKS_PER_CORE`` of them for each core, so many times
+    larger. To number their reads, ranges of files that have several are counted first. A gzip file cannot be split and is one task.
     """
+    read_files = settle(read_files.filter("length > 0").select("sample", F.col("mate").cast("int").alias("mate"), "path", "length"))
+    if range_bytes is None:
+        total = read_files.agg(F.sum("length")).first()[0] or 0
+        range_bytes = max(RANGE_BYTES, total // (TASKS_PER_CORE * spark.sparkContext.defaultParallelism))
     whole = F.col("path").endswith(".gz")
     starts = F.when(whole, F.array(F.lit(0).cast("long"))).otherwise(
         F.sequence(F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0).cast("long")),
                    F.lit(range_bytes).cast("long")))
-    ranges = read_files.filter("length > 0").select(
-        "sample", F.col("mate").cast("int").alias("mate"), "path", F.explode(starts).alias("start"), "length",
-        (F.size(starts) > 1).alias("split"))
+    ranges = read_files.select(
+        "sample", "mate", "path", F.explode(starts).alias("start"), "length", (F.size(starts) > 1).alias("split"))
     ranges = ranges.withColumn("end", F.least(F.col("start") + range_bytes, F.col("length")))
     split = ranges.filter("split").select("path", "start", "end")
     first_no = F.lit(0).cast("long")
     if not split.isEmpty():
-        counts = settle(_spread(split).mapInArrow(_counts, "path string, start bigint, n bigint"))
+        counts = settle(_one_task_each(split).mapInArrow(_counts, "path string, start bigint, n bigint"))
         earlier = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
         numbered = counts.select("path", "start", F.sum("n").over(earlier).alias("first_no"))
         ranges = ranges.join(numbered, ["path", "start"], "left")
         first_no = F.coalesce("first_no", first_no)
     columns = ranges.select("sample", "mate", "path", "start", "end", first_no.alias("first_no"))
-    return _spread(columns).mapInArrow(_reads, READS)
+    return _one_task_each(columns).mapInArrow(_reads, READS)
