@@ -23,19 +23,30 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
+def _until_exit(spark: SparkSession, path: str) -> None:
+    """Have the file system delete the folder when this session's JVM ends."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    system.mkdirs(folder)  # only what exists can be registered
+    system.deleteOnExit(folder)
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new path under the shared folder."""
+    """A new path under the shared folder, which goes when the session's JVM ends."""
     base = shared_dir(spark)
     if "://" not in base and not base.startswith("file:"):
         base = os.path.abspath(base)
-    return f"{base.rstrip('/')}/contigloom/{name}-{uuid.uuid4().hex}"
+    own = f"{base.rstrip('/')}/contigloom-{spark.sparkContext.applicationId}"
+    _until_exit(spark, own)
+    return f"{own}/{name}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and keep it in the shared folder; survives lost executors."""
+    """Compute ``df`` once and keep it in the shared folder; survives lost executors, and goes when the session's JVM ends."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
+    _until_exit(df.sparkSession, context.getCheckpointDir())  # a folder of this context alone
     return df.checkpoint(eager=True)
 
 

@@ -189,3 +189,22 @@ def test_sorted_reports_and_live_stage_counts(spark, tmp_path):
         counts = {r["stage"]: (r["n_run"], r["n_total"]) for r in progress.read_stage_progress(spark, str(tmp_path / "out")).collect()}
         assert counts[1] == (expected, expected) and counts[2][0] == 0
     assert as_tuples(progress.read_progress(spark, str(tmp_path / "out")), "sample", "status") == [("s0", "OK"), ("s1", "FAIL")]
+
+
+def test_a_session_leaves_no_intermediate_files(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    code = f"""
+from pyspark.sql import SparkSession
+from contigloom.session import scratch_dir, settle
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", r"{tmp_path}/shared").getOrCreate()
+settle(spark.range(5)).write.parquet(scratch_dir(spark, "x"))
+import os
+print("FOUND", sum(len(f) for _, _, f in os.walk(r"{tmp_path}")))
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=os.environ | {"PYTHONPATH": root}, capture_output=True, text=True, timeout=200)
+    assert int(done.stdout.split("FOUND")[1]) > 0
+    assert [f for _, _, names in os.walk(tmp_path) for f in names] == []
