@@ -40,17 +40,17 @@ def trim_reads(reads: DataFrame, window: int = 4, mean_q: float = 20, front: boo
     }).drop("_cut")
 
 
-def read_passes(q: int = 15, u: float = 40, e: float = 0, l: int = 15) -> Column:
+def read_passes(q: int = 15, u: float = 40, e: float = 0, l: int = 15, qual: str = "qual") -> Column:
     """Long enough, at most ``u`` percent of bases below quality ``q``, mean quality at least ``e``."""
-    length = F.length("qual")
-    low = length - bases.count_quality_at_least("qual", q)
+    length = F.length(qual)
+    low = length - bases.count_quality_at_least(qual, q)
     good = (length >= l) & (low * 100 <= length * u)
     if e > 0:
         @F.arrow_udf("bigint")
-        def quality_sum(qual: pa.Array) -> pa.Array:
-            return _by_slices(kernels.quality_sum, qual)
+        def quality_sum(values: pa.Array) -> pa.Array:
+            return _by_slices(kernels.quality_sum, values)
 
-        good = good & (quality_sum("qual") >= length * e)
+        good = good & (quality_sum(qual) >= length * e)
     return F.coalesce(good, F.lit(False))
 
 
@@ -79,6 +79,39 @@ def lone_mates(reads: DataFrame, pair: str = "read_no") -> DataFrame:
             .filter(F.col("mate") == F.col("_last")).drop("_last"))
 
 
+def pair_reads(reads: DataFrame, pair: str = "read_no") -> DataFrame:
+    """``sample, pair, r1, r2``: both mates in one row (structs of ``read_id, seq, qual``), NULL for one that is missing.
+
+    The one shuffle of a run over reads: store the result, and trimming, filtering and statistics are passes without any.
+    """
+    def mate(n: int) -> Column:
+        return F.max(F.when(F.col("mate") == n, F.struct("read_id", "seq", "qual"))).alias(f"r{n}")
+
+    rows = reads if "read_id" in reads.columns else reads.withColumn("read_id", F.lit(None).cast("string"))
+    return rows.groupBy("sample", pair).agg(mate(1), mate(2))
+
+
+def unpair_reads(pairs: DataFrame, pair: str = "read_no") -> DataFrame:
+    """The mates of :func:`pair_reads` as reads again, where they are."""
+    mates = F.array(*[F.struct(F.lit(n).alias("mate"), F.col(f"r{n}").alias("r")) for n in (1, 2)])
+    rows = pairs.select("sample", pair, F.explode(mates).alias("m")).filter("m.r is not null")
+    return rows.select("sample", "m.mate", pair, "m.r.read_id", "m.r.seq", "m.r.qual")
+
+
+def clean_pairs(pairs: DataFrame, trim: dict | None = None, keep: dict | None = None) -> DataFrame:
+    """Pairs of which both mates are there and pass after trimming; the options of ``trim_reads`` and ``filter_reads``. No shuffle."""
+    message = F.concat(F.lit("mates with different ids in sample "), "sample")
+    torn = F.coalesce(F.col("r1.read_id") != F.col("r2.read_id"), F.lit(False))
+    there = F.when(torn, F.raise_error(message).cast("boolean")).otherwise(F.col("r1").isNotNull() & F.col("r2").isNotNull())
+    rows = pairs.filter(there)
+    for n in (1, 2):
+        parts = rows.withColumns({"_id": F.col(f"r{n}.read_id"), "seq": F.col(f"r{n}.seq"), "qual": F.col(f"r{n}.qual")})
+        cut = trim_reads(parts, **(trim or {}))
+        rows = cut.withColumns({f"r{n}": F.struct(F.col("_id").alias("read_id"), "seq", "qual"),
+                                f"_ok{n}": read_passes(**(keep or {}))}).drop("_id", "seq", "qual")
+    return rows.filter("_ok1 and _ok2").select(pairs.columns)
+
+
 def read_qc_stats(reads: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Reads, bases, Q20/Q30 bases and rates, G/C and mean length per sample and mate."""
     keys = keys or ["sample", "mate"]

@@ -208,3 +208,19 @@ print("FOUND", sum(len(f) for _, _, f in os.walk(r"{tmp_path}")))
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=os.environ | {"PYTHONPATH": root}, capture_output=True, text=True, timeout=200)
     assert int(done.stdout.split("FOUND")[1]) > 0
     assert [f for _, _, names in os.walk(tmp_path) for f in names] == []
+
+
+def test_pairs_in_one_row_are_cleaned_without_a_shuffle(spark, tmp_path):
+    rows = [("s", m, i, f"r{i}", "ACGTACGTACGTACGTAC", "I" * 18 if i % 3 or m == 1 else "!" * 18) for i in range(30) for m in (1, 2)][:-1]
+    frame = spark.createDataFrame(rows, "sample string, mate int, read_no long, read_id string, seq string, qual string")
+    reads.pair_reads(frame).write.parquet(str(tmp_path / "pairs"))
+    pairs = spark.read.parquet(str(tmp_path / "pairs"))
+    trim, keep = {"tail": True}, {"l": 10, "e": 20}
+    cleaned = reads.unpair_reads(reads.clean_pairs(pairs, trim, keep))
+    columns = ("sample", "read_no", "mate", "read_id", "seq", "qual")
+    assert as_tuples(cleaned, *columns) == as_tuples(reads.filter_reads(reads.trim_reads(frame, **trim), **keep), *columns)
+    assert "Exchange" not in cleaned._jdf.queryExecution().executedPlan().toString()
+    assert as_tuples(reads.unpair_reads(pairs), *columns) == as_tuples(frame, *columns)
+    torn = pairs.withColumn("r2", F.struct(F.lit("other").alias("read_id"), "r2.seq", "r2.qual"))
+    with pytest.raises(Exception, match="different ids"):
+        reads.clean_pairs(torn).collect()
