@@ -51,8 +51,12 @@ def contig_id(header) -> Column:
     return F.split(_col(header), "[ \t]").getItem(0)
 
 
+# Fixed value: the number that follows a coverage mark in a header.
+COVERAGE_NUMBER = "([0-9]+[.]?[0-9]*)"
+
+
 def _number_after(header, mark: str) -> Column:
-    found = F.regexp_extract(_col(header), mark + "([0-9]+[.]?[0-9]*)", 1)
+    found = F.regexp_extract(_col(header), mark + COVERAGE_NUMBER, 1)
     return F.nullif(found, F.lit("")).try_cast("double")
 
 
