@@ -29,8 +29,8 @@ from contigloom.llm.wordhash import Words, windows, words_of
 WINDOW = 13
 PERIOD, COVER = 7, (1, 2, 4)  # a perfect difference set: each shift modulo 7 is a difference of two of its numbers
 ANCHOR = WINDOW - PERIOD + 1
-BATCH_BYTES = 16_000_000
-BUCKET_BYTES = 60_000_000  # of text whose hashes meet in a bucket
+BATCH_BYTES = 4_000_000
+BUCKET_BYTES = 16_000_000  # of text whose hashes meet in a bucket
 
 _PACKED = "bucket long, batch long, packed binary, least binary"
 
