@@ -20,7 +20,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from contigloom.llm.sample import first_by_hash
 from contigloom.llm.spans import Span, overlaps
+from contigloom.session import settle
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "name", "identity", "account")
@@ -190,13 +192,12 @@ def train(found: DataFrame, rows: int = TRAIN_ROWS) -> np.ndarray | None:
 
     The vote patterns are counted over all candidates; there are at most 3 ** 5 of them.
     """
-    counted = found.groupBy("votes", "features").count().cache()
+    counted = settle(found.groupBy("votes", "features").count())
     patterns = counted.groupBy("votes").agg(F.sum("count").alias("n")).collect()
     if not patterns:
         return None
     chance, _ = estimate(sorted((tuple(r["votes"]), r["n"]) for r in patterns))
-    sample = counted.orderBy(F.xxhash64("features"), "features").limit(rows).collect()
-    counted.unpersist()
+    sample = first_by_hash(counted, "features", rows).collect()
     x = np.array([r["features"] for r in sample])
     y = np.array([chance[tuple(r["votes"])] for r in sample])
     w = np.zeros(x.shape[1])
