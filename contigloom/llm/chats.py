@@ -4,7 +4,7 @@ Paths are enumerated by self-joins that double the distance: jump tables (ancest
 themselves, then each leaf meets each of its ancestors once, by the binary digits of the distance. So the number of joins
 is logarithmic in the depth, and the rows are those of the paths. Keys are (conv_id, msg_id).
 
-A message whose parent is null or absent is a root. Messages on a cycle hang on no root and are left out. Null text and null
+Rows with a null key are left out. A message whose parent is null or absent is a root. Messages on a cycle hang on no root and are left out. Null text and null
 role: empty. Null scores count as 0. Equal scores: the path whose leaf has the smaller msg_id comes first. Repeated rows
 (equal conv_id and msg_id): one of them counts. An empty table gives an empty result. Extra columns are left out.
 
