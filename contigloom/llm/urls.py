@@ -16,6 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from contigloom.llm.sample import first_by_hash
 from contigloom.session import settle
 
 #: (verdict, host, path): a rule fits its host and all subdomains if the url's path starts with its own; the longest wins.
@@ -85,12 +86,14 @@ def with_features(pages: DataFrame) -> DataFrame:
 
 def train(labelled: DataFrame, limit: int = TRAIN_ROWS) -> GBTClassificationModel | str:
     """Trees from rows with the features and ``label`` (1 block, 0 allow); a plain verdict if the labels are all alike."""
-    some = settle(labelled.orderBy(F.xxhash64("url"), "url").limit(limit).select("label", *FEATURES))
-    kinds = [r["label"] for r in some.select("label").distinct().collect()]
+    some = settle(first_by_hash(labelled.select("url", "label", *FEATURES), "url", limit))
+    kinds = {r["label"]: r["count"] for r in some.groupBy("label").count().collect()}
     if len(kinds) < 2:
-        return "block" if kinds == [1.0] else "allow"
-    rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(some.repartition(2)).select("label", "features")
-    return GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, minInstancesPerNode=5).fit(rows)
+        return "block" if 1.0 in kinds else "allow"
+    # both labels weigh the same, so how often the rules block is no evidence against a url without one
+    weight = F.when(F.col("label") == 1.0, 0.5 / kinds[1.0]).otherwise(0.5 / kinds[0.0]) * sum(kinds.values())
+    rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(some.repartition(2).withColumn("weight", weight))
+    return GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, minInstancesPerNode=5, weightCol="weight").fit(rows.select("label", "features", "weight"))
 
 
 def judge(rows: DataFrame, model: GBTClassificationModel | str) -> DataFrame:
