@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from contigloom.llm.sample import first_by_hash
+
 TRAIN_PAGES = 2000
 PRIOR = 20.0  # how many tokens the prior of a sort counts as
 LEAST, MOST = -6.0, 3.0
@@ -154,7 +156,7 @@ def learn(pages: DataFrame, limit: int = TRAIN_PAGES) -> dict[str, float]:
     def count(htmls: pd.Series) -> pd.Series:
         return pd.Series([[(s, i, n) for (s, i), n in page_counts(h or "").items()] for h in htmls])
 
-    some = pages.select("html", F.xxhash64("html").alias("h_")).orderBy("h_").limit(limit).repartition(8)
+    some = first_by_hash(pages.select("html"), "html", limit)
     rows = some.select(F.explode(count.asNondeterministic()(F.col("html"))).alias("c_")).groupBy("c_.sort", "c_.inside").agg(F.sum("c_.n").alias("n")).collect()
     counts: dict[str, dict[bool, int]] = {}
     for r in rows:  # sorts are made from the fixed names above
