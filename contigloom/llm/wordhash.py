@@ -85,7 +85,7 @@ def windows(words: Words, size: int, within: np.ndarray | None = None) -> tuple[
     return mix(value), at
 
 
-def in_chunks(texts: list[str | None], chars: int = 1_000_000) -> Iterator[tuple[int, list[str | None]]]:
+def in_chunks(texts: list[str | None], chars: int = 250_000) -> Iterator[tuple[int, list[str | None]]]:
     """Slices of a list of texts that hold about so many characters, or one text; with the first's index."""
     first, held = 0, 0
     for i, text in enumerate(texts):
