@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+import types
 from array import array
 from collections.abc import Iterator
 
@@ -25,15 +27,14 @@ from contigloom.llm.wordhash import in_chunks
 from contigloom.session import settle
 
 SIZE = 2048
-CACHED_WORDS = 500_000  # per worker; the ids of a word don't depend on what is around it
+CACHED_WORDS = 350_000  # per worker; the ids of a word don't depend on what is around it
 PART_ROWS = 1_000_000  # pieces of one length are numbered in parts of about so many at most
 
 #: What splits a word before the merges: a fixed value of the public vocabulary.
 _PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _WORD = re.compile(r"[^ \t-\r]+")
-_BEYOND_LATIN = re.compile("[^\x00-\xff]")
-#: What str.split() takes for a blank, or the vocabulary for a control string: left to the tokenizer as a whole.
-_ODD = re.compile("[\x1c-\x1f\x85\xa0]|<\\|")
+#: What str.split() takes for a blank and the vocabulary does not, or not as a byte: texts with it are left to the tokenizer.
+_ODD = b"\x1c\x1d\x1e\x1f\x85\xa0"
 
 
 def _printable_bytes() -> dict[int, str]:
@@ -58,44 +59,52 @@ class _Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.cut = self.tokenizer.model, regex.compile(_PIECES).findall
         self.bytes = _printable_bytes()
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[tuple | str, int] = {}  # raw words as (word,)
-        self.pieces: dict[str, list[int]] = {}
+        self.known: dict[tuple | str, int] = {}  # pieces and lower-case words; raw words as (word,)
         self.flat, self.first = array("I", [0]), array("q", [0, 1])  # word 0 is the closing id
-
-    def _piece(self, piece: str) -> list[int]:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            spelled = piece if piece.isascii() and piece.isprintable() else "".join(self.bytes[b] for b in piece.encode())
-            ids = self.pieces[piece] = [t.id for t in self.model.tokenize(spelled)]
-        return ids
-
-    def _word(self, key: tuple | str) -> int:
-        if key in self.known:  # twice in the text that brought it
-            return self.known[key]
-        if isinstance(key, tuple):
-            ids = self.tokenizer.encode(key[0], add_special_tokens=False).ids
-        elif key.isalpha():
-            ids = self._piece(key)
-        else:
-            ids = [i for piece in self.cut(key) for i in self._piece(piece)]
+        self.uses = np.zeros(1, dtype=np.int64)
+
+    def _forget(self) -> None:
+        """Drop the words that were met once or twice."""
+        kept = {key: i for key, i in self.known.items() if i < len(self.uses) and self.uses[i] > 2}
+        kept = kept if len(kept) < CACHED_WORDS // 2 else {}
+        flat, first = self.flat, self.first
+        self.known, self.flat, self.first = {}, array("I", [0]), array("q", [0, 1])
+        for key, i in kept.items():
+            self._add(key, flat[first[i]:first[i + 1]])
+        self.uses = np.zeros(len(self.first) - 1, dtype=np.int64)
+
+    def _add(self, key: tuple | str, ids) -> int:
         self.flat.extend(ids)
         self.first.append(len(self.flat))
         at = self.known[key] = len(self.first) - 2
         return at
 
+    def _new(self, key: tuple | str) -> int:
+        at = self.known.get(key)
+        if at is not None:  # twice in the text that brought it
+            return at
+        if isinstance(key, tuple):
+            return self._add(key, self.tokenizer.encode(key[0], add_special_tokens=False).ids)
+        pieces = None if key.isalpha() else self.cut(key)
+        if pieces is None or pieces == [key]:
+            spelled = key if key.isascii() and key.isprintable() else "".join([self.bytes[b] for b in key.encode()])
+            return self._add(key, [t.id for t in self.model.tokenize(spelled)])
+        ids = array("I")
+        for i in map(self._new, pieces):
+            ids.extend(self.flat[self.first[i]:self.first[i + 1]])
+        return self._add(key, ids)
+
     def texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each with the closing id 0, and where each text's ids end."""
         if len(self.known) > CACHED_WORDS:
-            self.forget()
-        known, new, at, ends = self.known, self._word, [], []
+            self._forget()
+        known, new, at, ends = self.known, self._new, [], []
         for text in texts:
-            if _ODD.search(text) or _BEYOND_LATIN.search(text):
-                keys = [(w,) for w in _WORD.findall(text)]
-            else:
-                keys = text.lower().split()
+            try:
+                plain = "<|" not in text and len(raw := text.encode("latin-1")) == len(raw.translate(None, _ODD))
+            except UnicodeEncodeError:
+                plain = False
+            keys = text.lower().split() if plain else [(w,) for w in _WORD.findall(text)]
             found = list(map(known.get, keys))
             if None in found:
                 found = [new(k) if i is None else i for k, i in zip(keys, found)]
@@ -103,12 +112,23 @@ class _Encoder:
             at.append(0)
             ends.append(len(at))
         at = np.array(at, dtype=np.int64)
+        uses = np.bincount(at, minlength=len(self.first) - 1)
+        uses[:len(self.uses)] += self.uses
+        self.uses = uses
         flat, first = np.array(self.flat, dtype="<u4"), np.array(self.first)
         length = first[at + 1] - first[at]
         after = np.cumsum(length)
         return flat[np.repeat(first[at] - after + length, length) + np.arange(after[-1])], after[np.array(ends) - 1]
 
 
+def _encoder(path: str) -> _Encoder:
+    """The Python worker's encoder, kept for the tasks that it runs later: what it has learnt of words stays true."""
+    kept = sys.modules.setdefault("contigloom_worker_encoders", types.ModuleType("contigloom_worker_encoders")).__dict__
+    if path not in kept:
+        kept[path] = _Encoder(path)
+    return kept[path]
+
+
 def tokenise(docs: DataFrame, tokenizer_path: str, size: int = SIZE) -> DataFrame:
     """One row per piece: the document's other columns, piece, start, length, ids (binary, little-endian unsigned 32-bit).
 
@@ -117,7 +137,7 @@ def tokenise(docs: DataFrame, tokenizer_path: str, size: int = SIZE) -> DataFram
 
     @F.pandas_udf("array<binary>")
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = _Encoder(tokenizer_path)
+        encoder = _encoder(tokenizer_path)
         for texts in batches:
             out = []
             for _, part in in_chunks(texts.tolist()):
@@ -127,7 +147,8 @@ def tokenise(docs: DataFrame, tokenizer_path: str, size: int = SIZE) -> DataFram
             yield pd.Series(out)
 
     columns = [c for c in docs.columns if c not in ("text", "piece", "start", "length", "ids")]
-    rows = docs.select(*columns, cut(F.col("text")).alias("pieces"))
+    # else the optimizer puts a second call of it into a filter before the explode
+    rows = docs.select(*columns, cut.asNondeterministic()(F.col("text")).alias("pieces"))
     rows = rows.select(*columns, F.posexplode("pieces").alias("piece", "ids"))
     return rows.withColumns({"start": F.col("piece").cast("long") * size,
                              "length": (F.octet_length("ids") / 4).cast("long")})
@@ -159,7 +180,15 @@ def _best_two(left: np.ndarray, gap: int, more_than: int) -> tuple[int, int] | N
 
 
 def pack_counts(counts: dict[int, int], size: int = SIZE) -> list[tuple[tuple[int, ...], int]]:
-    """Patterns (lengths of one bin) and how many bins have each, for so many pieces of each length."""
+    """Patterns (lengths of one bin) and how many bins have each, for so many pieces of each length.
+
+    Replacing helps where small pieces are plenty. So the least of three packings is taken: the smallest piece gives way
+    to any two that fill more, only to two that fill the bin to the last place, or never.
+    """
+    return min((_pack(counts, size, least) for least in (0, size, size + 1)), key=lambda patterns: sum(n for _, n in patterns))
+
+
+def _pack(counts: dict[int, int], size: int, least_fill: int) -> list[tuple[tuple[int, ...], int]]:
     left = np.zeros(size + 1, dtype=np.int64)
     for length, n in counts.items():
         left[length] = n
@@ -172,7 +201,7 @@ def pack_counts(counts: dict[int, int], size: int = SIZE) -> list[tuple[tuple[in
             gap -= length
         while gap and len(held) > 1:  # the largest stays
             least = held[-1]
-            two = _best_two(spare, gap + least, least)
+            two = _best_two(spare, gap + least, max(least, least_fill - size + gap + least - 1))
             if two is None:
                 break
             held[-1:] = two
