@@ -3,9 +3,10 @@
 Tokens are runs of letters, and numbers. A number is a number slot; a unit right after a number is a unit slot; a capitalised
 word inside a sentence is a name slot. Windows of ``WINDOW`` tokens of the canonical text are hash-joined with those of the
 benchmark's items; a match is aligned by its shift between document and item. An alignment counts if its slots are
-consistent: one value of the item always stands for one value of the document. An item is leaked into a document if at least
-``NEED`` of its windows, or all it has, are found in consistent alignments. So both verbatim passages and questions
-with other numbers, names or units are found.
+consistent: one value of the item always stands for one value of the document. Windows are joined on their words as they are too;
+such a window counts whatever stands around it. An item is leaked into a document if at least ``NEED`` of its windows,
+or all it has, are found word for word or in consistent alignments. So both verbatim passages and questions with
+other numbers, names or units are found.
 
 Items of fewer tokens than a window are one window of their own length. Windows with fewer than ``LITERAL`` tokens that
 aren't slots are left out on both sides; an item with none left can't be found. Null text: no tokens, no match. Documents
@@ -41,19 +42,20 @@ def canonical_tokens(text: Column) -> Column:
 
 
 def _windows(sizes: list[int]) -> Column:
-    """All windows of these sizes over ``hashes``: size, pos, hash, words (null if no token of the text is a slot)."""
-    each = [f"case when size(hashes) >= {n} then transform(sequence(0, size(hashes) - {n}), i -> struct({n} as size, i as pos, "
-            f"xxhash64({n}, {', '.join(f'hashes[i + {j}]' for j in range(n))}) as hash, "
+    """All windows of these sizes: size, pos, raw (over the words as they are), hash, words (null if no token of the text is a slot)."""
+    each = [f"case when size({of}) >= {n} then transform(sequence(0, size({of}) - {n}), i -> struct({n} as size, i as pos, {raw} as raw, "
+            f"xxhash64({sign}{n}, {', '.join(f'{of}[i + {j}]' for j in range(n))}) as hash, "
             f"case when has_slots then slice(tokens, i + 1, {n}) end as words)) "
-            f"else array() end" for n in sizes]
+            f"else array() end" for n in sizes for of, raw, sign in (("hashes", "false", ""), ("raws", "true", "-"))]
     return F.expr(each[0] if len(each) == 1 else f"concat({', '.join(each)})")
 
 
 def windows_of(rows: DataFrame, key: str, sizes: list[int]) -> DataFrame:
-    """key, size, pos, hash, words: each window of each text that has enough literal tokens."""
+    """key, size, pos, raw, hash, words: each window of each text that has enough literal tokens, as template and as it is."""
     kind = f"case when t < ':' then case when t < '{UNIT}' then '<name>' when t < '0' then '<unit>' else '<number>' end else t end"
     rows = rows.select(key, canonical_tokens(F.col("text")).alias("tokens"))
     rows = rows.select(key, "tokens", F.expr(f"transform(tokens, t -> xxhash64({kind}))").alias("hashes"),
+                       F.expr(f"transform(tokens, t -> xxhash64(translate(t, '{NAME}{UNIT}', '')))").alias("raws"),
                        F.expr("exists(tokens, t -> t < ':')").alias("has_slots"))
     # the outer form, as the optimizer would build the windows twice for the inner one
     rows = rows.select(key, F.explode_outer(_windows(sizes)).alias("w_")).select(key, "w_.*")
@@ -62,12 +64,12 @@ def windows_of(rows: DataFrame, key: str, sizes: list[int]) -> DataFrame:
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """item_id, size, wpos, hash, item_words, n_item (windows of the item). Kept in the shared folder."""
+    """item_id, size, wpos, raw, hash, item_words, n_item (windows of the item). Kept in the shared folder."""
     items = benchmark.select("item_id", "text").withColumn("n_", F.size(canonical_tokens(F.col("text"))))
     sizes = list(range(LITERAL, WINDOW + 1))
     rows = windows_of(items.select(F.struct("item_id", "n_").alias("item_"), "text"), "item_", sizes)
     rows = rows.filter(F.col("size") == F.least(F.col("item_.n_"), F.lit(WINDOW))).select(
-        "item_.item_id", "size", F.col("pos").alias("wpos"), "hash", F.col("words").alias("item_words")).dropDuplicates(["item_id", "wpos", "hash"])
+        "item_.item_id", "size", F.col("pos").alias("wpos"), "raw", "hash", F.col("words").alias("item_words")).dropDuplicates(["item_id", "wpos", "hash"])
     total = rows.groupBy("item_id").agg(F.countDistinct("wpos").alias("n_item"))
     return settle(rows.join(total, rows["item_id"].eqNullSafe(total["item_id"])).drop(total["item_id"]))
 
@@ -77,11 +79,12 @@ def leaked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = item_windows(benchmark)
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect()) or [WINDOW]  # five at most
     found = windows_of(docs.select("doc_id", "text"), "doc_id", sizes)
-    found = found.join(broadcast_if_small(items.drop("size")), "hash")
-    slots = F.expr("filter(arrays_zip(item_words, words), p -> p.words < ':')")
-    found = found.select("doc_id", "item_id", "n_item", "wpos", (F.col("pos") - F.col("wpos")).alias("shift"), slots.alias("slots"))
+    found = found.join(broadcast_if_small(items.drop("size")), ["raw", "hash"])
+    # a window found as it is has nothing to be consistent with
+    slots = F.expr("case when not raw then filter(arrays_zip(item_words, words), p -> p.words < ':') end")
+    found = found.select("doc_id", "item_id", "n_item", "raw", "wpos", (F.col("pos") - F.col("wpos")).alias("shift"), slots.alias("slots"))
     # an alignment has a value for each of its item's tokens at most
-    aligned = found.groupBy("doc_id", "item_id", "n_item", "shift").agg(
+    aligned = found.groupBy("doc_id", "item_id", "n_item", "raw", "shift").agg(
         F.collect_set("wpos").alias("at"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
     one = F.expr("size(array_distinct(transform(slots, p -> p.item_words))) = size(slots)")
     exact = F.expr("forall(slots, p -> p.item_words = p.words)")

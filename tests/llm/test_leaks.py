@@ -33,6 +33,13 @@ def test_slots_must_be_consistent(spark):
     assert found(spark, [same, torn], [item]) == {(0, 1): False}
 
 
+def test_verbatim_windows_count_whatever_stands_around_them(spark):
+    item = "if box 3 holds red balls and box 3 holds blue balls then box 5 holds green balls only at night"
+    torn = item.replace("3", "8", 1)  # eighteen tokens in a row stay
+    few = item.replace("box 3 holds blue", "box 8 holds blue").replace("box 5", "box 3")  # no six windows stay
+    assert found(spark, [torn, few], [item]) == {(0, 1): True}
+
+
 def test_thirteen_tokens_are_needed_and_short_items_are_whole_windows(spark):
     twelve, thirteen = " ".join(WORDS[:12]), " ".join(WORDS[3:16])
     texts = ["q r " + twelve + " s", "q r " + thirteen + " s", "so delta epsilon zeta eta theta end", "delta epsilon zeta eta"]
