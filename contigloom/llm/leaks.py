@@ -1,6 +1,6 @@
 """Benchmark decontamination by templates: numbers, names and units become typed placeholders, windows of the result are joined.
 
-Tokens are runs of letters, and numbers. A number is a number slot; a unit right after a number is a unit slot; a capitalised
+Tokens are runs of letters, and numbers; in scripts without spaces each letter is one. A number is a number slot; a unit right after a number is a unit slot; a capitalised
 word inside a sentence is a name slot. Windows of ``WINDOW`` tokens of the canonical text are hash-joined with those of the
 benchmark's items; a match is aligned by its shift between document and item. An alignment counts if its slots are
 consistent: one value of the item always stands for one value of the document. Windows are joined on their words as they are too;
@@ -8,8 +8,9 @@ such a window counts whatever stands around it. An item is leaked into a documen
 or all it has, are found word for word or in consistent alignments. So both verbatim passages and questions with
 other numbers, names or units are found.
 
-Items of fewer tokens than a window are one window of their own length. Windows with fewer than ``LITERAL`` tokens that
-aren't slots are left out on both sides; an item with none left can't be found. Null text: no tokens, no match. Documents
+Items of fewer tokens than a window are one window of their own length, so a single word is found wherever it stands. Templates with
+fewer than ``LITERAL`` tokens that aren't slots are left out on both sides: such windows, of numbers or names, are found word
+for word only, and are not among the windows that a changed copy must have. Null text: no tokens, no match. Documents
 with one doc_id are judged together (nulls too); repeated rows change nothing. Ties: a document may match several items, a row
 each. An empty table on either side gives an empty result. Extra columns are left out by ``leaked`` and kept by ``without_leaks``.
 
@@ -30,6 +31,7 @@ UNITS = ("mm cm m km in ft yd mi inch inches feet foot yards mile miles meter me
          "mg g kg lb lbs oz gram grams kilogram kilograms pound pounds ounce ounces ton tons ml l liter liters litre litres gallon gallons "
          "s sec second seconds min minute minutes h hour hours day days week weeks month months year years kmh mph percent dollar dollars "
          "euro euros cent cents degree degrees").split()
+UNSPACED = "".join(rf"\p{{Is{s}}}" for s in "Han Hiragana Katakana Thai Lao Khmer Myanmar".split())
 NAME, UNIT = "\x02", "\x03"  # marks before a slot's value; both sort before digits, and digits before letters
 
 
@@ -38,7 +40,8 @@ def canonical_tokens(text: Column) -> Column:
     plain = F.translate(F.coalesce(text, F.lit("")), NAME + UNIT, "  ")
     named = F.regexp_replace(plain, r"(?<=[\p{Ll},;] )(?=\p{Lu}\p{Ll})", NAME)
     united = F.regexp_replace(named, rf"(?i)(?<=[0-9])( ?)(?=(?:{'|'.join(UNITS)})(?![\p{{L}}]))", " " + UNIT)
-    return F.regexp_extract_all(F.lower(united), F.lit(rf"[{NAME}{UNIT}]?[\p{{L}}\p{{M}}]+|[0-9]+(?:[.,][0-9]+)*"), F.lit(0))
+    return F.regexp_extract_all(F.lower(united), F.lit(rf"[{UNSPACED}&&[\p{{L}}\p{{M}}]]\p{{M}}*|[{NAME}{UNIT}]?[\p{{L}}\p{{M}}&&[^{UNSPACED}]]+"
+                                                          r"|[0-9]+(?:[.,][0-9]+)*"), F.lit(0))
 
 
 def _windows(sizes: list[int]) -> Column:
@@ -51,7 +54,7 @@ def _windows(sizes: list[int]) -> Column:
 
 
 def windows_of(rows: DataFrame, key: str, sizes: list[int]) -> DataFrame:
-    """key, size, pos, raw, hash, words: each window of each text that has enough literal tokens, as template and as it is."""
+    """key, size, pos, raw, hash, words: each window of each text as it is, and as template if it has enough literal tokens."""
     kind = f"case when t < ':' then case when t < '{UNIT}' then '<name>' when t < '0' then '<unit>' else '<number>' end else t end"
     rows = rows.select(key, canonical_tokens(F.col("text")).alias("tokens"))
     rows = rows.select(key, "tokens", F.expr(f"transform(tokens, t -> xxhash64({kind}))").alias("hashes"),
@@ -59,39 +62,41 @@ def windows_of(rows: DataFrame, key: str, sizes: list[int]) -> DataFrame:
                        F.expr("exists(tokens, t -> t < ':')").alias("has_slots"))
     # the outer form, as the optimizer would build the windows twice for the inner one
     rows = rows.select(key, F.explode_outer(_windows(sizes)).alias("w_")).select(key, "w_.*")
-    literal = F.expr(f"words is null or size(filter(words, t -> t >= ':')) >= {LITERAL}")
-    return rows.filter(F.col("hash").isNotNull() & (F.col("size") >= LITERAL) & literal)
+    literal = F.expr(f"raw or size >= {LITERAL} and (words is null or size(filter(words, t -> t >= ':')) >= {LITERAL})")
+    return rows.filter(F.col("hash").isNotNull() & literal)
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """item_id, size, wpos, raw, hash, item_words, n_item (windows of the item). Kept in the shared folder."""
+    """item_id, size, wpos, raw, hash, item_words, n_item (windows of the item), n_same (those that have a template). Kept in the shared folder."""
     items = benchmark.select("item_id", "text").withColumn("n_", F.size(canonical_tokens(F.col("text"))))
-    sizes = list(range(LITERAL, WINDOW + 1))
+    sizes = list(range(1, WINDOW + 1))
     rows = windows_of(items.select(F.struct("item_id", "n_").alias("item_"), "text"), "item_", sizes)
     rows = rows.filter(F.col("size") == F.least(F.col("item_.n_"), F.lit(WINDOW))).select(
-        "item_.item_id", "size", F.col("pos").alias("wpos"), "raw", "hash", F.col("words").alias("item_words")).dropDuplicates(["item_id", "wpos", "hash"])
-    total = rows.groupBy("item_id").agg(F.countDistinct("wpos").alias("n_item"))
+        "item_.item_id", "size", F.col("pos").alias("wpos"), "raw", "hash", F.col("words").alias("item_words")).dropDuplicates(["item_id", "raw", "wpos", "hash"])
+    total = rows.groupBy("item_id").agg(F.countDistinct("wpos").alias("n_item"), F.countDistinct(F.when(~F.col("raw"), F.col("wpos"))).alias("n_same"))
     return settle(rows.join(total, rows["item_id"].eqNullSafe(total["item_id"])).drop(total["item_id"]))
 
 
 def leaked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, n_windows (of the item, found), n_item (all it has), exact (no slot has another value)."""
     items = item_windows(benchmark)
-    sizes = sorted(r["size"] for r in items.select("size").distinct().collect()) or [WINDOW]  # five at most
+    sizes = sorted(r["size"] for r in items.select("size").distinct().collect()) or [WINDOW]  # eight at most
     found = windows_of(docs.select("doc_id", "text"), "doc_id", sizes)
     found = found.join(broadcast_if_small(items.drop("size")), ["raw", "hash"])
     # a window found as it is has nothing to be consistent with
     slots = F.expr("case when not raw then filter(arrays_zip(item_words, words), p -> p.words < ':') end")
-    found = found.select("doc_id", "item_id", "n_item", "raw", "wpos", (F.col("pos") - F.col("wpos")).alias("shift"), slots.alias("slots"))
+    found = found.select("doc_id", "item_id", "n_item", "n_same", "raw", "wpos", (F.col("pos") - F.col("wpos")).alias("shift"), slots.alias("slots"))
     # an alignment has a value for each of its item's tokens at most
-    aligned = found.groupBy("doc_id", "item_id", "n_item", "raw", "shift").agg(
+    aligned = found.groupBy("doc_id", "item_id", "n_item", "n_same", "raw", "shift").agg(
         F.collect_set("wpos").alias("at"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
     one = F.expr("size(array_distinct(transform(slots, p -> p.item_words))) = size(slots)")
     exact = F.expr("forall(slots, p -> p.item_words = p.words)")
     aligned = aligned.filter(one).withColumn("exact", exact)
-    places = aligned.select("doc_id", "item_id", "n_item", "exact", F.explode("at").alias("wpos"))
-    sums = places.groupBy("doc_id", "item_id", "n_item").agg(F.countDistinct("wpos").alias("n_windows"), F.every("exact").alias("exact"))
-    return sums.filter(F.col("n_windows") >= F.least(F.lit(NEED), F.col("n_item"))).select("doc_id", "item_id", "n_windows", "n_item", "exact")
+    places = aligned.select("doc_id", "item_id", "n_item", "n_same", "raw", "exact", F.explode("at").alias("wpos"))
+    sums = places.groupBy("doc_id", "item_id", "n_item", "n_same").agg(
+        F.countDistinct("wpos").alias("n_windows"), F.countDistinct(F.when(~F.col("raw"), F.col("wpos"))).alias("same"), F.every("exact").alias("exact"))
+    enough = F.expr(f"n_windows >= least({NEED}, n_item) or same >= least({NEED}, n_same) and n_same > 0")
+    return sums.filter(enough).select("doc_id", "item_id", "n_windows", "n_item", "exact")
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

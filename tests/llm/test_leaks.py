@@ -50,6 +50,18 @@ def test_numbers_alone_are_no_evidence(spark):
     assert found(spark, ["1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16"], ["21 22 23 24 25 26 27 28 29 30 31 32 33 34"]) == {}
 
 
+def test_items_of_numbers_names_few_words_and_unspaced_scripts_are_found_verbatim(spark):
+    items = ["12 + 35 * 7 - 4", "we saw Anna, Boris, Clara, David, Emil, Frida, Georg, Hanna, Ida", "Why not?", "日本で一番高い山は富士山ですか", "ประเทศไทยอยู่ที่ไหน"]
+    texts = [f"so {i}, it said" for i in items] + ["12 + 35 * 8 - 4", items[1].replace("Clara", "Karl").replace("Frida", "Fritz"), "why so", items[3][:5] + "大きい町"]
+    assert found(spark, texts, items) == {(i, i + 1): True for i in range(5)}
+
+
+def test_names_alone_dont_add_to_what_a_changed_copy_must_have(spark):
+    item = "the old farmer sold seven apples to Anna, Boris, Clara, David, Emil, Frida, Georg, Hanna, Ida"
+    other = "the old farmer sold seven apples to Zoe, Yann, Xenia, Willi, Vera, Udo, Toni, Sven, Rita"
+    assert found(spark, [other, other.replace("apples", "pears")], [item]) == {(0, 1): False}
+
+
 def test_odd_documents_repeats_and_clashing_columns(spark):
     texts = [*enumerate(ODD, 50), (1, PLAIN), (1, PLAIN), (None, PLAIN), (2, prose(50, 1))]
     rows = docs(spark, texts).withColumns({"hash": F.lit(1), "item_id": F.lit("x"), "tokens": F.lit(2), "leak_doc_id_x": F.lit(0)})
