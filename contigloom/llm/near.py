@@ -1,11 +1,10 @@
 """N-gram Jaccard join by a MinHash LSH forest, with exact verification.
 
 A document is the set of its five-word shingles (words as they are; a shorter text is one shingle). ``TREES`` sorted tries
-hold the documents' signatures, ``DEPTH`` values each. Two documents are candidates if they share a prefix in some tree. Prefixes
-start at full depth and are shortened step by step until the estimated share of the wanted pairs reaches ``RECALL``:
-a pair of similarity s shares k values in one of L trees with the chance 1 - (1 - s^k)^L, so each pair seen at depth k stands
-for one over that chance. The shortest prefix is the longest that reaches the recall for a pair right at the threshold, so
-the bound holds whatever the estimate. Candidates are verified on their whole shingle sets.
+hold the documents' signatures, ``DEPTH`` values each. Two documents are candidates if they share a prefix in some tree. A pair
+of similarity s shares k values in one of L trees with the chance 1 - (1 - s^k)^L. Prefixes are shortened step by step to the
+longest at which that chance reaches ``RECALL`` for a pair right at the threshold, so the bound holds for every wanted pair,
+whatever the others are like. All candidates seen are verified on their whole shingle sets.
 
 Copies (equal texts) are one vertex: they are counted, not expanded. Buckets are split into blocks of at most ``BLOCK`` documents,
 and each pair of blocks is a task's work of its own, so no bucket meets in one task. A pair that shares several buckets is
@@ -179,35 +178,24 @@ def near_links(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RE
     shortest = shortest_depth(threshold, recall)
 
     def survey(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """The documents with a likely partner, the greatest common prefix with one; and counts of pairs by prefix and agreement."""
-        seen = np.zeros((DEPTH + 1, 101), dtype=np.int64)
+        """The documents with a likely partner."""
         for group in _groups(batches):
-            deepest = np.zeros(len(group), dtype=np.int64)
-            for i, others, depth, agree in _pairs(group, shortest, threshold):
-                deepest[i] = max(deepest[i], depth.max())
-                np.maximum.at(deepest, others, depth)
-                np.add.at(seen, (depth, np.round(agree * 100).astype(int)), 1)
-            if deepest.any():
-                yield group[deepest > 0].assign(depth=deepest[deepest > 0], pairs=0, percent=0)
-        at = np.argwhere(seen)
-        if len(at):
-            yield pd.DataFrame({"depth": at[:, 0], "percent": at[:, 1], "pairs": seen[at[:, 0], at[:, 1]]}).reindex(columns=columns)
+            likely = np.zeros(len(group), dtype=bool)
+            for i, others, _, _ in _pairs(group, shortest, threshold):
+                likely[i] = likely[others] = True
+            if likely.any():
+                yield group[likely]
 
     placed = bucketed(reps, shortest)
-    columns = [*placed.columns, "depth", "pairs", "percent"]
-    schema = ", ".join(f"{c} {kind}" for c, kind in placed.dtypes) + ", depth long, pairs long, percent long"
-    found = settle(placed.repartition(*GROUP).sortWithinPartitions(*GROUP).mapInPandas(survey, schema))
-    counts = found.filter("pairs > 0").groupBy("depth", "percent").agg(F.sum("pairs").alias("n")).collect()  # at most 606 rows
-    depth = choose_depth([(r["depth"], r["percent"] / 100, r["n"]) for r in counts], threshold, recall, shortest)
+    found = settle(placed.repartition(*GROUP).sortWithinPartitions(*GROUP).mapInPandas(survey, placed.schema))
 
     @F.pandas_udf("binary")
     def sets(texts: pd.Series) -> pd.Series:
         return pd.Series([s.tobytes() for s in shingles_of(texts.tolist())], dtype=object)
 
-    wanted = found.filter((F.col("pairs") == 0) & (F.col("depth") >= depth)).drop("pairs", "percent", "depth")
     # the text's digest goes along, as one doc_id may have two texts; both joins have one key, so rows move once
     own = ["doc_key", "digest"]
-    wanted = wanted.join(base.select("uid", F.coalesce("doc_id", F.lit(-1)).alias("doc_key"), "digest"), "uid")
+    wanted = found.join(base.select("uid", F.coalesce("doc_id", F.lit(-1)).alias("doc_key"), "digest"), "uid")
     texts = docs.select(F.coalesce("doc_id", F.lit(-1)).alias("doc_key"), F.md5(F.coalesce("text", F.lit(""))).alias("digest"), "text")
     texts = texts.join(wanted.select(*own).distinct(), own, "left_semi").select(*own, sets("text").alias("set"))
     full = wanted.join(texts, own).drop(*own)
@@ -222,10 +210,7 @@ def near_links(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RE
             mark = np.zeros(place.max() + 1, dtype=bool)
             copies, links = group["copies"].to_numpy(), np.zeros(len(group), dtype=np.int64)
             root = np.arange(len(group))
-            for i, others, common, _ in _pairs(group, shortest, threshold):
-                others = others[common >= depth]
-                if not len(others):
-                    continue
+            for i, others, _, _ in _pairs(group, shortest, threshold):
                 mark[place[first[i]:first[i + 1]]] = True
                 inter = np.array([np.count_nonzero(mark[place[first[j]:first[j + 1]]]) for j in others])
                 mark[place[first[i]:first[i + 1]]] = False
@@ -245,7 +230,10 @@ def near_links(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RE
 
 
 def choose_depth(counts: list[tuple[int, float, int]], threshold: float, recall: float, shortest: int) -> int:
-    """The longest prefix at which the pairs seen are estimated to be enough of all, from (prefix, agreement, pairs)."""
+    """The longest prefix at which the pairs seen are estimated to be enough of all, from (prefix, agreement, pairs).
+
+    An estimate over all pairs: where most are much alike, those at the threshold hardly count. The join doesn't use it.
+    """
     for k in range(DEPTH, shortest, -1):
         seen = [(s, n) for d, s, n in counts if d >= k and s >= threshold]
         total = sum(n / chance(s, k) for s, n in seen)

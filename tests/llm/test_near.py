@@ -68,6 +68,18 @@ def test_recall_at_the_threshold():
     assert near.choose_depth([], 0.8, near.RECALL, depth) == depth
 
 
+def test_a_group_of_near_copies_costs_no_pair_at_the_threshold(spark):
+    def prefix(a, b):
+        x, y = near.signatures(near.shingles_of([a, b])).reshape(2, near.TREES, near.DEPTH)
+        return (x == y).cumprod(axis=1).sum(axis=1).max()
+
+    base = prose(300, 1)
+    made = ((text, changed(text, 6, i)) for i in range(1000) for text in [prose(300, 10_000 + i)])
+    pair = next((a, b) for a, b in made if brute([a, b])[0][1] and prefix(a, b) < near.DEPTH)
+    texts = [*pair, *[changed(base, 1, i) for i in range(50)]]
+    assert found(near.near_duplicates(docs(spark, texts))) == brute(texts)
+
+
 def test_keep_one_keeps_the_first_of_each_class_and_all_columns(spark):
     base = [prose(100, i) for i in range(3)]
     rows = docs(spark, [(7, base[0]), (3, base[0]), (5, changed(base[0], 1, 1)), (9, base[1]), (9, base[1]), (None, base[2]), (11, base[2]), (12, None), (13, "")])
