@@ -31,17 +31,18 @@ UNITS = ("mm cm m km in ft yd mi inch inches feet foot yards mile miles meter me
          "mg g kg lb lbs oz gram grams kilogram kilograms pound pounds ounce ounces ton tons ml l liter liters litre litres gallon gallons "
          "s sec second seconds min minute minutes h hour hours day days week weeks month months year years kmh mph percent dollar dollars "
          "euro euros cent cents degree degrees").split()
-UNSPACED = "".join(rf"\p{{Is{s}}}" for s in "Han Hiragana Katakana Thai Lao Khmer Myanmar".split())
+# Thai, Lao, Myanmar, Khmer, kana, Han; ranges, as a look-up of each letter's script is slow
+UNSPACED = r"[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3041-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}]"
 NAME, UNIT = "\x02", "\x03"  # marks before a slot's value; both sort before digits, and digits before letters
 
 
 def canonical_tokens(text: Column) -> Column:
     """Tokens in lower case; names and units carry their mark. A token that sorts before ``:`` is a slot."""
     plain = F.translate(F.coalesce(text, F.lit("")), NAME + UNIT, "  ")
-    named = F.regexp_replace(plain, r"(?<=[\p{Ll},;] )(?=\p{Lu}\p{Ll})", NAME)
+    cut = F.regexp_replace(plain, rf"{UNSPACED}\p{{M}}*", " $0 ")
+    named = F.regexp_replace(cut, r"(?<=[\p{Ll},;] )(?=\p{Lu}\p{Ll})", NAME)
     united = F.regexp_replace(named, rf"(?i)(?<=[0-9])( ?)(?=(?:{'|'.join(UNITS)})(?![\p{{L}}]))", " " + UNIT)
-    return F.regexp_extract_all(F.lower(united), F.lit(rf"[{UNSPACED}&&[\p{{L}}\p{{M}}]]\p{{M}}*|[{NAME}{UNIT}]?[\p{{L}}\p{{M}}&&[^{UNSPACED}]]+"
-                                                          r"|[0-9]+(?:[.,][0-9]+)*"), F.lit(0))
+    return F.regexp_extract_all(F.lower(united), F.lit(rf"[{NAME}{UNIT}]?[\p{{L}}\p{{M}}]+|[0-9]+(?:[.,][0-9]+)*"), F.lit(0))
 
 
 def _windows(sizes: list[int]) -> Column:
