@@ -1,7 +1,8 @@
 """Personal data: labelers vote on candidate spans, expectation-maximisation weighs them, a span classifier decides.
 
-Candidates are the base patterns' spans and looser ones: names after a title, identity numbers, account numbers, and numbers
-or addresses that just miss a base rule. Labelers (patterns, gazetteers, context words, shapes) vote yes, no or nothing on
+Candidates are the base patterns' spans and looser ones, which every labeler proposes: names after a title, after a context word or in
+the gazetteer, identity numbers, account numbers, and numbers or addresses that just miss a base rule (phones without a plus,
+card numbers of 13 digits or with a wrong one, spelt-out or one-label mail addresses, IPv6 and four numbers with dots). Labelers (patterns, gazetteers, context words, shapes) vote yes, no or nothing on
 each. How often each combination of votes occurs is counted over all documents; from these counts expectation-maximisation
 estimates how reliable each labeler is and how likely each combination is personal data. A logistic span classifier is then
 trained on at most ``TRAIN_ROWS`` distinct candidates, the first by hash, weighted by that likelihood. Looser candidates that
@@ -13,6 +14,7 @@ through ``scan``; ``spans_`` is replaced.
 
 from __future__ import annotations
 
+import ipaddress
 import re
 
 import numpy as np
@@ -25,7 +27,8 @@ from contigloom.llm.spans import Span, overlaps
 from contigloom.session import settle
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "name", "identity", "account")
+NEAR_KINDS = tuple(f"near_{k}" for k in BASE_KINDS)  # just miss the base rule
+KINDS = (*BASE_KINDS, "name", "identity", "account", *NEAR_KINDS)
 SPANS = "array<struct<kind:string,start:int,end:int>>"
 TRAIN_ROWS = 4000
 LEAST_PROBABILITY = 0.9
@@ -40,9 +43,20 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
+_AT = re.compile(r"[ \[({](?:at|AT)[ \])}]")
 
 _NAME = re.compile(r"\b(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Señor|Señora|Monsieur|Madame)\.? [A-ZÀ-Þ][\w'-]+(?: [A-ZÀ-Þ][\w'-]+)?")
 _IDENTITY = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
+_NEAR = {
+    "near_email": re.compile(rf"(?<![{_LOCAL}])[{_LOCAL}]++(?:@[A-Za-z0-9-]+|(?: ?[\[({{] ?(?:at|AT) ?[\])}}] ?| (?:at|AT) )"
+                             r"[A-Za-z0-9-]+(?:(?: ?[\[({] ?(?:dot|DOT) ?[\])}] ?| (?:dot|DOT) |\.)[A-Za-z0-9-]+)+)"),
+    "near_ip": re.compile(r"(?<![0-9A-Fa-f:.])(?=[0-9A-Fa-f]*:)[0-9A-Fa-f:]{2,39}(?![0-9A-Fa-f:])|(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9.])"),
+    "near_card": re.compile(r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){12,18}(?![ -]?[0-9])"),
+    "near_phone": re.compile(r"(?<![0-9+])(?<![0-9][ .-])(?:\([0-9]{2,5}\)|[0-9]{2,5})[ .-]?[0-9]{2,4}(?:[ .-][0-9]{2,5}){1,4}(?![0-9])(?![.-][0-9])"),
+}
+_WORD = re.compile(r"(?<!\w)[A-ZÀ-Þ][\w'-]*+")
+_SURNAME = re.compile(r" [A-ZÀ-Þ][\w'-]+")
+_NAMED = re.compile(r"\b(?i:name|dear|sincerely|patient)(?:(?i: is)|[:,])? ([A-ZÀ-Þ][\w'-]+(?: [A-ZÀ-Þ][\w'-]+)?)")
 _ACCOUNT = re.compile(r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b")
 
 # Gazetteers and context words.
@@ -102,14 +116,40 @@ def loose_spans(text: str, base: list[Span]) -> list[Span]:
     if _DIGIT.search(text):
         found += [("identity", *m.span()) for m in _IDENTITY.finditer(text)]
         found += [("account", *m.span()) for m in _ACCOUNT.finditer(text)]
+        found += [(k, *m.span()) for k in ("near_ip", "near_card", "near_phone") for m in _NEAR[k].finditer(text) if k != "near_ip" or _near_ip(m[0])]
+    elif "::" in text:
+        found += [("near_ip", *m.span()) for m in _NEAR["near_ip"].finditer(text) if _near_ip(m[0])]
+    if "@" in text or _AT.search(text):
+        found += [("near_email", *m.span()) for m in _NEAR["near_email"].finditer(text)]
     found += [("name", *m.span()) for m in _NAME.finditer(text)]
+    found += [("name", *m.span(1)) for m in _NAMED.finditer(text)]
+    for m in _WORD.finditer(text):
+        if m[0].lower() in GIVEN_NAMES:
+            more = _SURNAME.match(text, m.end())
+            found.append(("name", m.start(), more.end() if more else m.end()))
     free: list[Span] = []
+    taken = bytearray(len(text))  # as a text may hold very many
+    for _, a, b in base:
+        taken[a:b] = b"\1" * (b - a)
     for span in found:
-        if not overlaps(span, base) and not overlaps(span, free):
+        if 1 not in taken[span[1]:span[2]]:
+            taken[span[1]:span[2]] = b"\1" * (span[2] - span[1])
             free.append(span)
     return free
 
 
+def _near_ip(value: str) -> bool:
+    """IPv6 (two colons together, or eight parts), or four numbers with dots."""
+    return "." in value or value.count("::") == 1 and value != "::" or value.count(":") == 7
+
+
+def _ipv6(value: str) -> bool:
+    try:
+        return ipaddress.ip_address(value).version == 6
+    except ValueError:
+        return False
+
+
 def _iban(value: str) -> bool:
     value = value.replace(" ", "")
     if not value.isascii() or not value.isalnum():
@@ -123,19 +163,21 @@ def votes(text: str, span: Span) -> tuple[int, ...]:
     value = text[a:b]
     near = text[max(0, a - AROUND):a].lower() + " " + text[b:b + AROUND].lower()
     digits = [c for c in value if c in "0123456789"]
-    strict = {"account": _iban, "identity": lambda v: v[:3] not in ("000", "666") and v[0] != "9" and v[4:6] != "00" and v[7:] != "0000"}
+    strict = {"account": _iban, "identity": lambda v: v[:3] not in ("000", "666") and v[0] != "9" and v[4:6] != "00" and v[7:] != "0000",
+              "near_ip": _ipv6, "near_card": lambda v: luhn(re.sub("[ -]", "", v)), "near_phone": lambda v: 7 <= len(digits) <= 15,
+              "near_email": lambda v: "@" in v or re.search("[\\[({]", v) is not None or re.search("(?i) dot ", v) is not None}
     pattern = 1 if kind in BASE_KINDS else (1 if strict[kind](value) else -1) if kind in strict else 0
-    if kind == "email":
-        known = 1 if value.rpartition(".")[2].lower() in DOMAINS else -1
+    if kind in ("email", "near_email"):
+        known = 1 if re.split(r"[^A-Za-z0-9-]+", value)[-1].lower() in DOMAINS else -1
     elif kind == "name":
         known = 1 if any(w.lower().strip(".") in GIVEN_NAMES for w in value.split()) else 0
     elif kind == "account":
         known = 1 if value[:2] in COUNTRIES else -1
-    elif kind == "card":
+    elif kind in ("card", "near_card"):
         known = 1 if value[0] in "3456" else -1
     else:
         known = 0
-    context = 1 if any(w in near for w in CONTEXT[kind]) else 0
+    context = 1 if any(w in near for w in CONTEXT[kind.removeprefix("near_")]) else 0
     edge = text[a - 1:a] + text[b:b + 1]
     shape = -1 if re.search(r"[\w@/=]", edge) else 1
     distinct = (-1 if len(set(digits)) <= 2 else 1) if len(digits) >= 4 else 0

@@ -108,5 +108,22 @@ def test_personal_data_odd_cases_and_what_the_classifier_adds(spark):
     assert private.personal_data(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_every_labeler_proposes_near_misses():
+    text = ("call (017) 555-7713 or 555-123-4567, card 4222222222222 or 4111 1111 1111 1112, mail jo [at] host [dot] org, ann at mail dot com, "
+            "root@localhost, host 2001:db8::1 or 999.1.2.3, dear Ximena Ortiz, then Anna Smith came")
+    got = [(k, text[a:b]) for k, a, b in private.loose_spans(text, private.base_spans(text))]
+    assert sorted(got) == sorted([
+        ("near_phone", "(017) 555-7713"), ("near_phone", "555-123-4567"), ("near_card", "4222222222222"), ("near_card", "4111 1111 1111 1112"),
+        ("near_email", "jo [at] host [dot] org"), ("near_email", "ann at mail dot com"), ("near_email", "root@localhost"),
+        ("near_ip", "2001:db8::1"), ("near_ip", "999.1.2.3"), ("name", "Ximena Ortiz"), ("name", "Anna Smith")])
+    assert private.loose_spans("at 10:30 the 7 dogs met at home", []) == []
+
+
+def test_near_misses_are_decided_on_by_the_classifier(spark):
+    texts = [f"{prose(9, i)} please call our phone (017) 555-{7000 + i * 7 % 999} today or write a mail to a{i}@b.org" for i in range(60)]
+    got = {r["doc_id"]: {s[0] for s in map(plain, r["spans_"])} for r in private.personal_data(docs(spark, texts)).collect()}
+    assert sum("near_phone" in kinds for kinds in got.values()) >= 50
+
+
 def test_listing_order():
     assert listed([("b", 3, 4), ("a", 3, 9), ("b", 0, 1)], ("a", "b")) == "b:0:1,a:3:9,b:3:4"
