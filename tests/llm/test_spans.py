@@ -74,6 +74,32 @@ def test_the_network_learns_and_reaches_its_recall(spark):
     assert got[1] == [] and all(k in secrets.KINDS for k, _, _ in got[0])
 
 
+def test_the_threshold_is_the_recall_quantile_even_below_one_half():
+    # mostly plain findings that look the same: no score of a secret reaches one half
+    x = secrets.encode([secrets.seen("key " + "ab12" * 5, 4)] * 400)
+    y = np.array([1.0, 0.0, 0.0, 0.0] * 100)
+    model = secrets.CharNet().fit(x, y)
+    assert model.threshold < 0.5 and np.mean(model.probabilities(x[y == 1]) >= model.threshold) >= secrets.RECALL
+
+
+def test_a_long_candidate_is_seen_to_its_end_and_beyond(spark):
+    text = "/srv/" + "x1/" * 40 + "KEY7 'behind its end'"
+    (a, b), = secrets.candidates(text)
+    windows = [secrets.seen(text, s)[secrets.BEFORE:] for s in secrets.window_starts(a, b)]
+    assert "KEY7 'behind its end" [:20] in windows[-1] and "".join(w[:secrets.STEP] for w in windows[:-1]) in text
+
+    class Late:
+        threshold = 0.5
+
+        def probabilities(self, x):
+            return (x == secrets._CLASS_OF[ord("'")]).any(axis=1).astype(float)
+
+    got = {r["doc_id"]: [plain(s) for s in r["spans_"]] for r in secrets.scan(docs(spark, [text, text.replace("'", ".")]), Late()).collect()}
+    assert got == {0: [("model", a, b)], 1: []}
+    seen = [r["seen"] for r in secrets.findings(docs(spark, [text, text.replace("KEY7", "KEY8")])).collect()]
+    assert any("KEY7" in w for w in seen) and any("KEY8" in w for w in seen)
+
+
 def test_secret_scan_odd_cases_and_redaction(spark):
     rows = docs(spark, TEXTS).withColumns({"spans_": F.lit("mine"), "seen": F.lit(1), "label": F.lit(2)})
     assert secrets.train(secrets.findings(rows)) is None  # too few findings
