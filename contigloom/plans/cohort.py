@@ -48,6 +48,10 @@ def cohort_contigs(spark: SparkSession, root: str, depth: int = 1) -> DataFrame:
     return contigs.join(F.broadcast(lost) if small else lost, "path", "left_anti")
 
 
+#: What a run has made, from which files and with which thresholds.
+MADE = "sample string, path string, length long, min_cov double, min_len long, filtered boolean"
+
+
 def is_written(spark: SparkSession, path: str) -> bool:
     """Whether a job has finished writing this folder."""
     done = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
@@ -58,26 +62,60 @@ def run_contigs(spark: SparkSession, root: str, out: str, depth: int = 1, min_co
                 min_len: int = 500, skip: tuple[str, ...] = (), resume: bool = True) -> DataFrame:
     """Filter a folder of contig files and report what that did.
 
-    Writes ``out/contigs`` (Parquet, parsed once), ``out/contigs_filtered`` (FASTA), ``out/reports/filter_effect`` and, per sample, the
-    state of the FILTER step in ``out/status``; returns the report. With ``resume`` what an earlier run has finished is kept, and a
-    part that is missing is made anew. ``skip=("FILTER",)`` leaves the filter out and marks it.
+    Writes ``out/contigs`` (Parquet, parsed once), ``out/contigs_filtered`` (FASTA), ``out/reports/filter_effect``, per sample the
+    state of the FILTER step in ``out/status``, and ``out/made``: from which files, and with which thresholds; returns the report.
+    With ``resume`` what an earlier run has finished is kept: samples that came since are added, those whose file has another path or
+    length are made anew, other thresholds filter all samples again, and a part that is missing is made anew. Samples whose
+    files are gone stay. ``skip=("FILTER",)`` leaves the filter out and marks it.
     """
     def wanted(path: str) -> bool:
         return not (resume and is_written(spark, path))
 
     skipped = not select_steps(spark.createDataFrame([("FILTER",)], "step string"),
                                spark.createDataFrame([(s,) for s in skip], "name string")).take(1)
-    if wanted(f"{out}/contigs"):
+    files = scan_contig_files(spark, root, depth).select("path", "length")
+    listed = settle(pa.pick_contig_file(scan_contig_files(spark, root, depth)).join(files, "path").select("sample", "path", "length"))
+    anew = wanted(f"{out}/contigs")
+    if anew or wanted(f"{out}/made"):
+        made = spark.createDataFrame([], MADE)
+    else:
+        made = settle(spark.read.parquet(f"{out}/made"))
+    todo = settle(listed.join(made, ["sample", "path", "length"], "left_anti"))
+    fresh, changed = todo, False
+    if anew:
         cohort_contigs(spark, root, depth).write.mode("overwrite").parquet(f"{out}/contigs")
+    elif todo.take(1):
+        stored = spark.read.parquet(f"{out}/contigs")
+        known = made.select("sample").union(stored.select("sample")).distinct()
+        fresh = settle(todo.join(known, "sample", "left_anti"))
+        changed = bool(todo.join(known, "sample", "left_semi").take(1))
+        added = cohort_contigs(spark, root, depth).join(todo.select("path"), "path", "left_semi").select(*stored.columns)
+        if changed:
+            added = settle(stored.join(todo.select("sample"), "sample", "left_anti").select(*stored.columns)).unionByName(added)
+        added.write.mode("overwrite" if changed else "append").parquet(f"{out}/contigs")
     contigs = spark.read.parquet(f"{out}/contigs")
-    if not skipped and wanted(f"{out}/contigs_filtered"):
-        sinks.write_fasta(co.filter_contigs(contigs, min_cov, min_len), f"{out}/contigs_filtered")
-    if wanted(f"{out}/status") or skipped:
+    new = bool(todo.take(1))
+    other = bool(made.filter((F.col("min_cov") != min_cov) | (F.col("min_len") != min_len)).take(1))
+    whole = anew or changed or other or wanted(f"{out}/contigs_filtered")
+    if not skipped and (whole or new or made.filter("not filtered").take(1)):
+        whole = whole or bool(made.filter("not filtered").take(1))
+        rows = contigs if whole else contigs.join(fresh.select("sample"), "sample", "left_semi").select(*contigs.columns)
+        sinks.write_fasta(co.filter_contigs(rows, min_cov, min_len), f"{out}/contigs_filtered", mode="overwrite" if whole else "replace")
+    elif skipped:
+        whole = True
+    if wanted(f"{out}/status") or skipped or whole and (anew or changed or other) or new:
         samples = contigs.select("sample").distinct()
+        if not whole:
+            samples = samples.join(fresh.select("sample"), "sample", "left_semi")
         samples.select("sample", F.lit("FILTER").alias("step"), F.lit(SKIPPED if skipped else OK).alias("status"),
                        F.current_timestamp().alias("ts"), F.lit(0).cast("long").alias("seq_no")).write.mode("append").parquet(f"{out}/status")
-    if wanted(f"{out}/reports/filter_effect"):
+    if wanted(f"{out}/reports/filter_effect") or anew or new or other:
         sinks.write_report_tsv(filter_effect(contigs, min_cov, min_len), f"{out}/reports/filter_effect", order=["sample"])
+    filtered = not skipped
+    if new or other or made.filter(F.col("filtered") != filtered).take(1):  # last, so what broke off is made anew
+        gone = made.join(listed, "sample", "left_anti").select("sample", "path", "length")
+        rows = listed.unionByName(gone).withColumns({"min_cov": F.lit(float(min_cov)), "min_len": F.lit(min_len).cast("long"), "filtered": F.lit(filtered)})
+        rows.write.mode("overwrite").parquet(f"{out}/made")
     return filter_effect(contigs, min_cov, min_len)
 
 

@@ -28,6 +28,27 @@ def test_contig_run(spark, tmp_path):
         cohort.cohort_contigs(spark, str(tmp_path / "out" / "contigs"))
 
 
+def test_a_second_run_takes_new_samples_changed_files_and_other_thresholds(spark, tmp_path):
+    def run(**options):
+        report = cohort.run_contigs(spark, str(tmp_path / "in"), str(tmp_path / "out"), **options)
+        written = spark.read.csv(str(tmp_path / "out/reports/filter_effect"), sep="\t", header=True)
+        assert {r["sample"] for r in written.collect()} == {r["sample"] for r in report.collect()}
+        assert as_tuples(report, "sample", "n_contigs_after") == sorted((r["sample"], r["n_contigs_after"]) for r in
+                                                                       written.selectExpr("sample", "int(n_contigs_after) n_contigs_after").collect())
+        return as_tuples(read_fasta(spark, str(tmp_path / "out/contigs_filtered")), "header")
+
+    put(tmp_path, "in/a.fasta", f">a1_cov_20\n{LONG}\n>a2_cov_5\n{LONG}\n")
+    assert run() == [("a1_cov_20",)]
+    kept = {p: p.stat().st_mtime_ns for p in (tmp_path / "out").rglob("file=a_filtered.fasta/part-*")}
+    put(tmp_path, "in/b.fasta", f">b1_cov_30\n{LONG}\n")
+    assert run() == [("a1_cov_20",), ("b1_cov_30",)]
+    assert kept and {p: p.stat().st_mtime_ns for p in kept} == kept  # the first sample is not made again
+    assert run(min_cov=4) == [("a1_cov_20",), ("a2_cov_5",), ("b1_cov_30",)]
+    put(tmp_path, "in/b.fasta", f">b1_cov_30\n{LONG}\n>b2_cov_40\n{LONG}\n")
+    assert run() == [("a1_cov_20",), ("b1_cov_30",), ("b2_cov_40",)]
+    assert as_tuples(spark.read.parquet(str(tmp_path / "out/status")).select("sample").distinct(), "sample") == [("a",), ("b",)]
+
+
 def test_removal_by_the_paths_people_write(spark, tmp_path):
     path = put(tmp_path, "in/s 1.fasta", ">x one\nA\n>y\nC\n")
     removals = read_removal_list(spark, put(tmp_path, "list.tab", f"{path}\tx\n"))
