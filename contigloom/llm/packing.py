@@ -182,10 +182,10 @@ def _best_two(left: np.ndarray, gap: int, more_than: int) -> tuple[int, int] | N
 def pack_counts(counts: dict[int, int], size: int = SIZE) -> list[tuple[tuple[int, ...], int]]:
     """Patterns (lengths of one bin) and how many bins have each, for so many pieces of each length.
 
-    Replacing helps where small pieces are plenty. So the least of three packings is taken: the smallest piece gives way
-    to any two that fill more, only to two that fill the bin to the last place, or never.
+    Replacing helps where small pieces are plenty. So the least of two packings is taken: the smallest piece gives way
+    to any two that fill more, or only to two that fill the bin to the last place.
     """
-    return min((_pack(counts, size, least) for least in (0, size, size + 1)), key=lambda patterns: sum(n for _, n in patterns))
+    return min((_pack(counts, size, least) for least in (0, size)), key=lambda patterns: sum(n for _, n in patterns))
 
 
 def _pack(counts: dict[int, int], size: int, least_fill: int) -> list[tuple[tuple[int, ...], int]]:

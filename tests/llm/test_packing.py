@@ -67,6 +67,13 @@ def test_two_small_pieces_replace_the_smallest():
     assert packing.pack_counts({1400: 1, 600: 1, 400: 1, 248: 1})[0] == ((1400, 400, 248), 1)
 
 
+def test_plain_filling_never_takes_the_place_of_replacing():
+    counts = {24: 25, 18: 22, 13: 21}
+    number = [sum(n for _, n in packing._pack(counts, 50, least)) for least in (0, 50, 51)]
+    assert number == [29, 29, 27]  # filling without replacing would need fewer here
+    assert sum(n for _, n in packing.pack_counts(counts, 50)) == 29
+
+
 def test_pieces_of_one_length_are_numbered_in_parts(spark, monkeypatch):
     monkeypatch.setattr(packing, "PART_ROWS", 10)
     pieces = spark.range(500).select(F.col("id").alias("doc_id"), (F.col("id") % 3 * 500 + 40).alias("length"))
