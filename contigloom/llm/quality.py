@@ -2,8 +2,10 @@
 
 The transformed statistics of a document form a vector. Per (lang, source) the minimum covariance determinant estimate
 is found by concentration steps run as Spark aggregates: distances of all documents, the group's quantile of them, and
-mean and covariance of the documents within it. Documents with a large Mahalanobis distance are rejected. All documents
-count at every step; a group is never gathered.
+mean and covariance of the documents within it. Steps start from medians and from disjoint random eighths of the group, go on
+until no determinant falls any more, and the start with the least determinant is taken. Documents with a large Mahalanobis
+distance are rejected. All documents count at every step; a group is never gathered. A source with few documents is judged with
+its language, a language with few with all documents, so every document that passes the base rule has a distance.
 
 Null or empty text: no words, so the base rule fails it. Null language or source: the group of the empty name. Equal rows
 get equal verdicts. An empty table gives an empty result. Extra columns pass through; columns with this module's own
@@ -21,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contigloom.llm.wordhash import in_chunks, mix, windows, words_of
-from contigloom.session import settle
+from contigloom.session import broadcast_if_small, settle
 
 STATS = "n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long"
 SYMBOLS = "#*$%&|<>"
@@ -29,10 +31,13 @@ BLANKS = " \t\n\x0b\x0c\r"
 
 FEATURES = ("word_length", "symbols", "dup_lines", "repeats")
 #: Least standard deviation of each feature: smaller differences between documents say nothing about quality.
-LEAST_SD = (0.10, 0.35, 0.20, 0.20)
+#: Small enough that each feature alone can reach the cutoff.
+LEAST_SD = (0.10, 0.35, 0.15, 0.11)
 SHARE = 0.75  # of a group's documents that the estimate rests on
-STEPS = 4
-MIN_GROUP = 50  # documents; smaller groups are judged with all of their language
+RANDOM_STARTS = 2
+SETTLED = 0.01  # steps end when no group's log determinant falls by more
+MOST_STEPS = 25  # steps always end by themselves; sketched quantiles may make one waver about its end
+MIN_GROUP = 50  # documents; smaller groups are judged by the next wider one
 CUTOFF = 0.99999  # quantile of the distance that a document of the group has
 
 
@@ -65,8 +70,8 @@ def text_statistics(texts: list[str | None]) -> pd.DataFrame:
     return pd.DataFrame(out)
 
 
-def with_statistics(docs: DataFrame) -> DataFrame:
-    """``docs`` with the counts and ``base_failed``."""
+def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with the counts and ``base_failed``. Each text is measured once, whatever is done with the counts."""
 
     @F.pandas_udf(STATS)
     def measure(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -74,7 +79,7 @@ def with_statistics(docs: DataFrame) -> DataFrame:
             yield text_statistics(texts.tolist())
 
     names = [c.split()[0] for c in STATS.split(", ")]
-    taken = docs.drop(*names, "base_failed", "quality_stats").withColumn("quality_stats", measure(F.col("text")))
+    taken = docs.drop(*names, "base_failed", "quality_stats").withColumn("quality_stats", measure.asNondeterministic()(F.col(text)))
     return (taken.withColumns({c: F.col(f"quality_stats.{c}") for c in names}).drop("quality_stats")
             .withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))))
 
@@ -101,7 +106,8 @@ def _chi2_quantile(q: float, p: int) -> float:
     return low
 
 
-KEYS = ["g_lang", "g_source", "g_wide"]  # g_wide: all sources of the language, with an empty source
+KEYS = ["g_level", "g_lang", "g_source"]
+LEVELS = ("source", "language", "all")  # a wider level has empty names
 
 
 def _keyed(stats: DataFrame) -> DataFrame:
@@ -116,67 +122,84 @@ def _distance(value, mean: Column, inverse: Column) -> Column:
 
 
 def _inverted(groups: DataFrame) -> DataFrame:
-    """Groups with ``mean`` and ``cov`` to groups with ``mean`` and ``inverse``; one small matrix per row."""
+    """Groups with ``mean`` and ``cov`` to groups with ``mean``, ``inverse`` and ``log_det``; one small matrix per row."""
     p, least = len(FEATURES), np.diag(np.square(LEAST_SD))
 
-    @F.pandas_udf("array<double>")
-    def inverse(cov: pd.Series) -> pd.Series:
-        return pd.Series([np.linalg.inv(np.asarray(c, dtype=float).reshape(p, p) + least).ravel() for c in cov])
+    @F.pandas_udf("inverse array<double>, log_det double")
+    def inverse(cov: pd.Series) -> pd.DataFrame:
+        full = [np.asarray(c, dtype=float).reshape(p, p) + least for c in cov]
+        return pd.DataFrame({"inverse": [np.linalg.inv(c).ravel() for c in full], "log_det": [np.linalg.slogdet(c)[1] for c in full]})
 
-    return groups.select(*KEYS, "mean", inverse("cov").alias("inverse"))
+    return groups.filter("mean[0] is not null").withColumn("m_", inverse.asNondeterministic()("cov")).select(*KEYS, "start", "mean", "m_.*")
 
 
 def fit_groups(stats: DataFrame) -> DataFrame:
-    """One row per group that is judged: g_lang, g_source, g_wide, mean, inverse.
+    """One row per group that is judged: g_level, g_lang, g_source, mean, inverse. Kept in the shared folder.
 
-    ``stats``: rows with lang, source and the counts. Documents that fail the base rule don't count. The sources of
-    a language that hold fewer than ``MIN_GROUP`` documents are judged with all of the language; a language with fewer
-    is not judged.
+    ``stats``: rows with lang, source and the counts. Documents that fail the base rule don't count. The sources of a language
+    that hold fewer than ``MIN_GROUP`` documents are judged with all of the language, and languages that do with all documents.
+
+    The estimates are broadcast if measured small (one row of 22 numbers for each group and start), so only partial sums and
+    quantile sketches are shuffled, however many documents a group has.
     """
     p = len(FEATURES)
-    rows = _keyed(stats.filter(~F.col("base_failed"))).withColumns(_features()).select("g_lang", "g_source", *FEATURES)
-    wide = F.explode(F.array(F.lit(False), F.lit(True))).alias("g_wide")  # each document counts for source and language
-    both = settle(rows.select("g_lang", "g_source", wide, *FEATURES)
-                  .withColumn("g_source", F.when(F.col("g_wide"), F.lit("")).otherwise(F.col("g_source"))))
-    far = _distance(F.col, F.col("mean"), F.col("inverse"))
+    rows = settle(_keyed(stats.filter(~F.col("base_failed"))).withColumns(_features()).select("g_lang", "g_source", *FEATURES))
+    none = F.lit("")
+    level = F.explode(F.array(*[F.struct(F.lit(name).alias("g_level"), (none if name == "all" else F.col("g_lang")).alias("g_lang"),
+                                         (F.col("g_source") if name == "source" else none).alias("g_source")) for name in LEVELS]))
+    both = rows.select(level.alias("g_"), *FEATURES).select("g_.*", *FEATURES)  # each document counts on every level
     middle = both.groupBy(*KEYS).agg(F.count("*").alias("n"), F.array(*[F.percentile_approx(f, 0.5, 10000) for f in FEATURES]).alias("mean"))
+    middle = settle(middle.filter((F.col("n") >= MIN_GROUP) | (F.col("g_level") == "all")).drop("n"))
     gaps = [F.abs(F.col(f) - F.col("mean")[i]) for i, f in enumerate(FEATURES)]
-    spread = both.join(middle.filter(F.col("n") >= MIN_GROUP), KEYS).groupBy(*KEYS).agg(
+    spread = both.join(broadcast_if_small(middle), KEYS).groupBy(*KEYS).agg(
         F.first("mean").alias("mean"), *[F.percentile_approx(g, 0.5, 10000).alias(f"mad{i}") for i, g in enumerate(gaps)])
     cov = F.array(*[F.pow(F.col(f"mad{i}") * 1.4826, 2) if i == j else F.lit(0.0) for i in range(p) for j in range(p)])
-    groups = settle(_inverted(spread.withColumn("cov", cov)))
+    robust = spread.select(*KEYS, F.lit(0).alias("start"), "mean", cov.alias("cov"))
     # makes the covariance of the inner documents that of all, if they are normal
     factor = SHARE / _chi2(_chi2_quantile(SHARE, p), p + 2)
-    for _ in range(STEPS):
-        edge = both.join(groups, KEYS).groupBy(*KEYS).agg(F.percentile_approx(far, SHARE, 10000).alias("edge"))
-        inner = both.join(groups.join(edge, KEYS), KEYS).filter(far <= F.col("edge"))
-        groups = settle(_inverted(inner.groupBy(*KEYS).agg(
-            F.array(*[F.avg(f) for f in FEATURES]).alias("mean"),
-            F.array(*[F.covar_pop(a, b) * factor for a in FEATURES for b in FEATURES]).alias("cov"))))
-    return groups
+    sums = [F.array(*[F.avg(f) for f in FEATURES]).alias("mean"),
+            F.array(*[F.covar_pop(a, b) * factor for a in FEATURES for b in FEATURES]).alias("cov")]
+    eighth = both.withColumn("start", 1 + F.pmod(F.xxhash64(*FEATURES), F.lit(8)).cast("int")).filter(F.col("start") <= RANDOM_STARTS)
+    random = eighth.join(broadcast_if_small(middle.select(*KEYS)), KEYS).groupBy(*KEYS, "start").agg(*sums)
+    groups = settle(_inverted(robust.unionByName(random)))
+    far = _distance(F.col, F.col("mean"), F.col("inverse"))
+    for _ in range(MOST_STEPS):
+        near = both.join(broadcast_if_small(groups), KEYS)
+        edge = settle(near.groupBy(*KEYS, "start").agg(F.percentile_approx(far, SHARE, 10000).alias("edge")))
+        inner = both.join(broadcast_if_small(groups.join(edge, [*KEYS, "start"])), KEYS).filter(far <= F.col("edge"))
+        after = settle(_inverted(inner.groupBy(*KEYS, "start").agg(*sums)))
+        fallen = groups.select(*KEYS, "start", F.col("log_det").alias("before")).join(after, [*KEYS, "start"])
+        most = fallen.agg(F.max(F.col("before") - F.col("log_det"))).first()[0]
+        groups = after
+        if most is None or most <= SETTLED:
+            break
+    best = groups.groupBy(*KEYS).agg(F.min_by(F.struct("mean", "inverse"), F.struct("log_det", "start")).alias("b_"))
+    return settle(best.select(*KEYS, "b_.*"))
 
 
 def judged(stats: DataFrame, groups: DataFrame) -> DataFrame:
-    """Rows with ``distance`` (squared; null if no group judges the row) and ``kept``."""
-    own = groups.filter("not g_wide").select("g_lang", "g_source", F.struct("mean", "inverse").alias("est_own"))
-    wide = groups.filter("g_wide").select("g_lang", F.struct("mean", "inverse").alias("est_wide"))
-    rows = _keyed(stats).withColumn("est_f", F.struct(*[e.alias(c) for c, e in _features().items()]))
-    rows = rows.join(own, ["g_lang", "g_source"], "left").join(wide, "g_lang", "left")
-    rows = rows.withColumn("est_", F.coalesce("est_own", "est_wide"))
+    """Rows with ``distance`` (squared; null if no document passes the base rule) and ``kept``."""
+    rows = _keyed(stats).withColumn("est_f", F.struct(*[e.alias(c) for c, e in _features().items()])).withColumn("est_any", F.lit(1))
+    for name, on in zip(LEVELS, (["g_lang", "g_source"], ["g_lang"], ["est_any"])):
+        own = groups.filter(F.col("g_level") == name).select(*KEYS[1:], F.lit(1).alias("est_any"), F.struct("mean", "inverse").alias(f"est_{name}"))
+        rows = rows.join(broadcast_if_small(own.select(*on, f"est_{name}")), on, "left")
+    rows = rows.withColumn("est_", F.coalesce(*[f"est_{name}" for name in LEVELS]))
     rows = rows.withColumn("distance", _distance(lambda f: F.col(f"est_f.{f}"), F.col("est_.mean"), F.col("est_.inverse")))
     near = F.coalesce(F.col("distance") <= _chi2_quantile(CUTOFF, len(FEATURES)), F.lit(True))
-    return rows.withColumn("kept", ~F.col("base_failed") & near).drop("g_lang", "g_source", "est_f", "est_own", "est_wide", "est_")
+    rows = rows.withColumn("kept", ~F.col("base_failed") & near)
+    return rows.drop("g_lang", "g_source", "est_any", "est_f", "est_", *[f"est_{name}" for name in LEVELS])
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that pass, with their own columns.
 
-    The statistics are measured twice, once for the estimates and once with the text at hand: no text is shuffled.
+    The statistics are measured twice, once for the estimates and once with the text at hand, so that no text is shuffled: the
+    estimates are broadcast as long as they are measured to be small.
     """
     columns = docs.columns
-    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row_"), "text", "lang", "source")
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row_"), "lang", "source")
     groups = fit_groups(settle(with_statistics(docs.select("text", "lang", "source")).drop("text")))
-    return judged(with_statistics(held), groups).filter("kept").select("row_.*")
+    return judged(with_statistics(held, "row_.text"), groups).filter("kept").select("row_.*")
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from contigloom.llm import quality
+from tests.conftest import plan_of
 from tests.llm.cases import DOCS, ODD, docs, prose
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -41,7 +42,32 @@ def test_small_groups_share_their_language_and_null_names_are_a_group(spark):
     rows = rows.unionByName(docs(spark, [" | ".join(prose(80, 8).split())], first=101, lang="xx"))
     got = {r["doc_id"]: (r["kept"], r["distance"]) for r in quality.quality_rules(rows).collect()}
     assert not got[100][0]  # judged with all English documents
-    assert got[101] == (True, None)  # no group to judge it by
+    assert not got[101][0] and got[101][1] > 28  # the only one of its language: judged with all documents
+
+
+def test_every_feature_can_reject_alone(spark):
+    good = [f"{prose(60, i)}\n{prose(60, 500 + i)}" for i in range(120)]
+    long_words = " ".join("w" * 14 for _ in range(1)) + " " + " ".join(f"{w}{'x' * 12}" for w in prose(119, 901).split())
+    symbols = " ".join(f"{w}#" for w in prose(120, 902).split())
+    lines = "\n".join([prose(100, 903)] + ["w1 w2"] * 12)
+    part = prose(20, 904)
+    repeats = " ".join([part, prose(25, 905), part, prose(25, 906)])
+    got = {r["doc_id"]: (r["base_failed"], r["kept"]) for r in quality.quality_rules(docs(spark, good + [long_words, symbols, lines, repeats])).collect()}
+    assert all(got[i] == (False, True) for i in range(120))
+    assert [got[i] for i in range(120, 124)] == [(False, False)] * 4
+
+
+def test_a_language_of_three_documents_is_judged(spark):
+    rows = docs(spark, [prose(100, i) for i in range(60)]).unionByName(
+        docs(spark, [prose(90, 77), " ".join(["######"] * 100 + prose(99, 5).split()), prose(95, 78)], lang="xx", first=200))
+    got = {r["doc_id"]: r["kept"] for r in quality.quality_rules(rows).collect()}
+    assert [got[i] for i in (200, 201, 202)] == [True, False, True]
+
+
+def test_no_text_is_shuffled_and_each_is_measured_once(spark):
+    rows = docs(spark, [prose(70 + i, i) for i in range(80)])
+    plan = plan_of(quality.keep_good(rows))
+    assert "Exchange hashpartitioning" not in plan and plan.count("ArrowEvalPython") == 1
 
 
 def test_keep_good_keeps_columns_and_takes_clashing_names(spark):
