@@ -1,7 +1,7 @@
 """Benchmark decontamination by templates: numbers, names and units become typed placeholders, windows of the result are joined.
 
 Tokens are runs of letters, and numbers; in scripts without spaces each letter is one. A number is a number slot; a unit right after a number is a unit slot; a capitalised
-word inside a sentence is a name slot. Windows of ``WINDOW`` tokens of the canonical text are hash-joined with those of the
+word is a name slot, at the start of a sentence too, unless it is one of the words that questions and sentences begin with (``OPENERS``). Windows of ``WINDOW`` tokens of the canonical text are hash-joined with those of the
 benchmark's items; a match is aligned by its shift between document and item. An alignment counts if its slots are
 consistent: one value of the item always stands for one value of the document. Windows are joined on their words as they are too;
 such a window counts whatever stands around it. An item is leaked into a document if at least ``NEED`` of its windows,
@@ -14,11 +14,14 @@ for word only, and are not among the windows that a changed copy must have. Null
 with one doc_id are judged together (nulls too); repeated rows change nothing. Ties: a document may match several items, a row
 each. An empty table on either side gives an empty result. Extra columns are left out by ``leaked`` and kept by ``without_leaks``.
 
-Only DataFrame expressions run on the documents. The benchmark's windows are broadcast if measured small, else shuffled.
+Only DataFrame expressions run on the documents. First the windows' hashes alone meet those of the benchmark, broadcast if measured
+small, else shuffled; words, shifts and slots are made only of documents that share one, which loses none.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +34,11 @@ UNITS = ("mm cm m km in ft yd mi inch inches feet foot yards mile miles meter me
          "mg g kg lb lbs oz gram grams kilogram kilograms pound pounds ounce ounces ton tons ml l liter liters litre litres gallon gallons "
          "s sec second seconds min minute minutes h hour hours day days week weeks month months year years kmh mph percent dollar dollars "
          "euro euros cent cents degree degrees").split()
+# Words that begin sentences and are no names.
+OPENERS = ("The A An This That These Those It He She They We You I In On At If When What Which Who Whose Where Why How Is Are Was Were Do Does Did Can "
+           "Could Will Would Should After Before And But Or Each Every There Find Let Given For From Then Now Some All Not So To Of As By With "
+           "Der Die Das Ein Eine Ist Sind Wie Was Wer Wann Wo Warum Wenn Und Es Er Sie Wir Im In Am Auf Mit Von Nach Le La Les Un Une Il Elle Est Que Qui "
+           "Quel Quelle Comment Combien Si Et Dans Sur El Los Las Una Es Son Como Cuando Donde Por Con En").split()
 # Thai, Lao, Myanmar, Khmer, kana, Han; ranges, as a look-up of each letter's script is slow
 UNSPACED = r"[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3041-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}]"
 NAME, UNIT = "\x02", "\x03"  # marks before a slot's value; both sort before digits, and digits before letters
@@ -40,7 +48,7 @@ def canonical_tokens(text: Column) -> Column:
     """Tokens in lower case; names and units carry their mark. A token that sorts before ``:`` is a slot."""
     plain = F.translate(F.coalesce(text, F.lit("")), NAME + UNIT, "  ")
     cut = F.regexp_replace(plain, rf"{UNSPACED}\p{{M}}*", " $0 ")
-    named = F.regexp_replace(cut, r"(?<=[\p{Ll},;] )(?=\p{Lu}\p{Ll})", NAME)
+    named = F.regexp_replace(cut, rf"(?<![\p{{L}}\p{{M}}])(?=\p{{Lu}}\p{{Ll}})(?!(?:{'|'.join(OPENERS)})(?![\p{{L}}\p{{M}}]))", NAME)
     united = F.regexp_replace(named, rf"(?i)(?<=[0-9])( ?)(?=(?:{'|'.join(UNITS)})(?![\p{{L}}]))", " " + UNIT)
     return F.regexp_extract_all(F.lower(united), F.lit(rf"[{NAME}{UNIT}]?[\p{{L}}\p{{M}}]+|[0-9]+(?:[.,][0-9]+)*"), F.lit(0))
 
@@ -78,11 +86,33 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     return settle(rows.join(total, rows["item_id"].eqNullSafe(total["item_id"])).drop(total["item_id"]))
 
 
+def _hashes(rows: DataFrame, key: str, sizes: list[int]) -> DataFrame:
+    """key, hash: of each window of each text, as it is and as template. Both hash alike, so a window without slots has one hash."""
+    kind = f"case when t < ':' then case when t < '{UNIT}' then '<name>' when t < '0' then '<unit>' else '<number>' end else t end"
+    rows = rows.select(key, canonical_tokens(F.col("text")).alias("tokens"))
+    rows = rows.select(key, F.expr(f"transform(tokens, t -> xxhash64({kind}))").alias("hashes"), F.expr(
+        f"case when exists(tokens, t -> t < ':') then transform(tokens, t -> xxhash64(translate(t, '{NAME}{UNIT}', ''))) end").alias("raws"))
+    each = [f"case when size({of}) >= {n} then transform(sequence(0, size({of}) - {n}), i -> xxhash64({', '.join(f'{of}[i + {j}]' for j in range(n))})) "
+            "else array() end" for n in sizes for of in ("hashes", "raws")]
+    return rows.select(key, F.explode_outer(F.expr(f"concat({', '.join(each)})")).alias("hash"))
+
+
+def candidates(docs: DataFrame, benchmark: DataFrame, sizes: list[int]) -> DataFrame:
+    """leak_doc_id_ of the documents that share a window's hash with the benchmark. Kept in the shared folder."""
+    items = benchmark.select(F.least(F.size(canonical_tokens(F.col("text"))), F.lit(WINDOW)).alias("n_"), "text")
+    own = [_hashes(items.filter(F.col("n_") == n), "n_", [n]).select("hash") for n in sizes]  # an item has windows of one size
+    known = settle(reduce(DataFrame.union, own).filter("hash is not null").distinct())
+    hashes = _hashes(docs.select(F.struct("doc_id").alias("leak_"), "text"), "leak_", sizes)
+    return settle(hashes.join(broadcast_if_small(known), "hash", "left_semi").select(F.col("leak_.doc_id").alias("leak_doc_id_")).distinct())
+
+
 def leaked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, n_windows (of the item, found), n_item (all it has), exact (no slot has another value)."""
     items = item_windows(benchmark)
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect()) or [WINDOW]  # eight at most
-    found = windows_of(docs.select("doc_id", "text"), "doc_id", sizes)
+    docs = docs.select("doc_id", "text")
+    likely = broadcast_if_small(candidates(docs, benchmark, sizes))
+    found = windows_of(docs.join(likely, F.col("doc_id").eqNullSafe(F.col("leak_doc_id_")), "left_semi"), "doc_id", sizes)
     found = found.join(broadcast_if_small(items.drop("size")), ["raw", "hash"])
     # a window found as it is has nothing to be consistent with
     slots = F.expr("case when not raw then filter(arrays_zip(item_words, words), p -> p.words < ':') end")

@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -29,10 +30,85 @@ def test_verbatim_and_reparameterised_items_are_found(spark):
 def test_slots_must_be_consistent(spark):
     item = "if box 3 holds red balls and box 3 holds blue balls then box 5 holds green balls only at night"
     same = item.replace("3", "8")
-    torn = item.replace("3", "8", 1)
+    torn = item.replace("box 3 holds blue", "box 8 holds blue").replace("only at", "just at")  # no thirteen tokens of it stay, and 3 became both 3 and 8
     assert found(spark, [same, torn], [item]) == {(0, 1): False}
 
 
+def test_names_at_the_start_of_a_sentence_are_slots(spark):
+    item = "Tom has 5 red apples. Tom buys 7 green pears. Tom eats 2 ripe figs. How many fruits has Tom left now"
+    other = item.replace("5", "9").replace("7", "11").replace("2", "4").replace("Tom", "Ann")
+    mixed = other.replace("Ann buys", "Eve buys").replace("Ann eats", "Zoe eats")  # one name of the item stands for several
+    assert found(spark, [other, mixed], [item]) == {(0, 1): False}
+
+
+def _tokens(text):
+    """Tokens with their slot kind, as the docstring says."""
+    out, before = [], None
+    for m in re.finditer(r"[^\W\d_]+|[0-9]+(?:[.,][0-9]+)*", text or ""):
+        word = m[0]
+        if word[0].isdigit():
+            out.append(("number", word))
+        elif before is not None and before[1] and m.start() - before[0] <= 1 and word.lower() in leaks.UNITS:
+            out.append(("unit", word.lower()))
+        elif len(word) > 1 and word[0].isupper() and word[1].islower() and word not in leaks.OPENERS:
+            out.append(("name", word.lower()))
+        else:
+            out.append((None, word.lower()))
+        before = (m.end(), word[0].isdigit())
+    return out
+
+
+def brute(text, item):
+    """Whether the item is leaked, by comparing every window with every window."""
+    a, b = _tokens(text), _tokens(item)
+    n = min(leaks.WINDOW, len(b))
+    own, theirs = range(len(a) - n + 1), range(len(b) - n + 1) if b else range(0)
+    template = lambda w: [k or v for k, v in w]
+    fit = [j for j in theirs if n >= leaks.LITERAL and sum(k is None for k, _ in b[j:j + n]) >= leaks.LITERAL]
+    raw = {j for j in theirs for i in own if [v for _, v in a[i:i + n]] == [v for _, v in b[j:j + n]]}
+    shifts = {}
+    for j in fit:
+        for i in own:
+            if template(a[i:i + n]) == template(b[j:j + n]):
+                shifts.setdefault(i - j, []).append((j, [(y, x) for x, y in zip(a[i:i + n], b[j:j + n]) if y[0]]))
+    same = set()
+    for found_ in shifts.values():
+        pairs = {p for _, slots in found_ for p in slots}
+        if len({y for y, _ in pairs}) == len(pairs):
+            same |= {j for j, _ in found_}
+    return bool(theirs) and (len(raw | same) >= min(leaks.NEED, len(theirs)) or bool(fit) and len(same) >= min(leaks.NEED, len(fit)))
+
+
+def test_matches_brute_force_on_random_templates(spark):
+    rng = random.Random(5)
+    literal = [f"w{'abcdefghij'[k // 10]}{'abcdefghij'[k % 10]}" for k in range(40)]
+
+    def value(kind):
+        return {"number": str(rng.randrange(1, 9)), "name": rng.choice(["Tom", "Ann", "Eve", "Zoe"]), "unit": rng.choice(["kg", "km", "days"])}[kind]
+
+    def filled(template):
+        own = {k: value(k[0]) for k in template if isinstance(k, tuple)}
+        return " ".join(own[k] if isinstance(k, tuple) and rng.random() < 0.97 else value(k[0]) if isinstance(k, tuple) else k for k in template)
+
+    templates = []
+    for _ in range(12):
+        t = []
+        for _ in range(rng.choice([3, 7, 9, 14, 22, 30])):
+            if rng.random() < 0.3:
+                kind = rng.choice(["number", "name"])
+                t.append((kind, rng.randrange(3)))
+                if kind == "number" and rng.random() < 0.5:
+                    t.append(("unit", rng.randrange(2)))
+            else:
+                t.append(rng.choice(literal))
+        templates.append(t)
+    items = [filled(t) for t in templates]
+    texts = [". ".join(filled(rng.choice(templates)) + " " + " ".join(rng.choices(literal, k=6)) for _ in range(3)) for _ in range(40)]
+    texts += [t[len(t) // 3:] for t in items] + [filled(t) for t in templates]
+    want = {(i, k + 1) for i, t in enumerate(texts) for k, item in enumerate(items) if brute(t, item)}
+    assert len(want) > 40 and set(found(spark, texts, items)) == want
+
+
 def test_verbatim_windows_count_whatever_stands_around_them(spark):
     item = "if box 3 holds red balls and box 3 holds blue balls then box 5 holds green balls only at night"
     torn = item.replace("3", "8", 1)  # eighteen tokens in a row stay
