@@ -50,6 +50,17 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+# Bytes of an Arrow batch between Spark and Python: rows are counted by default, and ten thousand long texts are a lot of memory.
+ARROW_BATCH_BYTES = 4 * 1024 * 1024
+
+
+def bound_arrow_batches(spark: SparkSession) -> None:
+    """Have Arrow batches end at ``ARROW_BATCH_BYTES``, unless the session names a size itself."""
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(size, None) is None:
+        spark.conf.set(size, ARROW_BATCH_BYTES)
+
+
 def _bytes_of(field: T.StructField) -> str:
     """SQL for about how many bytes a value of the column takes."""
     if isinstance(field.dataType, T.StringType):
