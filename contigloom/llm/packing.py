@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contigloom.llm.wordhash import in_chunks
-from contigloom.session import settle
+from contigloom.session import bound_arrow_batches, settle
 
 SIZE = 2048
 CACHED_WORDS = 350_000  # per worker; the ids of a word don't depend on what is around it
@@ -146,6 +146,7 @@ def tokenise(docs: DataFrame, tokenizer_path: str, size: int = SIZE) -> DataFram
                     out.append([ids[i:min(i + size, b)].tobytes() for i in range(a, b, size)])
             yield pd.Series(out)
 
+    bound_arrow_batches(docs.sparkSession)
     columns = [c for c in docs.columns if c not in ("text", "piece", "start", "length", "ids")]
     # else the optimizer puts a second call of it into a filter before the explode
     rows = docs.select(*columns, cut.asNondeterministic()(F.col("text")).alias("pieces"))

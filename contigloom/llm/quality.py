@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from contigloom.llm.wordhash import in_chunks, mix, windows, words_of
-from contigloom.session import broadcast_if_small, settle
+from contigloom.session import bound_arrow_batches, broadcast_if_small, settle
 
 STATS = "n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, n_repeat_words long"
 SYMBOLS = "#*$%&|<>"
@@ -78,6 +78,7 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
         for texts in batches:
             yield text_statistics(texts.tolist())
 
+    bound_arrow_batches(docs.sparkSession)
     names = [c.split()[0] for c in STATS.split(", ")]
     taken = docs.drop(*names, "base_failed", "quality_stats").withColumn("quality_stats", measure.asNondeterministic()(F.col(text)))
     return (taken.withColumns({c: F.col(f"quality_stats.{c}") for c in names}).drop("quality_stats")

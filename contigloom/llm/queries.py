@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contigloom.llm import chats, extract, leaks, near, packing, private, quality, repeats, secrets, urls
+from contigloom.llm import chats, extract, leaks, near, packing, private, quality, repair, repeats, secrets, spelling, toxic, urls
 from contigloom.llm.spans import digest, listed, plain
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,3 +124,19 @@ def op9_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
 def op7_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     found = repeats.without_repeats(table(spark, folder, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxic.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations")
+    return repair.repaired(repair.damaged(rows), rows.select("conv_id"))
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variant_groups(spelling.word_counts(table(spark, folder, "documents")))
