@@ -14,14 +14,10 @@ from contigloom.schemas import FASTA_EXTENSIONS, OK, SKIPPED
 from contigloom.session import fits_broadcast, settle
 from contigloom.sinks import files as sinks
 from contigloom.sources.fastq import read_fastq
-from contigloom.sources.files import absolute, scan_contig_files, scan_read_files
+from contigloom.sources.files import absolute, any_case, scan_contig_files, scan_read_files
 from contigloom.sources.text import plain_path, read_fasta, read_removal_list
 
 
-def _any_case(word: str) -> str:
-    return "".join(f"[{c}{c.upper()}]" for c in word)
-
-
 def _globs(spark: SparkSession, root: str, depth: int, files: DataFrame | None = None) -> list[str]:
     """A glob for each level under ``root`` that has contig files."""
     root = absolute(root)
@@ -31,7 +27,7 @@ def _globs(spark: SparkSession, root: str, depth: int, files: DataFrame | None =
     levels = sorted(r["level"] for r in files.select(level.alias("level")).distinct().collect())  # at most depth
     if not levels:
         raise FileNotFoundError(f"no contig files in {root}")
-    ending = ".{" + ",".join(_any_case(e) for e in FASTA_EXTENSIONS) + "}"
+    ending = ".{" + ",".join(any_case(e) for e in FASTA_EXTENSIONS) + "}"
     return [root.rstrip("/") + "/*" * n + ending for n in levels]
 
 

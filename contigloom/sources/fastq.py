@@ -1,177 +1,180 @@
-"""FASTQ files, plain or gzip, as a read table.
+"""FASTQ files, plain or compressed, as a read table, through Spark's own text reader.
 
-Spark has no four-line record reader, so tasks read byte ranges of the files themselves and hand
-Arrow batches to Spark. The list of files stays a DataFrame.
+A record is four lines, and nothing but the number of a line in its file tells which of the four it is. Spark reads a plain file in
+blocks, so lines are counted per block first, and the counts are summed up along each file: after that each block knows
+the number of its first line. Tasks put lines together to records batch by batch; of a record that a block's end cuts, the rest is
+among the next blocks' first three lines, which the counting has kept. No line is shuffled, and only Spark opens files,
+so any file system that Spark reads will do. Compressed files cannot be split; each is one block, and needs no counting.
 """
 
 from __future__ import annotations
 
-import gzip
-import io
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from contigloom.schemas import READS
-from contigloom.session import settle
-from contigloom.sources.files import file_system
+from contigloom.session import BROADCAST_BYTES, broadcast_if_small, fits_broadcast, settle
+from contigloom.sources.files import literal, plain_path
+from contigloom.sources.text import source_path
 
-RANGE_BYTES = 64 * 1024 * 1024
-BLOCK_BYTES = 4 * 1024 * 1024
-TASKS_PER_CORE = 32
+# Blocks whose numbers each task may be sent: 640 TB at Spark's usual 128 MB.
+BLOCKS = 5_000_000
+RECORD = ["head", "seq", "plus", "qual"]
+# Fixed value: how names of files end that are read in blocks.
+PLAIN = "[.](?:fq|fastq)$"
 
 
-def _find_record(f: io.BufferedReader, start: int) -> None:
-    """Move to the first record that begins at ``start`` or later.
-
-    A header starts with ``@`` and the line two below it with ``+``. A quality line may start with ``@``
-    too, but two lines below it is a sequence.
-    """
-    if start == 0:
-        f.seek(0)
-        return
-    f.seek(start - 1)
-    f.readline()
-    at = f.tell()
-    ahead = [f.readline() for _ in range(6)]
-    for i in range(4):
-        if ahead[i].startswith(b"@") and ahead[i + 2].startswith(b"+"):
-            f.seek(at + sum(map(len, ahead[:i])))
-            return
-    f.seek(0, io.SEEK_END)
-
-
-def _line_groups(f, size: int | None, block_bytes: int) -> Iterator[list[bytes]]:
-    """Whole records, four lines each, of ``size`` bytes from here and the rest of the last record."""
-    tail, lines = b"", []
-    left = size
-    while left is None or left > 0:
-        block = f.read(block_bytes if left is None else min(block_bytes, left))
-        if not block:
-            break
-        if left is not None:
-            left -= len(block)
-        found = (tail + block).split(b"\n")
-        tail = found.pop()
-        lines += found
-        whole = len(lines) // 4 * 4
-        if whole:
-            yield lines[:whole]
-            lines = lines[whole:]
-    if tail or lines:
-        if tail:
-            lines.append((tail + f.readline()).rstrip(b"\n"))
-        while len(lines) % 4:
-            line = f.readline()
-            if not line:
-                break
-            lines.append(line.rstrip(b"\n"))
-        while lines and not lines[-1].strip():
-            lines.pop()
-        if lines:
-            yield lines
-
-
-def read_range(path: str, start: int, end: int, block_bytes: int = BLOCK_BYTES) -> Iterator[list[bytes]]:
-    system, inner = file_system(path)
-    if path.endswith(".gz"):
-        with system.open_input_stream(inner, compression=None) as raw, gzip.open(raw) as f:
-            yield from _line_groups(f, None, block_bytes)
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[tuple[int, int], int, int]]:
+    """((file, block), start, end) of the rows of one block after another."""
+    file, block = batch.column("file").to_numpy(), batch.column("block").to_numpy()
+    if not len(file):
         return
-    with system.open_input_file(inner) as raw:
-        f = io.BufferedReader(raw, 1 << 20)
-        _find_record(f, start)
-        at = f.tell()
-        if at < end:
-            yield from _line_groups(f, end - at, block_bytes)
+    cuts = np.flatnonzero((file[1:] != file[:-1]) | (block[1:] != block[:-1])) + 1
+    for a, b in zip([0, *cuts], [*cuts, len(file)]):
+        yield (int(file[a]), int(block[a])), int(a), int(b)
 
 
-def _check(path: str, lines: list[bytes]) -> None:
-    if len(lines) % 4:
-        raise ValueError(f"{path}: last record is incomplete")
-    for head, seq, plus, qual in zip(lines[0::4], lines[1::4], lines[2::4], lines[3::4]):
-        if head[:1] != b"@" or plus[:1] != b"+" or len(seq) != len(qual):
-            raise ValueError(f"{path}: not a FASTQ record: {head[:80]!r}")
+def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """file, block, lines in it, and its first three lines."""
+    last, lines, first = None, 0, []
 
+    def row() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([last[0]], pa.int64()), pa.array([last[1]], pa.int64()), pa.array([lines], pa.int64()),
+                                           pa.array([first], pa.list_(pa.binary()))], names=["file", "block", "lines", "first"])
 
-def _read_id(head: bytes) -> str:
-    name = head[1:].split(None, 1)[0].decode() if len(head) > 1 else ""
-    return name[:-2] if name.endswith(("/1", "/2")) else name
+    for batch in batches:
+        value = batch.column("value")
+        for key, a, b in _runs(batch):
+            if key != last:
+                if last is not None:
+                    yield row()
+                last, lines, first = key, 0, []
+            if len(first) < 3:
+                first += value.slice(a, min(b - a, 3 - len(first))).to_pylist()
+            lines += b - a
+    if last is not None:
+        yield row()
 
 
-def _reads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("sample", pa.string()), ("mate", pa.int32()), ("read_no", pa.int64()),
-                        ("read_id", pa.string()), ("seq", pa.string()), ("qual", pa.string())])
-    for batch in batches:
-        for r in batch.to_pylist():
-            number = r["first_no"]
-            for lines in read_range(r["path"], r["start"], r["end"]):
-                lines = [line.rstrip(b"\r") for line in lines]
-                _check(r["path"], lines)
-                n = len(lines) // 4
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([r["sample"]] * n, pa.string()), pa.array([r["mate"]] * n, pa.int32()),
-                    pa.array(range(number, number + n), pa.int64()),
-                    pa.array([_read_id(h) for h in lines[0::4]], pa.string()),
-                    pa.array(lines[1::4], pa.binary()).cast(pa.string()),
-                    pa.array(lines[3::4], pa.binary()).cast(pa.string())], schema=schema)
-                number += n
-
-
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = batch.to_pylist()
-        found = [sum(len(lines) // 4 for lines in read_range(r["path"], r["start"], r["end"])) for r in rows]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("path"), batch.column("start"), pa.array(found, pa.int64())],
-            names=["path", "start", "n"])
+_RECORDS = "file long, block long, read_no long, head binary, seq binary, plus binary, qual binary"
 
 
-def _one_task_each(ranges: DataFrame) -> DataFrame:
-    """Ranges, each in a task of its own; a size-based merge would see only a few bytes per range.
+def _assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records from lines in order; the last one of a block may lack lines."""
+    names = [c.split()[0] for c in _RECORDS.split(", ")]
+    last, held, number = None, pa.array([], pa.binary()), 0  # held: lines of a record that is not whole yet; number: its first line's
 
-    Numbers come from how many rows each partition holds, so no range shares a task with another.
-    """
-    ranges = settle(ranges.withColumn("_part", F.spark_partition_id()).withColumn("_row", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))
-    held = {r["_part"]: r["count"] for r in ranges.groupBy("_part").count().collect()}  # one number per partition of the listing
-    if not held:
-        return ranges.drop("_part", "_row")
-    before, firsts = 0, []
-    for part in sorted(held):
-        firsts += [F.lit(part), F.lit(before)]
-        before += held[part]
-    place = (F.create_map(*firsts)[F.col("_part")] + F.col("_row")).cast("int")
-    return ranges.repartitionById(before, place).drop("_part", "_row")
-
-
-def read_fastq(spark: SparkSession, read_files: DataFrame, range_bytes: int | None = None) -> DataFrame:
-    """Reads of ``read_files(sample, mate, path, length)``, numbered from 0 along each file.
+    def records(key: tuple[int, int], lines: pa.Array, first_line: int) -> pa.RecordBatch:
+        n = -(-len(lines) // 4)
+        place = np.arange(n) * 4
+        parts = [lines.take(pa.array(np.where(place + k < len(lines), place + k, -1), pa.int64(), mask=place + k >= len(lines))) for k in range(4)]
+        return pa.RecordBatch.from_arrays([pa.array(np.full(n, key[0])), pa.array(np.full(n, key[1])), pa.array(first_line // 4 + np.arange(n)), *parts], names=names)
 
-    Where a mate comes in several files (parts Spark wrote), numbers repeat: pair by ``read_id`` then.
+    for batch in batches:
+        value, first_lines = batch.column("value"), batch.column("first_line")
+        for key, a, b in _runs(batch):
+            if key != last:
+                if len(held):
+                    yield records(last, held, number)
+                last, held = key, pa.array([], pa.binary())
+                number = first_lines[a].as_py()
+            skipped = min(-number % 4, b - a) if not len(held) else 0  # the end of the record before
+            number += skipped
+            lines = pa.concat_arrays([held, value.slice(a + skipped, b - a - skipped)])
+            whole = len(lines) // 4 * 4
+            if whole:
+                yield records(key, lines.slice(0, whole), number)
+                number += whole
+            held = lines.slice(whole)
+    if len(held):
+        yield records(last, held, number)
+
+
+def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """file (a hash of its path), block and line, as Spark reads them."""
+    return spark.read.option("lineSep", "\n").text([literal(p) for p in paths]).select(
+        F.xxhash64(source_path()).alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("value"))
+
+
+def _pin_blocks(spark: SparkSession) -> None:
+    """Have files cut alike in every pass, whatever cores come and go; unless the session says how itself."""
+    cut = "spark.sql.files.minPartitionNum"
+    if spark.conf.get(cut, None) is None:
+        spark.conf.set(cut, spark.sparkContext.defaultParallelism)
+
+
+def _in_blocks(spark: SparkSession, paths: list[str], files: DataFrame) -> DataFrame:
+    """Records of files that Spark may cut."""
+    _pin_blocks(spark)
+    lines = _lines(spark, paths)
+    blocks = settle(lines.mapInArrow(_measured, "file long, block long, lines long, first array<binary>"))
+    along = Window.partitionBy("file").orderBy("block")
+    start = F.coalesce(F.sum("lines").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("first_line")
+    after = F.flatten(F.collect_list("first").over(along.rowsBetween(1, 3))).alias("after")
+    numbered = blocks.select("file", "block", "lines", start, after)
+    torn = (-(F.col("first_line") + F.col("lines"))) % 4 + 4  # lines that the block's last record lacks
+    numbered = settle(numbered.select("file", "block", "first_line", F.slice("after", 1, torn % 4).alias("after")))
+    starts = numbered.select("file", "block", "first_line")
+    if not fits_broadcast(starts, BLOCKS)[0]:  # lines have to stay in order, so they can't be shuffled to their numbers
+        raise ValueError(f"more than {BLOCKS} blocks or {BROADCAST_BYTES} bytes for them: read fewer files at once or raise spark.sql.files.maxPartitionBytes")
+    message = F.lit("a file was cut otherwise when its lines were counted: set spark.sql.files.minPartitionNum")
+    known = lines.join(F.broadcast(starts), ["file", "block"], "left")
+    first_line = F.when(F.col("first_line").isNull(), F.raise_error(message).cast("long")).otherwise(F.col("first_line"))
+    found = known.select("file", "block", first_line.alias("first_line"), "value").mapInArrow(_assembled, _RECORDS)
+    ends = numbered.filter(F.size("after") > 0).select("file", "block", "after")
+    return found.join(broadcast_if_small(ends, BLOCKS), ["file", "block"], "left").join(files, "file")
+
+
+def _whole(spark: SparkSession, paths: list[str], files: DataFrame) -> DataFrame:
+    """Records of files that are one block."""
+    lines = _lines(spark, paths).withColumn("first_line", F.lit(0).cast("long"))
+    none = F.array().cast("array<binary>")
+    return lines.mapInArrow(_assembled, _RECORDS).withColumn("after", none).join(files, "file")
+
+
+def _completed(found: DataFrame) -> DataFrame:
+    """Records with the lines that their block lacked, checked, as reads."""
+    there = sum(F.col(c).isNotNull().cast("int") for c in RECORD)
+    rows = found.withColumn("there_", there)
+    filled = {}
+    for k, name in enumerate(RECORD):
+        rest = F.get("after", F.lit(k) - F.col("there_"))
+        line = F.coalesce(F.col(name), F.when(F.col("there_") <= k, rest)).cast("string")
+        filled[name] = F.rtrim(line, F.lit("\r"))
+    rows = rows.withColumns(filled)
+    rows = rows.filter(F.concat(*[F.coalesce(F.col(c), F.lit("")) for c in RECORD]) != "")  # blank lines at a file's end
+
+    def say(text: str) -> Column:
+        return F.raise_error(F.concat("path", F.lit(f": {text}: "), F.substring("head", 1, 80))).cast("boolean")
+
+    shape = F.col("head").startswith("@") & F.col("plus").startswith("+") & (F.length("seq") == F.length("qual"))
+    rows = rows.filter(F.when(F.col("qual").isNull(), say("last record is incomplete")).when(~shape, say("not a FASTQ record")).otherwise(F.lit(True)))
+    read_id = F.regexp_extract("head", r"^@\s*(\S*?)(?:/[12])?(?:\s.*)?$", 1)
+    return rows.select("sample", "mate", "read_no", read_id.alias("read_id"), "seq", "qual")
+
+
+def read_fastq(spark: SparkSession, read_files: DataFrame) -> DataFrame:
+    """Reads of ``read_files(sample, mate, path, length)``, numbered from 0 along each file.
 
-    Plain files are read in byte ranges, by default of 64 MiB or, beyond ``TASKS_PER_CORE`` of them for each core, so many times
-    larger. To number their reads, ranges of files that have several are counted first. A gzip file cannot be split and is one task.
+    Where a mate comes in several files (parts Spark wrote), numbers repeat: pair by ``read_id`` then. Plain files are counted
+    first, in a pass of its own. Line ends ``\\r\\n`` are taken off, blank lines at the end of a file are passed over; any other departure from
+    four lines a record raises. The driver holds the paths, as Spark does for any files it reads.
     """
-    read_files = settle(read_files.filter("length > 0").select("sample", F.col("mate").cast("int").alias("mate"), "path", "length"))
-    if range_bytes is None:
-        total = read_files.agg(F.sum("length")).first()[0] or 0
-        range_bytes = max(RANGE_BYTES, total // (TASKS_PER_CORE * spark.sparkContext.defaultParallelism))
-    whole = F.col("path").endswith(".gz")
-    starts = F.when(whole, F.array(F.lit(0).cast("long"))).otherwise(
-        F.sequence(F.lit(0).cast("long"), F.greatest(F.col("length") - 1, F.lit(0).cast("long")),
-                   F.lit(range_bytes).cast("long")))
-    ranges = read_files.select(
-        "sample", "mate", "path", F.explode(starts).alias("start"), "length", (F.size(starts) > 1).alias("split"))
-    ranges = ranges.withColumn("end", F.least(F.col("start") + range_bytes, F.col("length")))
-    split = ranges.filter("split").select("path", "start", "end")
-    first_no = F.lit(0).cast("long")
-    if not split.isEmpty():
-        counts = settle(_one_task_each(split).mapInArrow(_counts, "path string, start bigint, n bigint"))
-        earlier = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
-        numbered = counts.select("path", "start", F.sum("n").over(earlier).alias("first_no"))
-        ranges = ranges.join(numbered, ["path", "start"], "left")
-        first_no = F.coalesce("first_no", first_no)
-    columns = ranges.select("sample", "mate", "path", "start", "end", first_no.alias("first_no"))
-    return _one_task_each(columns).mapInArrow(_reads, READS)
+    rows = read_files.filter("length > 0").select("sample", F.col("mate").cast("int").alias("mate"), plain_path("path").alias("path"))
+    rows = settle(rows.withColumn("file", F.xxhash64("path")))
+    paths = [r["path"] for r in rows.select("path").distinct().collect()]
+    if len(paths) != rows.select("file").distinct().count():
+        raise ValueError("two paths have one hash: read them apart")
+    files = broadcast_if_small(rows)
+    plain = F.col("path").rlike(PLAIN)
+    found = []
+    for part, group in ((plain, _in_blocks), (~plain, _whole)):
+        own = [r["path"] for r in rows.filter(part).select("path").distinct().collect()]
+        if own:
+            found.append(_completed(group(spark, own, files)))
+    if not found:
+        return spark.createDataFrame([], "sample string, mate int, read_no bigint, read_id string, seq string, qual string")
+    return found[0] if len(found) == 1 else found[0].unionByName(found[1])

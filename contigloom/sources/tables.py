@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contigloom.schemas import GENE_HITS, PENDING, STEPS
+from contigloom.sources.files import is_missing
 from contigloom.sources.text import record_order, source_path
 
 TSV = {"sep": "\t", "quote": "", "escape": "\x00"}
@@ -64,8 +66,8 @@ def read_amr_matrix(spark: SparkSession, files: list[tuple[str, str]]) -> DataFr
     for stage, path in files:
         try:
             wide = spark.read.options(**TSV, header=True).csv(path)
-        except Exception as error:
-            if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
+        except AnalysisException as error:
+            if is_missing(error):
                 continue
             raise
         if not wide.columns:
@@ -110,8 +112,8 @@ def read_tool_report(spark: SparkSession, root: str, tool: str) -> DataFrame:
     for glob in spec["globs"]:
         try:
             tables.append(_report(spark, f"{root.rstrip('/')}/{glob}", spec))
-        except Exception as error:
-            if "PATH_NOT_FOUND" not in str(error):
+        except AnalysisException as error:
+            if not is_missing(error):
                 raise
     if not tables:
         return spark.createDataFrame([], f"sample string, stage string, {spec['schema']}")

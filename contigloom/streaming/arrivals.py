@@ -25,10 +25,8 @@ def incremental_filter(spark: SparkSession, source: str, out: str, checkpoint: s
 
     def process(batch: DataFrame, number: int) -> None:
         row = F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_IN_PARTITION))
-        pieces = batch.select("path", (F.col("block") + row).alias("rec_no"), F.col("value").alias("piece"))
-        if check_start:
-            pieces = without_preamble(pieces, pieces.select("path").distinct())
-        contigs = with_measures(fasta_records(pieces)).withColumnsRenamed({"sample": "name"})
+        pieces = batch.select("path", (F.col("block") + row).alias("rec_no"), F.col("value").alias("piece"), "block")
+        contigs = with_measures(fasta_records(without_preamble(pieces, check_start))).withColumnsRenamed({"sample": "name"})
         by_file = contigs.withColumn("sample", F.regexp_replace("path", "/(file=[^/]+)/[^/]+$", "/$1"))
         kept = filter_contigs(by_file, min_cov, min_len).withColumnsRenamed({"sample": "file", "name": "sample"})
         kept.write.mode("overwrite").parquet(f"{out}/batch={number}")

@@ -3,7 +3,7 @@ import os
 import random
 
 import pytest
-from conftest import as_tuples
+from conftest import as_tuples, plan_of
 from pyspark.sql import functions as F
 
 from contigloom.operators import contigs as co
@@ -44,6 +44,36 @@ def test_hidden_names_are_an_error(spark, tmp_path):
         scan_contig_files(spark, str(tmp_path)).collect()
 
 
+@pytest.mark.parametrize("name, depth", [("_old/x.fasta", 2), ("a/.b/x.fna", 3), ("a/_x.fa", 2), ("_a/_b/x.fa", 3)])
+def test_hidden_folders_are_an_error_down_to_the_depth(spark, tmp_path, name, depth):
+    put(tmp_path, name)
+    put(tmp_path, "y.fa")
+    with pytest.raises(ValueError, match="starts with _ or"):
+        scan_contig_files(spark, str(tmp_path), depth)
+    assert as_tuples(scan_contig_files(spark, str(tmp_path), depth - 1), "sample") == [("y",)]
+
+
+def test_folders_below_the_depth_are_not_listed(spark, tmp_path):
+    put(tmp_path, "a.fa")
+    put(tmp_path, "sub/b.fa")
+    locked = tmp_path / "sub" / "deep"
+    put(locked, "c.fa")
+    found = scan_contig_files(spark, str(tmp_path), 2)
+    assert sorted(os.path.basename(p) for p in found.inputFiles()) == ["a.fa", "b.fa"]
+    assert as_tuples(found, "sample") == [("a",), ("b",)]
+
+
+def test_names_with_pattern_letters_folders_that_look_like_files_and_nothing_at_all(spark, tmp_path):
+    root = tmp_path / "in [1] {a,b} *"
+    put(root, "x.fa")
+    put(root, "y.fa/z.fa")
+    assert as_tuples(scan_contig_files(spark, str(root), 1), "name") == [("x.fa",)]
+    assert as_tuples(scan_contig_files(spark, str(root), 2), "name") == [("x.fa",), ("z.fa",)]
+    assert scan_read_files(spark, str(root), 2).count() == 0
+    with pytest.raises(FileNotFoundError):
+        scan_contig_files(spark, str(tmp_path / "gone"))
+
+
 def test_fasta_parsing(spark, tmp_path):
     put(tmp_path, "p.fasta", "junk\nmore\n>a one_cov_3\nAC\nGT\n>b >odd\r\nAAA\r\nCC\r\n>c\n")
     put(tmp_path, "q.fna", ">z\nACGT")
@@ -128,24 +158,37 @@ def fastq_text(rng, n, name="r", mate=1):
     return reads, "".join(f"@{r} {mate}:N:0\n{s}\n+\n{q}\n" for r, s, q in reads)
 
 
-@pytest.mark.parametrize("range_bytes", [37, 200, 5000, 10**8])
-def test_fastq_is_the_same_however_it_is_split(spark, tmp_path, range_bytes):
+@pytest.mark.parametrize("block", [1, 5, 37, 200, 5000, 10**8])
+def test_fastq_is_the_same_however_it_is_split(spark, tmp_path, block):
     rng = random.Random(6)
-    first, content = fastq_text(rng, 150)
-    second, other = fastq_text(rng, 150, mate=2)
+    n = 12 if block < 37 else 150
+    first, content = fastq_text(rng, n)
+    second, other = fastq_text(rng, n, mate=2)
     p1 = put(tmp_path, "s_R1.fastq", content.rstrip("\n"))
     p2 = put(tmp_path, "s_R2.fastq.gz", gzip.compress(other.encode()))
-    files = spark.createDataFrame([("s", 1, p1, os.path.getsize(p1)), ("s", 2, p2, os.path.getsize(p2))],
+    p3 = put(tmp_path, "t [1]_R1.fq", (content + "\n\n").replace("\n", "\r\n"))
+    files = spark.createDataFrame([("s", 1, p1, os.path.getsize(p1)), ("s", 2, "file:" + p2, os.path.getsize(p2)), ("t", 1, p3, os.path.getsize(p3)), ("u", 1, "/none", 0)],
                                   "sample string, mate int, path string, length bigint")
-    rows = fastq.read_fastq(spark, files, range_bytes).collect()
-    for mate, reads in ((1, first), (2, second)):
-        got = sorted((r for r in rows if r["mate"] == mate), key=lambda r: r["read_no"])
-        assert [r["read_no"] for r in got] == list(range(150))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    try:
+        frame = fastq.read_fastq(spark, files)
+        rows = frame.collect()
+        assert "Exchange hash" not in plan_of(frame) and "Exchange range" not in plan_of(frame)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    for sample, mate, reads in (("s", 1, first), ("s", 2, second), ("t", 1, first)):
+        got = sorted((r for r in rows if (r["sample"], r["mate"]) == (sample, mate)), key=lambda r: r["read_no"])
+        assert [r["read_no"] for r in got] == list(range(n))
         assert [(r["read_id"], r["seq"], r["qual"]) for r in got] == reads
+    assert len(rows) == 3 * n
 
 
 def test_broken_fastq_is_an_error(spark, tmp_path):
-    for name, content in [("a.fq", "@r\nACGT\n+\nII\n"), ("b.fq", "@r\nACGT\n+\nIIII\n@s\nAC\n")]:
+    for name, content in [("a.fq", "@r\nACGT\n+\nII\n"), ("b.fq", "@r\nACGT\n+\nIIII\n@s\nAC\n"), ("c.fq", "r\nA\n+\nI\n"), ("d.fq", "@r\nA\n-\nI\n"),
+                          ("e.fq", "\n@r\nA\n+\nI\n")]:
         path = put(tmp_path, name, content)
         files = spark.createDataFrame([("s", 1, path, len(content))], "sample string, mate int, path string, length bigint")
         with pytest.raises(Exception, match="FASTQ record|incomplete"):
