@@ -5,8 +5,10 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from contigloom.functions import bases, kernels
+from contigloom.session import fits_broadcast, settle
 
 
 def _by_slices(kernel, qual: pa.Array) -> pa.Array:
@@ -54,23 +56,74 @@ def read_passes(q: int = 15, u: float = 40, e: float = 0, l: int = 15, qual: str
     return F.coalesce(good, F.lit(False))
 
 
+#: Numbers of pairs that one row of :func:`failed_pairs` stands for, as 64 bits in each of so many longs.
+WORDS = 512
+
+
+def pair_verdicts(reads: DataFrame, passes: Column, pair: str = "read_no") -> DataFrame:
+    """``sample, pair`` of the pairs that go: a mate fails or is missing. Raises when the mates' read ids differ, where there are ids.
+
+    One shuffle of a few numbers a read, no letters: ids are compared by their hashes.
+    """
+    columns = {"_mate": F.col("mate"), "_pass": passes}
+    torn = F.lit(False)
+    if "read_id" in reads.columns and pair != "read_id":
+        columns["_id"] = F.xxhash64("read_id")
+        torn = F.coalesce(F.min("_id") != F.max("_id"), F.lit(False))
+    light = reads.select("sample", pair, *[c.alias(name) for name, c in columns.items()])
+    found = light.groupBy("sample", pair).agg(
+        (F.min("_pass") & (F.min("_mate") != F.max("_mate"))).alias("_good"), torn.alias("_torn"))
+    message = F.concat(F.lit("mates with different ids in sample "), F.coalesce("sample", F.lit("")), F.lit(", read "), F.col(pair).cast("string"))
+    bad = F.when(F.col("_torn"), F.raise_error(message).cast("boolean")).otherwise(~F.coalesce("_good", F.lit(False)))
+    return found.filter(bad).select("sample", pair)
+
+
+def failed_bits(failed: DataFrame, pair: str = "read_no") -> DataFrame:
+    """``sample, _chunk, _words``: failed pairs as bits, a row for ``64 * WORDS`` numbers."""
+    numbers = failed.select("sample", F.col(pair).cast("long").alias("_n"))
+    words = numbers.groupBy("sample", F.shiftright("_n", 6).alias("_word")).agg(F.expr("bit_or(shiftleft(1L, cast(pmod(_n, 64) as int)))").alias("_bits"))
+    slot = F.pmod(F.col("_word"), F.lit(WORDS)).cast("int")
+    chunks = words.groupBy("sample", F.floor(F.col("_word") / WORDS).alias("_chunk")).agg(F.map_from_entries(F.collect_list(F.struct(slot, "_bits"))).alias("_map"))  # WORDS entries at most
+    return chunks.select("sample", "_chunk", F.transform(F.sequence(F.lit(0), F.lit(WORDS - 1)), lambda k: F.coalesce(F.try_element_at("_map", k), F.lit(0).cast("long"))).alias("_words"))
+
+
 def filter_reads(reads: DataFrame, q: int = 15, u: float = 40, e: float = 0, l: int = 15,
                  pair: str = "read_no") -> DataFrame:
     """Reads of the pairs whose mates are both there and pass; ``pair`` names a pair within a sample.
 
-    A mate alone goes; :func:`lone_mates` lists them. Raises when the two of a pair have different read ids, where there are
-    ids. One shuffle, on the pair. A read that fails itself goes through it without its letters.
+    A mate alone goes; :func:`lone_mates` lists them. Raises when the two of a pair have different read ids, where there are ids.
+    Letters and qualities stay where they are: which pairs fail is found from a few numbers a read, and sent to the reads as rows if these
+    are few, or as bits if ``pair`` is a number and they are many (two thousand million pairs fit). Beyond that, reads are shuffled on
+    the pair, a failing one without its letters.
     """
-    flagged = reads.withColumn("_pass", read_passes(q, u, e, l))
-    light = flagged.withColumns({c: F.when(F.col("_pass"), F.col(c)) for c in ("seq", "qual")})
-    mates = Window.partitionBy("sample", pair)
+    keys = ["sample", pair]
+    failed = settle(pair_verdicts(reads, read_passes(q, u, e, l), pair))
+    small, count = fits_broadcast(failed)
+    if not count:
+        return reads
+    if small:
+        return _without(reads, F.broadcast(failed), keys)
+    if isinstance(reads.schema[pair].dataType, T.IntegralType):
+        bits = settle(failed_bits(failed, pair))
+        if fits_broadcast(bits)[0]:
+            number = F.col(pair).cast("long")
+            word = F.shiftright(number, 6)
+            known = reads.withColumn("_chunk", F.floor(word / WORDS)).join(F.broadcast(bits.withColumnsRenamed({"sample": "_sample", "_chunk": "_own"})), F.col("sample").eqNullSafe(F.col("_sample")) & (F.col("_chunk") == F.col("_own")), "left")
+            own = F.get("_words", F.pmod(word, F.lit(WORDS)).cast("int"))
+            hit = F.coalesce(F.getbit(own, F.pmod(number, F.lit(64)).cast("int")), F.lit(0)) == 1
+            return known.filter(~hit).select(reads.columns)
+    light = reads.withColumn("_pass", read_passes(q, u, e, l))
+    light = light.withColumns({c: F.when(F.col("_pass"), F.col(c)) for c in ("seq", "qual")})
+    mates = Window.partitionBy(*keys)
     both = F.min("mate").over(mates) != F.max("mate").over(mates)
-    light = light.withColumn("_pair", F.min("_pass").over(mates) & both)
-    if "read_id" in reads.columns and pair != "read_id":
-        message = F.concat(F.lit("mates with different ids in sample "), "sample", F.lit(", read "), F.col(pair).cast("string"))
-        torn = F.min("read_id").over(mates) != F.max("read_id").over(mates)
-        light = light.withColumn("_pair", F.when(torn, F.raise_error(message).cast("boolean")).otherwise(F.col("_pair")))
-    return light.filter(F.col("_pair")).select(reads.columns)
+    return light.withColumn("_pair", F.min("_pass").over(mates) & both).filter("_pair").select(reads.columns)
+
+
+def _without(rows: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose keys are not among ``gone``; nulls are keys like others."""
+    named = gone.select(*[F.col(k).alias(f"_gone{i}") for i, k in enumerate(keys)])
+    same = [F.col(k).eqNullSafe(F.col(f"_gone{i}")) for i, k in enumerate(keys)]
+    return rows.join(named, same, "left_anti")
 
 
 def lone_mates(reads: DataFrame, pair: str = "read_no") -> DataFrame:

@@ -71,7 +71,27 @@ def test_filter_reads_drops_pairs(spark):
     table = spark.createDataFrame(rows, COLUMNS)
     got = re.filter_reads(table, q=15, u=45, e=16, l=10)
     assert as_tuples(got, *table.columns) == wanted and 0 < len(wanted) < len(rows)
-    assert plan_of(got).count("Exchange hashpartitioning") == 1
+    assert "Exchange hashpartitioning" not in plan_of(got)
+
+
+@pytest.mark.parametrize("limits, shuffled", [([True], False), ([False, True], False), ([False, False], True)])
+def test_failing_pairs_travel_as_rows_or_bits_and_letters_only_beyond_that(spark, monkeypatch, limits, shuffled):
+    rows = [(s, m, n * 977 - 90_000, *r[3:]) for r in reads_of(random.Random(3), 150, 40) for s, m, n in [r[:3]]]
+    rows += [(None, m, 5, "A" * 20, "I" * 20) for m in (1, 2)] + [("s0", 1, 10 ** 12, "A" * 20, "I" * 20)]  # no sample; no mate
+    table = spark.createDataFrame(rows, COLUMNS)
+    wanted = as_tuples(re.filter_reads(table.fillna("none", ["sample"]), 15, 45, 16, 10), *table.columns)
+    sizes = iter(limits)
+    monkeypatch.setattr(re, "fits_broadcast", lambda df, *a: (next(sizes), df.count()))
+    got = re.filter_reads(table, 15, 45, 16, 10)
+    assert as_tuples(got.fillna("none", ["sample"]), *table.columns) == wanted and len(wanted) > 20
+    assert ("Exchange hashpartitioning" in plan_of(got)) == shuffled
+
+
+def test_only_numbers_are_shuffled_to_find_failing_pairs(spark):
+    table = spark.createDataFrame([("s", m, 1, "r1", "ACGT" * 5, "I" * 20) for m in (1, 2)], "sample string, mate int, read_no long, read_id string, seq string, qual string")
+    plan = re.pair_verdicts(table, re.read_passes())._jdf.queryExecution().optimizedPlan()
+    shuffled = re.pair_verdicts(table, re.read_passes())._jdf.queryExecution().sparkPlan().toString()
+    assert "Aggregate" in plan.toString() and "partial_min(seq" not in shuffled and "partial_min(qual" not in shuffled
 
 
 def test_read_qc_stats(spark):
