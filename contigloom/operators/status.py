@@ -79,12 +79,16 @@ def done(status: str = "status") -> Column:
     return F.col(status).isin(OK, SKIPPED)
 
 
+def _latest_left(finished: str) -> Column:
+    """The latest step that is not among ``finished``."""
+    latest_first = F.expr("array(" + ", ".join(f"'{s}'" for s in reversed(STEPS)) + ")")
+    return F.get(F.array_except(latest_first, F.col(finished)), F.lit(0))
+
+
 def last_incomplete_step(status: DataFrame) -> DataFrame:
     """Per sample the latest step that is neither OK nor skipped; NULL when none is left."""
     finished = F.collect_set(F.when(done(), F.col("step")))  # at most sixteen names
-    latest_first = F.expr("array(" + ", ".join(f"'{s}'" for s in reversed(STEPS)) + ")")
-    return (status.groupBy("sample").agg(finished.alias("_done"))
-            .select("sample", F.get(F.array_except(latest_first, F.col("_done")), F.lit(0)).alias("step")))
+    return status.groupBy("sample").agg(finished.alias("_done")).select("sample", _latest_left("_done").alias("step"))
 
 
 def stage_progress(status: DataFrame) -> DataFrame:
@@ -114,25 +118,24 @@ def steps_to_run(status: DataFrame, required: DataFrame, files: DataFrame, skip:
     step whose outputs exist is kept unless it is the last one, or ``rerun_failed`` is set.
     """
     present = files.filter("length > 0").select("path").distinct()
-
-    def any_missing(paths: DataFrame, name: str) -> DataFrame:
-        absent = paths.join(present, "path", "left_anti")
-        return absent.select("sample", "step").distinct().withColumn(name, F.lit(True))
-
-    last = last_incomplete_step(status).withColumn("_last", F.lit(True))
-    asked = F.broadcast(known_steps(skip).withColumn("_asked", F.lit(True)))
-    rows = (status.select("sample", "step", "status")
-            .join(any_missing(required, "_no_output"), ["sample", "step"], "left")
-            .join(last, ["sample", "step"], "left").join(asked, "step", "left"))
-    blocked = F.col("_asked").isNotNull() | (F.col("status") == SKIPPED)
+    wanted = required.select("sample", "step", "path", F.lit(True).alias("_made"))
     if needs is not None:
-        rows = rows.join(any_missing(needs, "_no_input"), ["sample", "step"], "left")
-        blocked = blocked | F.col("_no_input").isNotNull()
-    run = F.col("_last").isNotNull() | F.col("_no_output").isNotNull()
+        wanted = wanted.unionByName(needs.select("sample", "step", "path", F.lit(False).alias("_made")))
+    absent = wanted.join(present, "path", "left_anti").select(
+        "sample", "step", F.lit(None).cast("string").alias("status"), F.lit(False).alias("_row"), F.col("_made").alias("_no_output"), (~F.col("_made")).alias("_no_input"))
+    rows = status.select("sample", "step", "status", F.lit(True).alias("_row"), F.lit(False).alias("_no_output"), F.lit(False).alias("_no_input"))
+    # all is known of a sample where its rows meet: one shuffle, and the cells are parts of it
+    sample, cell = Window.partitionBy("sample"), Window.partitionBy("sample", "step")
+    known = rows.unionByName(absent).withColumn("_done", F.collect_set(F.when(F.col("_row") & done(), F.col("step"))).over(sample))  # sixteen names at most
+    known = known.withColumns({c: F.max(c).over(cell) for c in ("_no_output", "_no_input")}).filter("_row")
+    asked = F.broadcast(known_steps(skip).withColumn("_asked", F.lit(True)))
+    known = known.join(asked, "step", "left")
+    blocked = F.col("_asked").isNotNull() | (F.col("status") == SKIPPED) | F.col("_no_input")
+    run = F.coalesce(F.col("step") == _latest_left("_done"), F.lit(False)) | F.col("_no_output")
     if rerun_failed:
         run = run | (F.col("status") == FAIL)
     decision = F.when(blocked, "SKIPPED").when(run, "RUN").otherwise("KEEP")
-    return rows.select("sample", "step", decision.alias("decision"))
+    return known.select("sample", "step", decision.alias("decision"))
 
 
 def error_digest(status: DataFrame, log_lines: DataFrame, n: int = 5, files: DataFrame | None = None) -> DataFrame:

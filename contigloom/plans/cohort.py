@@ -11,7 +11,7 @@ from contigloom.operators import reads as re
 from contigloom.operators.status import select_steps
 from contigloom.plans.filter_effect import filter_effect
 from contigloom.schemas import FASTA_EXTENSIONS, OK, SKIPPED
-from contigloom.session import fits_broadcast, settle
+from contigloom.session import broadcast_if_small, fits_broadcast, settle
 from contigloom.sinks import files as sinks
 from contigloom.sources.fastq import read_fastq
 from contigloom.sources.files import absolute, any_case, scan_contig_files, scan_read_files
@@ -133,18 +133,18 @@ def run_reads(spark: SparkSession, root: str, out: str, depth: int = 1, trim: di
     """Trim and filter a folder of read pairs and report qualities before and after.
 
     Raises when a sample lacks a mate. ``trim`` and ``keep`` are the options of ``trim_reads`` and
-    ``filter_reads``. Writes ``out/pairs`` (Parquet, both mates in a row: the only shuffle of reads before the files are written),
-    ``out/reads_trimmed`` (FASTQ), ``out/reports/read_quality`` and ``out/reports/lone_mates``, the reads without a mate.
+    ``filter_reads``. Writes ``out/reads`` (Parquet, parsed once), ``out/reads_trimmed`` (FASTQ), ``out/reports/read_quality`` and
+    ``out/reports/lone_mates``, the reads without a mate. Mates are matched by their numbers, so letters are not shuffled for it.
     """
     files = settle(pa.latest_wins(scan_read_files(spark, root, depth), ["sample", "mate"]))
     pa.require_mates(files)
-    re.pair_reads(read_fastq(spark, files)).write.mode("overwrite").parquet(f"{out}/pairs")
-    pairs = spark.read.parquet(f"{out}/pairs")
-    cleaned = re.unpair_reads(re.clean_pairs(pairs, trim, keep))
+    read_fastq(spark, files).write.mode("overwrite").parquet(f"{out}/reads")
+    reads = spark.read.parquet(f"{out}/reads")
+    cleaned = re.filter_reads(re.trim_reads(reads, **(trim or {})), **(keep or {}))
     sinks.write_fastq(cleaned, f"{out}/reads_trimmed")
-    reads = re.unpair_reads(pairs)
-    lone = re.unpair_reads(pairs.filter("r1 is null or r2 is null")).select("sample", "mate", "read_no", "read_id")
-    sinks.write_report_tsv(lone, f"{out}/reports/lone_mates", order=["sample", "read_no"])
+    lone = re.lone_mates(reads)
+    ids = reads.select("sample", "mate", "read_no", "read_id").join(broadcast_if_small(lone), ["sample", "read_no", "mate"], "left_semi")
+    sinks.write_report_tsv(ids.select("sample", "mate", "read_no", "read_id"), f"{out}/reports/lone_mates", order=["sample", "read_no"])
     report = re.qc_before_and_after(reads, cleaned)
     sinks.write_report_tsv(report, f"{out}/reports/read_quality", order=["sample", "mate", "stage"])
     return report

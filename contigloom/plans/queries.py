@@ -609,11 +609,11 @@ def steps_to_run(spark, sf):
 
 @query
 def stream_status(spark, sf):
-    schema = table(spark, sf, "events").schema
-    stream = spark.readStream.schema(schema).parquet(f"{sf}/events.parquet*")
-    events = spark.sql(SPARK_VIEWS["status_v"], events=stream)
-    out = scratch_dir(spark, "progress")
-    progress.write_progress(events, out, out + "-checkpoint").awaitTermination()
+    arriving, out = scratch_dir(spark, "events"), scratch_dir(spark, "progress")
+    events = table(spark, sf, "events")
+    events.repartitionByRange(5, "ts").write.parquet(arriving)  # five files, so several micro-batches
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(arriving)
+    progress.write_progress(spark.sql(SPARK_VIEWS["status_v"], events=stream), out, out + "-checkpoint", compact=2).awaitTermination()
     return progress.read_progress(spark, out).select("sample", "step", "status", "seq_no")
 
 

@@ -124,6 +124,59 @@ def test_write_fasta_round_trip_keeps_order(spark, tmp_path):
     assert as_tuples(back, "header", "seq") == sorted((r[2], r[3]) for r in rows)
 
 
+def written(out):
+    """Lines of each file, its parts in the order of their names."""
+    got = {}
+    for folder, _, names in sorted(os.walk(out)):
+        for part in sorted(n for n in names if n.startswith("part")):
+            got.setdefault(os.path.basename(folder), []).extend(open(os.path.join(folder, part)).read().split("\n")[:-1])
+    return got
+
+
+@pytest.fixture
+def executed(spark):
+    """Plans of the jobs that write, by listening to the session."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 700)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_files_that_lie_in_order_are_written_where_they_are(spark, tmp_path, monkeypatch, executed):
+    rng = random.Random(8)
+    wanted = {}
+    for i, n in enumerate([3, 40, 1, 25]):  # some in one block, some in many
+        records = [(f">c{k}_cov_9", "".join(rng.choice("ACGT") for _ in range(rng.randint(1, 90)))) for k in range(n)]
+        put(tmp_path, f"in/s{i}.fa", "".join(f"{h}\n{s}\n" for h, s in records))
+        wanted[f"file=s{i}_filtered.fasta"] = [x for r in records for x in r]
+    contigs = text.read_fasta(spark, str(tmp_path / "in"))
+    ordered = contigs.withColumn("file", F.col("sample"))
+    assert contigs.rdd.getNumPartitions() > 4 and sinks._stays_in_place(contigs)
+    scattered = {r["file"] for r in sinks.scattered_files(ordered, ["file"], "rec_no").collect()}
+    ranged = []
+    by_range = type(contigs).repartitionByRange
+    monkeypatch.setattr(type(contigs), "repartitionByRange", lambda self, *a: ranged.append({r["file"] for r in self.select("file").distinct().collect()}) or by_range(self, *a))
+    sinks.write_fasta(contigs, str(tmp_path / "out"))
+    assert written(tmp_path / "out") == wanted
+    assert ranged == ([{f"{s}_filtered.fasta" for s in scattered}] if scattered else [])
+    assert not {"s0", "s2"} & scattered  # a file in one task is never moved
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 10 ** 8)
+    sinks.write_fasta(text.read_fasta(spark, str(tmp_path / "in")), str(tmp_path / "whole"))
+    assert written(tmp_path / "whole") == wanted and len(ranged) == bool(scattered)
+
+
+def test_rows_that_were_shuffled_and_null_names_are_written_in_order_too(spark, tmp_path):
+    rows = [(f"s{i % 3}" if i % 4 else None, i, f"c{i}", "ACGT"[i % 4]) for i in range(200)]
+    table = spark.createDataFrame(rows, "sample string, rec_no bigint, header string, seq string")
+    assert not sinks._stays_in_place(table.repartition(5))
+    for k, frame in enumerate((table.repartition(5), table, table.coalesce(1))):
+        sinks.write_fasta(frame, str(tmp_path / str(k)))
+    assert written(tmp_path / "0") == written(tmp_path / "1") == written(tmp_path / "2")
+    assert written(tmp_path / "0")["file=s1_filtered.fasta"] == [x for s, _, h, q in rows if s == "s1" for x in (">" + h, q)]
+
+
 def test_removed_files_of_equal_names_stay_apart(spark, tmp_path):
     table = spark.createDataFrame([("s", "/a/s.fa", 0, "x", "A"), ("s", "/b/s.fa", 0, "y", "C")],
                                   "sample string, path string, rec_no bigint, header string, seq string")

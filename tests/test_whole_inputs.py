@@ -1,6 +1,7 @@
 """Readers and operators keep all that ordinary inputs hold."""
 
 import gzip
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -191,6 +192,33 @@ def test_sorted_reports_and_live_stage_counts(spark, tmp_path):
     assert as_tuples(progress.read_progress(spark, str(tmp_path / "out")), "sample", "status") == [("s0", "OK"), ("s1", "FAIL")]
 
 
+def test_a_micro_batch_writes_changed_cells_alone(spark, tmp_path):
+    from contigloom.streaming import progress
+
+    events = "sample string, step string, status string, ts timestamp, seq_no long"
+    out = str(tmp_path / "out")
+
+    def arrive(*rows):
+        frame = spark.createDataFrame(list(rows), "sample string, step string, status string, at string, seq_no long")
+        frame.selectExpr("sample", "step", "status", "cast(at as timestamp) as ts", "seq_no").coalesce(1).write.mode("append").parquet(str(tmp_path / "events"))
+        stream = spark.readStream.schema(events).parquet(str(tmp_path / "events"))
+        progress.write_progress(stream, out, str(tmp_path / "cp"), compact=3).awaitTermination()
+
+    want = {}
+    for k in range(8):
+        rows = [(f"s{k}", "FASTP", "RUNNING", "2024-01-01", k), (f"s{k // 2}", "SPADES", f"OK{k}", "2024-01-02", k), ("old", "QUAST-b", f"x{k}", "2024-01-03", -k), (f"s{k}", "NOT-A-STEP", "OK", "2024-01-01", k)]
+        arrive(*rows)
+        want |= {(s, t): v for s, t, v, _, _ in rows[:2]} | {("old", "QUAST-b"): "x0"}  # the greatest number counts, here the first
+        assert {(r["sample"], r["step"]): r["status"] for r in progress.read_progress(spark, out).collect()} == want
+        changed = spark.read.parquet(f"{out}/cells/change-{k:012d}")
+        assert {r["sample"] for r in changed.collect()} <= {f"s{k}", f"s{k // 2}", "old"}
+    names = sorted(os.listdir(tmp_path / "out" / "cells"))
+    assert names == ["base-000000000002", "base-000000000005", *[f"change-{k:012d}" for k in (3, 4, 5, 6, 7)]]
+    counts = {r["stage"]: (r["n_run"], r["n_total"]) for r in progress.read_stage_progress(spark, out).collect()}
+    assert counts[1] == (8, 9)
+    assert progress.read_progress(spark, str(tmp_path / "nothing")).count() == 0
+
+
 def test_a_session_leaves_no_intermediate_files(tmp_path):
     import os
     import subprocess
