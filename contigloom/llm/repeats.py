@@ -9,8 +9,9 @@ extended to full length, hashed and compared in turn. Windows without a shared a
 
 Documents are dealt to batches of about ``BATCH_BYTES`` of text, once. Hashes travel as packed arrays from batches to buckets by hash
 and back; equal values of a batch are one entry, so a passage in very many documents meets as one entry per batch. For
-anchors, 32 bits within a bucket are compared: a chance hit costs a needless extension, no wrong result. Windows carry
-64 bits and the smallest doc_id of the batch that has them. Nothing is listed per pair.
+anchors, 32 bits within a bucket are compared: a chance hit costs a needless extension, no wrong result. Windows carry a hash by which
+they meet, a cryptographic digest of 128 bits of their words, which decides that they are equal, and the smallest doc_id of the batch that
+has them. Nothing is listed per pair.
 
 Words are runs of other characters than space and controls 9 to 13, unchanged. Null text: no words. Null doc_id: greater than
 any other. Repeated rows (equal doc_id): neither removes from the other. An empty table gives an empty result. Extra columns
@@ -19,6 +20,9 @@ are left out.
 
 from __future__ import annotations
 
+import hashlib
+from typing import NamedTuple
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -32,7 +36,8 @@ ANCHOR = WINDOW - PERIOD + 1
 BATCH_BYTES = 4_000_000
 BUCKET_BYTES = 16_000_000  # of text whose hashes meet in a bucket
 
-_PACKED = "bucket long, batch long, packed binary, least binary"
+_PACKED = "bucket long, batch long, packed binary, digests binary, least binary"
+_COLUMNS = [c.split()[0] for c in _PACKED.split(", ")]
 
 
 class _Batch:
@@ -49,6 +54,18 @@ class _Batch:
         place = np.arange(len(self.words.hash)) - self.bounds[self.words.text]
         return windows(self.words, ANCHOR, np.isin(place % PERIOD, COVER))
 
+    def digests(self, at: np.ndarray) -> np.ndarray:
+        """A digest of the words of the window at each place, two numbers each."""
+        out = np.zeros((len(at), 2), dtype=np.uint64)
+        if len(at):
+            data, start, end = self.words.data, self.words.start, self.words.end
+            plain = b" ".join([data[s:e] for s, e in zip(start.tolist(), end.tolist())])
+            ends = np.cumsum(end - start + 1) - 1
+            begins = ends - (end - start)
+            told = [hashlib.blake2b(plain[a:b], digest_size=16).digest() for a, b in zip(begins[at].tolist(), ends[at + WINDOW - 1].tolist())]
+            out[:] = np.frombuffer(b"".join(told), dtype=np.uint64).reshape(-1, 2)
+        return out
+
     def around(self, shared: np.ndarray) -> np.ndarray:
         """For each word, whether a window that starts there holds one of the anchors that start at ``shared``."""
         step = np.zeros(len(self.words.hash) + 1, dtype=np.int64)
@@ -58,25 +75,43 @@ class _Batch:
         return np.cumsum(step[:-1]) > 0
 
 
-def _least(value: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct values in order, the smallest id of each, and the place of each row's value among them."""
-    distinct, place = np.unique(value, return_inverse=True)
-    least = np.full(len(distinct), np.iinfo(np.int64).max)
+class _Windows(NamedTuple):
+    """Distinct windows in order of their hash: hash, digest (two numbers), smallest id; and the place of each given row among them."""
+
+    value: np.ndarray
+    digest: np.ndarray
+    least: np.ndarray
+    place: np.ndarray
+
+
+def _distinct(value: np.ndarray, digest: np.ndarray, ids: np.ndarray) -> _Windows:
+    order = np.lexsort((digest[:, 1], digest[:, 0], value))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (value[order][1:] != value[order][:-1]) | (digest[order][1:] != digest[order][:-1]).any(axis=1)
+    place = np.empty(len(order), dtype=np.int64)
+    place[order] = np.cumsum(new) - 1
+    least = np.full(int(new.sum()), np.iinfo(np.int64).max)
     np.minimum.at(least, place, ids)
-    return distinct, least, place
+    return _Windows(value[order][new], digest[order][new], least, place)
 
 
-def _dealt(batch: int, value: np.ndarray, n_buckets: int, least: np.ndarray | None, low_bits: bool) -> pd.DataFrame:
-    """Rows of packed values by bucket. ``value`` is distinct."""
+def _dealt(batch: int, value: np.ndarray, n_buckets: int, windows_: _Windows | None) -> pd.DataFrame:
+    """Rows of packed values by bucket: ``value`` is distinct. Of anchors, the low bits alone."""
     bucket = ((value >> np.uint64(33)) % np.uint64(n_buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     names, starts = np.unique(bucket[order], return_index=True)
     rows = []
     for name, a, b in zip(names, starts, [*starts[1:], len(order)]):
-        own = value[order[a:b]]
-        own = np.unique(own.astype(np.uint32)) if low_bits else own
-        rows.append((name, batch, own.tobytes(), None if least is None else least[order[a:b]].tobytes()))
-    return pd.DataFrame(rows, columns=["bucket", "batch", "packed", "least"])
+        own = order[a:b]
+        if windows_ is None:
+            rows.append((name, batch, np.unique(value[own].astype(np.uint32)).tobytes(), None, None))
+        else:
+            rows.append((name, batch, value[own].tobytes(), windows_.digest[own].tobytes(), windows_.least[own].tobytes()))
+    return pd.DataFrame(rows, columns=_COLUMNS)
+
+
+def _joined(parts, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(parts), dtype=kind)
 
 
 def _among(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -86,10 +121,8 @@ def _among(values: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return wanted[np.minimum(np.searchsorted(wanted, values), len(wanted) - 1)] == values
 
 
-def _returned(rows: pd.DataFrame, n_buckets: int, low_bits: bool, value: np.ndarray) -> np.ndarray:
-    """Which values the buckets have sent back."""
-    if not low_bits:
-        return _among(value, np.sort(np.concatenate([np.zeros(0, np.uint64), *[np.frombuffer(p, np.uint64) for p in rows["packed"]]])))
+def _returned(rows: pd.DataFrame, n_buckets: int, value: np.ndarray) -> np.ndarray:
+    """Which anchors the buckets have sent back."""
     bucket = (value >> np.uint64(33)) % np.uint64(n_buckets)
     sent = [np.frombuffer(p, np.uint32).astype(np.uint64) + (np.uint64(b) << np.uint64(32)) for b, p in zip(rows["bucket"], rows["packed"])]
     return _among((bucket << np.uint64(32)) + (value & np.uint64(0xFFFFFFFF)), np.sort(np.concatenate([np.zeros(0, np.uint64), *sent])))
@@ -105,7 +138,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     def send_anchors(docs: pd.DataFrame) -> pd.DataFrame:
         value, _ = _Batch(docs).anchors()
-        return _dealt(docs["batch"].iloc[0], np.unique(value), n_buckets, None, True)
+        return _dealt(docs["batch"].iloc[0], np.unique(value), n_buckets, None)
 
     def shared_anchors(rows: pd.DataFrame) -> pd.DataFrame:
         own = [np.frombuffer(p, np.uint32) for p in rows["packed"]]
@@ -116,33 +149,41 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     def send_windows(key: tuple, docs: pd.DataFrame, back: pd.DataFrame) -> pd.DataFrame:
         if not len(docs):
-            return pd.DataFrame(columns=["bucket", "batch", "packed", "least"])
+            return pd.DataFrame(columns=_COLUMNS)
         batch = _Batch(docs)
         value, at = batch.anchors()
-        distinct, least, place = _least(value, batch.id_of_word[at])
-        most = np.full(len(distinct), np.iinfo(np.int64).min)
+        distinct, place = np.unique(value, return_inverse=True)
+        least, most = np.full(len(distinct), np.iinfo(np.int64).max), np.full(len(distinct), np.iinfo(np.int64).min)
+        np.minimum.at(least, place, batch.id_of_word[at])
         np.maximum.at(most, place, batch.id_of_word[at])
-        shared = _returned(back, n_buckets, True, value) | (least != most)[place]
+        shared = _returned(back, n_buckets, value) | (least != most)[place]
         found, start = windows(batch.words, WINDOW, batch.around(at[shared]))
-        distinct, least, _ = _least(found, batch.id_of_word[start])
-        return _dealt(key[0], distinct, n_buckets, least, False)
+        own = _distinct(found, batch.digests(start), batch.id_of_word[start])
+        return _dealt(key[0], own.value, n_buckets, own)
 
     def earlier_windows(rows: pd.DataFrame) -> pd.DataFrame:
-        own = [np.frombuffer(p, np.uint64) for p in rows["packed"]]
-        ids = [np.frombuffer(p, np.int64) for p in rows["least"]]
-        distinct, least, place = _least(np.concatenate(own), np.concatenate(ids))
-        cut = np.cumsum([0, *map(len, own)])
-        gone = [o[least[place[a:b]] < i].tobytes() for o, i, a, b in zip(own, ids, cut, cut[1:])]
-        back = rows.assign(packed=gone, least=None)
-        return back[[len(p) > 0 for p in gone]]
+        digest = _joined(rows["digests"], np.uint64).reshape(-1, 2)
+        value, ids = _joined(rows["packed"], np.uint64), _joined(rows["least"], np.int64)
+        own = _distinct(value, digest, ids)
+        late = own.least[own.place] < ids  # a batch with a smaller doc_id has it too
+        cut = np.cumsum([0, *[len(p) // 8 for p in rows["packed"]]])
+        back = rows.assign(packed=[value[a:b][late[a:b]].tobytes() for a, b in zip(cut, cut[1:])],
+                           digests=[digest[a:b][late[a:b]].tobytes() for a, b in zip(cut, cut[1:])], least=None)
+        return back[[len(p) > 0 for p in back["packed"]]]
 
     def remove(key: tuple, docs: pd.DataFrame, back: pd.DataFrame) -> pd.DataFrame:
         if not len(docs):
             return pd.DataFrame(columns=["doc_id", "n_words", "n_removed", "kept"])
         batch = _Batch(docs)
         value, at = windows(batch.words, WINDOW)
-        _, least, place = _least(value, batch.id_of_word[at])
-        gone = at[_returned(back, n_buckets, False, value) | (least[place] < batch.id_of_word[at])]
+        late = _joined(back["packed"], np.uint64)
+        _, place, times = np.unique(value, return_inverse=True, return_counts=True)
+        likely = np.flatnonzero((times > 1)[place] | _among(value, np.sort(late)))
+        # equal hashes choose what to look at, digests of the words decide
+        n, late_digest = len(likely), _joined(back["digests"], np.uint64).reshape(-1, 2)
+        own = _distinct(np.concatenate([value[likely], late]), np.concatenate([batch.digests(at[likely]), late_digest]),
+                        np.concatenate([batch.id_of_word[at[likely]], np.full(len(late), np.iinfo(np.int64).min)]))
+        gone = at[likely[own.least[own.place[:n]] < batch.id_of_word[at[likely]]]]
         step = np.zeros(len(batch.words.hash) + 1, dtype=np.int64)
         np.add.at(step, gone, 1)
         np.add.at(step, gone + WINDOW, -1)

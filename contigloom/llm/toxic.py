@@ -35,6 +35,7 @@ from contigloom.session import bound_arrow_batches, settle
 
 FOLDS = 5
 TRAIN_ROWS = 8_000
+TRAIN_PARTS = 16
 LEXICON = 20_000  # word beginnings at most, the strongest first
 LEAST_DOCS = 4  # toxic training rows that a word beginning must be in
 LEAST_WEIGHT = 1.0
@@ -246,10 +247,12 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> list[float]:
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Learned from rows of ``docs`` (doc_id, text) with a label (doc_id, toxic) that are not held out."""
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(
-        labels.filter("toxic is not null").select("doc_id", (F.col("toxic") > 0).alias("toxic")), "doc_id").filter(~held_out())
-    rows = first_by_hash(rows, "doc_id", TRAIN_ROWS).withColumn("fold", F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(2)).cast("int"))
-    rows = settle(rows)
+    known = labels.filter("toxic is not null").select("doc_id", (F.col("toxic") > 0).alias("toxic")).filter(~held_out())
+    known = settle(first_by_hash(known, "doc_id", TRAIN_ROWS))
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(known), "doc_id")
+    one = rows.groupBy("doc_id").agg(F.min(F.struct("text", "toxic")).alias("row_"))  # of a doc_id that is there many times
+    rows = one.select("doc_id", "row_.*").repartition(TRAIN_PARTS)
+    rows = settle(rows.withColumn("fold", F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(2)).cast("int")))
     sizes = {(r["toxic"], r["fold"]): r["count"] for r in rows.groupBy("toxic", "fold").count().collect()}  # four numbers
     if len({toxic for toxic, _ in sizes}) < 2:
         return Model({}, UNTRAINED)

@@ -5,26 +5,15 @@ A word is a longest run of characters other than space and the controls 9 to 13,
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_POWERS = np.ones(1, dtype=np.uint64)
-_INVERSES = np.ones(1, dtype=np.uint64)
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of an odd number modulo 2**64, and of its inverse."""
-    global _POWERS, _INVERSES
-    if len(_POWERS) < n:
-        size = max(n, 1 << 20)
-        steps = np.full(size, _BASE, dtype=np.uint64)
-        back = np.full(size, pow(_BASE, -1, 1 << 64), dtype=np.uint64)
-        steps[0] = back[0] = 1
-        _POWERS, _INVERSES = np.cumprod(steps), np.cumprod(back)
-    return _POWERS[:n], _INVERSES[:n]
+#: Longer words are hashed one by one.
+LONG = 256
+_MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)  # of the first k bytes
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -61,12 +50,28 @@ def words_of(texts: list[str | None]) -> Words:
     if not blank[0]:
         edge = np.concatenate([[0], edge])
     start, end = edge[0::2], edge[1::2]
-    powers, inverses = _powers(len(raw))
-    total = np.zeros(len(raw) + 1, dtype=np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers, out=total[1:])
-    value = mix((total[end] - total[start]) * inverses[start])
     ends = np.cumsum([len(p) + 1 for p in parts])
-    return Words(data, value, np.searchsorted(ends, start, side="right"), start, end)
+    return Words(data, _hashes(data, start, end), np.searchsorted(ends, start, side="right"), start, end)
+
+
+def _hashes(data: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of each word: its length, then eight bytes after the other, each mixed into what came before.
+
+    No sum over the bytes would do: there are words that any such sum takes for each other.
+    """
+    eight = np.ndarray((len(data),), dtype="<u8", buffer=data + bytes(8), strides=(1,))  # the eight bytes from each place on
+    length = end - start
+    value = mix(eight[start] & _MASK[np.minimum(length, 8)]) ^ mix(length.astype(np.uint64) + np.uint64(1))
+    at = np.flatnonzero(length > 8)
+    done = 8
+    value = mix(value)
+    while len(at) and done < LONG:
+        value[at] = mix(value[at] ^ (eight[start[at] + done] & _MASK[np.minimum(length[at] - done, 8)]))
+        done += 8
+        at = at[length[at] > done]
+    for i in at:
+        value[i] = int.from_bytes(hashlib.blake2b(data[start[i]:end[i]], digest_size=8).digest(), "little")
+    return value
 
 
 def windows(words: Words, size: int, within: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:

@@ -1,9 +1,11 @@
 import itertools
 import random
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
-from contigloom.llm import repeats
+from contigloom.llm import repeats, wordhash
 from tests.llm.cases import DOCS, ODD, docs, prose
 
 
@@ -54,3 +56,26 @@ def test_odd_texts_ties_and_nulls(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert repeats.without_repeats(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_words_of_one_sum_are_no_repeats(spark):
+    """Two words that every sum of bytes times powers takes for each other, modulo two to the sixty-fourth."""
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    two = one.translate(str.maketrans("ab", "ba"))
+    texts = [" ".join([w, *prose(12, 3).split()]) for w in (one, two)]
+    got = {r["doc_id"]: r["n_removed"] for r in repeats.without_repeats(docs(spark, texts)).collect()}
+    assert got == {0: 0, 1: 0}
+    assert len(set(wordhash.words_of([one + " " + two]).hash.tolist())) == 2
+
+
+def test_equal_hashes_of_different_words_are_told_apart(spark, monkeypatch):
+    docs_ = pd.DataFrame({"doc_id": [1, 2, 3], "text": [prose(40, 1), prose(40, 2), prose(40, 1)], "batch": [0, 0, 0], "no_id": [False] * 3})
+    batch = repeats._Batch(docs_)
+    value, at = wordhash.windows(batch.words, repeats.WINDOW)
+    own = repeats._distinct(np.zeros(len(value), np.uint64), batch.digests(at), batch.id_of_word[at])  # all of one hash
+    assert len(own.value) == 2 * 28 and own.least.min() == 1 and sorted(set(own.least.tolist())) == [1, 2]
+
+
+def test_hashes_of_words_of_all_lengths_differ():
+    words = ["a" * n for n in range(1, 600)] + [f"w{i}" for i in range(5000)] + ["x" * 300 + str(i) for i in range(50)] + ["b" * n + "\0" for n in range(1, 30)]
+    assert len(set(wordhash.words_of([" ".join(words), "  ".join(words)]).hash.tolist())) == len(words)
