@@ -100,17 +100,31 @@ def timestamp_text(epoch_seconds) -> Column:
     return F.from_unixtime(_col(epoch_seconds), "yyyy-MM-dd HH:mm:ss")
 
 
-def natural_key(name) -> Column:
-    """Sort key that puts s2 before s10.
+def _version_text(name: Column) -> Column:
+    """Text whose byte order is version order, for names without endings.
 
-    Each run of digits becomes its length (five digits) and the run without leading zeros, so
-    that the byte order of the key is the numeric order, for runs of any size.
+    Digits become their length and themselves without leading zeros; other characters are marked so that ``~`` comes before
+    the end, the end before digits, digits before letters, and letters before everything else.
     """
-    runs = F.regexp_extract_all(_col(name), F.lit("([0-9]+|[^0-9]+)"), F.lit(1))
+    runs = F.regexp_extract_all(name, F.lit("([0-9]+|[^0-9]+)"), F.lit(1))
 
     def encode(run):
         digits = F.regexp_replace(run, "^0+", "")
-        sized = F.concat(F.lpad(F.length(digits).cast("string"), 5, "0"), digits)
-        return F.when(run.rlike("^[0-9]"), sized).otherwise(run)
+        sized = F.concat(F.lit("2"), F.lpad(F.length(digits).cast("string"), 9, "0"), digits)
+        marked = F.regexp_replace(F.regexp_replace(F.regexp_replace(run, "([^A-Za-z~])", "4$1"), "([A-Za-z])", "3$1"), "~", "0")
+        return F.when(run.rlike("^[0-9]"), sized).otherwise(marked)
+
+    none = F.when(name.rlike("[0-9]$"), "").otherwise("2000000000")  # where a number could stand at the end, none is as good as 0
+    return F.concat(F.array_join(F.transform(runs, encode), ""), none, F.lit("1"))
 
-    return F.transform(runs, encode)
+
+def natural_key(name) -> Column:
+    """Sort key of version order: s2 before s10, 1.0~rc before 1.0, for runs of digits of any size.
+
+    Names are compared without their endings first (``.tar.gz``: points with a letter or ``~`` after them), then as a whole. Names
+    that differ in leading zeros alone have one key, so the name itself has to follow as a key. Names that start with a point come first.
+    """
+    n = _col(name)
+    hidden = F.when(n == "", "0").when(n == ".", "1").when(n == "..", "2").when(n.startswith("."), "3").otherwise("4")
+    rest = F.regexp_replace(n, "^[.]", "")
+    return F.array(hidden, _version_text(F.regexp_replace(rest, "([.][A-Za-z~][A-Za-z0-9~]*)+$", "")), _version_text(rest))

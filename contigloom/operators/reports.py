@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 PAGE_ROWS = 25
@@ -65,6 +65,30 @@ def sort_report(table: DataFrame, *keys: str) -> DataFrame:
 
 
 def limit_report(table: DataFrame, keys: list[str], rows: int = PAGE_ROWS, page: int = 0) -> DataFrame:
-    """One page of the sorted table. ``keys`` should tell all rows apart."""
+    """One page of the sorted table. ``keys`` should tell all rows apart.
+
+    For a first look: page n sorts out all pages before it. To page through a table, :func:`store_pages` once.
+    """
     return table.orderBy(*keys).limit(rows * (page + 1)).offset(rows * page)
 
+
+def store_pages(table: DataFrame, keys: list[str], out: str) -> None:
+    """Keep the sorted table under ``out`` (Parquet), with how many rows each of its files has, for :func:`read_page`."""
+    table.orderBy(*keys).write.mode("overwrite").parquet(f"{out}/rows")
+    stored = table.sparkSession.read.parquet(f"{out}/rows")
+    held = stored.groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count("*").alias("n"))  # names grow with the order
+    before = F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))  # a row for each file
+    held.select("file", "n", F.coalesce(before, F.lit(0)).alias("first")).write.mode("overwrite").parquet(f"{out}/files")
+
+
+def read_page(spark: SparkSession, out: str, rows: int = PAGE_ROWS, page: int = 0) -> DataFrame:
+    """One page of a table that :func:`store_pages` keeps, in order. Reads the files that hold it, and of these its rows' groups."""
+    begin, end = rows * page, rows * (page + 1)
+    held = spark.read.parquet(f"{out}/files").filter((F.col("first") < end) & (F.col("first") + F.col("n") > begin)).collect()  # rows / a file's rows + 2
+    if not held:
+        return spark.read.parquet(f"{out}/rows").limit(0)
+    parts = [f"{out}/rows/{r['file']}" for r in held]
+    first = F.create_map(*[F.lit(x) for r in held for x in (r["file"], r["first"])])
+    place = (F.try_element_at(first, F.col("_metadata.file_name")) + F.col("_metadata.row_index")).alias("_place")
+    page_ = spark.read.schema(spark.read.parquet(f"{out}/rows").schema).parquet(*parts).select("*", place)
+    return page_.filter(F.col("_place").between(begin, end - 1)).orderBy("_place").drop("_place")

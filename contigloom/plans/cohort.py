@@ -15,7 +15,7 @@ from contigloom.session import broadcast_if_small, fits_broadcast, settle
 from contigloom.sinks import files as sinks
 from contigloom.sources.fastq import read_fastq
 from contigloom.sources.files import absolute, any_case, scan_contig_files, scan_read_files
-from contigloom.sources.text import plain_path, read_fasta, read_removal_list
+from contigloom.sources.text import fasta_files, plain_path, read_fasta, read_removal_list
 
 
 def _globs(spark: SparkSession, root: str, depth: int, files: DataFrame | None = None) -> list[str]:
@@ -85,7 +85,8 @@ def run_contigs(spark: SparkSession, root: str, out: str, depth: int = 1, min_co
         known = made.select("sample").union(stored.select("sample")).distinct()
         fresh = settle(todo.join(known, "sample", "left_anti"))
         changed = bool(todo.join(known, "sample", "left_semi").take(1))
-        added = cohort_contigs(spark, root, depth).join(todo.select("path"), "path", "left_semi").select(*stored.columns)
+        # only the new files are read
+        added = fasta_files(spark, [r["path"] for r in todo.select("path").collect()]).select(*stored.columns)
         if changed:
             added = settle(stored.join(todo.select("sample"), "sample", "left_anti").select(*stored.columns)).unionByName(added)
         added.write.mode("overwrite" if changed else "append").parquet(f"{out}/contigs")

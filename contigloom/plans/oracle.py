@@ -156,10 +156,12 @@ ORACLE: dict[str, str] = {
           s.sample, c.drug_class, coalesce(a.value, '') as value
         from samples s join classes c using (stage) left join amr_v a on a.stage = s.stage and a.sample = s.sample and a.drug_class = c.drug_class""",
     "read_status": f"with {_DENSE} select sample, step, status from dense",
-    "read_tool_reports": f"""with {_STAGES_STATS}
-        select sample, stage, 'Assembly' as metric, sample as value from stats
-        union all select sample, stage, '# contigs', cast(n_contigs as varchar) from stats
-        union all select sample, stage, 'N50', cast(n50 as varchar) from stats""",
+    "read_tool_reports": f"""with {_STAGES_STATS}, told as (select *, sample || case stage when 'after' then '_filtered' else '' end as genome from stats)
+        select 'quast' as tool, sample, stage, unnest(['Assembly|' || sample, '# contigs|' || n_contigs, 'N50|' || n50]) as row from told
+        union all select 'checkm2', sample, stage, concat(n_contigs % 90, '.5|', n_contigs % 10, '.0|', n50, '|x') from told
+        union all select 'kraken2', sample, stage, unnest(['R|1|' || n_contigs || '|0', 'S|562|' || n50 || '|' || n_contigs]) from told
+        union all select 'kraken2_contigs', sample, stage, unnest(['C|c' || n50 || '|562|' || n50, 'U|c2|0|9']) from told
+        union all select 'gtdbtk', sample, stage, 'd__B;s__' || n50 from told""",
     "read_step_logs": """select case when line_no % 4 < 2 then file end as sample, unnest(case line_no % 4 when 0 then ['FASTP'] when 1 then ['KRAKEN2-a']
           when 2 then ['GTDBTK-b', 'GTDBTK-a'] else ['MULTIQC'] end) as step, replace(line, chr(10), '\\n') as line from log_lines_v""",
     "write_fasta": f"""with {_FILTERED}
@@ -174,10 +176,13 @@ ORACLE: dict[str, str] = {
         union all select concat(stem, '_before'), path, 'before_path' from files
         union all select stem, path, 'stem_path' from files""",
     "error_digest": f"""with {_LATEST},
-        failed as (select sample, step, concat('C', seq_no % 400) as log_path from latest where status = 'FAIL'),
-        tails as (select * from (select *, row_number() over (partition by file order by line_no desc) as rn from log_lines_v) where rn <= 5)
+        failed as (select sample, step, case when seq_no % 400 % 9 = 0 then concat('no such tool: ', seq_no % 400) else concat('C', seq_no % 400) end as log_path
+          from latest where status = 'FAIL'),
+        there as (select distinct file from log_lines_v),
+        tails as (select * from (select *, row_number() over (partition by file order by line_no desc) as rn from log_lines_v
+          where cast(substr(file, 2) as bigint) % 7 <> 0) where rn <= 5)
         select sample, step, line_no, case when t.file is null then log_path else line end as line
-        from failed left join tails t on t.file = log_path""",
+        from failed left join tails t on t.file = log_path where t.file is not null or log_path not in (select file from there)""",
     "parse_mate_name": f"with {_READ_FILES} select name, sample, mate from read_files",
     "sample_from_path": """select page_id, regexp_replace(regexp_extract(url, '[^/]*$'), '[.][^.]+$', '') as sample,
         regexp_extract(url, '[^/]*$') as hit_sample from pages""",
@@ -265,7 +270,7 @@ ORACLE: dict[str, str] = {
           cast(sum(length * n) over (partition by sample, stage) as bigint) as total_bases
         from counts window w as (partition by sample, stage order by length desc rows unbounded preceding)""",
     "natural_sort": f"""with {_READ_FILES}, names as (select distinct sample, ltrim(substr(sample, 2), '0') as digits from read_files)
-        select sample, concat('S|', lpad(cast(length(digits) as varchar), 5, '0'), digits) as sort_key from names order by cast(substr(sample, 2) as int)""",
+        select sample, concat('4|3S2', lpad(cast(length(digits) as varchar), 9, '0'), digits, '1|3S2', lpad(cast(length(digits) as varchar), 9, '0'), digits, '1') as sort_key from names order by cast(substr(sample, 2) as int)""",
     "sort_report": f"""with {_COMBINED} {_REPORT_COLUMNS} order by "Sample", "Database" """,
     "limit_report": f"""with {_COMBINED} {_REPORT_COLUMNS} order by "Sample", "Database" limit 25 offset 25""",
     "union_hits": "select file, database, count(*) as n, cast(sum(pct_identity) as bigint) as identity from hits_v group by 1, 2",

@@ -6,8 +6,9 @@ Sources and sinks are exercised on files that Spark first writes from those tabl
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contigloom.functions import names
@@ -141,13 +142,31 @@ def read_status(spark, sf):
 
 @query
 def read_tool_reports(spark, sf):
-    stats = fe.stats_before_and_after(views(spark, sf)("contigs_v"))
-    lines = F.concat(F.lit("Assembly\t"), "sample", F.lit("\n# contigs\t"), "n_contigs", F.lit("\nN50\t"), "n50",
-                     F.lit("\n"))
-    files = stats.select(F.concat(F.lit("raw/quast_"), "stage", F.lit("/"), "sample", F.lit("/report.tsv")).alias("name"),
-                         lines.alias("content"))
-    root = _write_named(spark, files, "reports")
-    return tables.read_tool_report(spark, root, "quast")
+    stats = settle(fe.stats_before_and_after(views(spark, sf)("contigs_v")).select("sample", "stage", "n_contigs", "n50"))
+    suffix = F.when(F.col("stage") == "after", "_filtered").otherwise("")
+
+    def lines(*rows: list) -> Column:
+        """Tab-separated lines of columns, names of columns and other words."""
+        cells = [[(F.col(c) if c in stats.columns else F.lit(c)) if isinstance(c, str) else c for c in row] for row in rows]
+        return F.concat(F.concat_ws("\n", *[F.concat_ws("\t", *row) for row in cells]), F.lit("\n"))
+
+    genome = F.concat("sample", suffix)
+    files = {
+        "quast": (F.concat(F.lit("raw/quast_"), "stage", F.lit("/"), "sample", F.lit("/report.tsv")),
+                  lines(["Assembly", "sample"], ["# contigs", "n_contigs"], ["N50", "n50"])),
+        "checkm2": (F.concat(F.lit("raw/checkm2_"), "stage", F.lit("/"), "sample", F.lit("/quality_report.tsv")),
+                    lines(["Name", "Contamination", "Completeness", "Genome_Size", "Own"], [genome, F.col("n_contigs") % 10, F.col("n_contigs") % 90 + F.lit(0.5), "n50", "x"])),
+        "kraken2": (F.concat(F.lit("raw/kraken2/"), genome, F.lit(".report")),
+                    lines(["100.00", "n_contigs", "0", "R", "1", "root"], [" 50.00", "n50", "n_contigs", "S", "562", "  E. coli"])),
+        "kraken2_contigs": (F.concat(F.lit("raw/kraken2/"), genome, F.lit(".output")), lines(["C", F.concat(F.lit("c"), "n50"), "562", "n50", "562:7"], ["U", "c2", "0", "9", "0:1"])),
+        "gtdbtk": (F.concat(F.lit("raw/gtdbtk/"), "stage", F.lit("/classify/"), "sample", F.lit(".summary.tsv")),
+                   lines(["classification", "user_genome", "red_value"], [F.concat(F.lit("d__B;s__"), "n50"), genome, "N/A"])),
+    }
+    root = _write_named(spark, reduce(DataFrame.unionByName, [stats.select(name.alias("name"), text.alias("content")) for name, text in files.values()]), "reports")
+    told = {"quast": ["metric", "value"], "checkm2": ["completeness", "contamination", "genome_size", "own"], "kraken2": ["rank", "taxid", "clade", "direct"],
+            "kraken2_contigs": ["verdict", "contig_id", "taxon", "length"], "gtdbtk": ["classification", "red_value"]}
+    parts = [tables.read_tool_report(spark, root, tool).select(F.lit(tool).alias("tool"), "sample", "stage", F.concat_ws("|", *columns).alias("row")) for tool, columns in told.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
@@ -206,9 +225,16 @@ def batch_manifest(spark, sf):
 @query
 def error_digest(spark, sf):
     v = views(spark, sf)
-    path = F.concat(F.lit("C"), F.col("seq_no") % 400)
+    number = F.col("seq_no") % 400
+    path = F.when(number % 9 == 0, F.concat(F.lit("no such tool: "), number)).otherwise(F.concat(F.lit("C"), number))
     status = st.latest_status(v("status_v")).withColumn("log_path", path)
-    return st.error_digest(status, v("log_lines_v"))
+    log = F.substring("file", 2, 20).try_cast("long")
+    lines = v("log_lines_v").filter(log % 7 != 0)  # these logs are empty
+    own = lines.filter(log % 5 != 0).withColumns({"sample": F.lit("s"), "step": F.lit("FASTP")})
+    cohort = lines.filter(log % 5 == 0).withColumn("sample", F.lit(None).cast("string")).withColumn(
+        "step", F.explode(F.array(F.lit("ABRICATE-b"), F.lit("ABRICATE-a"))))  # read once for each of its steps
+    files = v("log_lines_v").select(F.col("file").alias("path")).distinct()
+    return st.error_digest(status, own.unionByName(cohort), files=files)
 
 
 # ---- projections ---------------------------------------------------------------------------
@@ -541,7 +567,9 @@ def sort_report(spark, sf):
 @query
 def limit_report(spark, sf):
     combined = hi.combine_gene_hits(views(spark, sf)("hits_v"))
-    return rp.limit_report(combined, ["Sample", "Database"], page=1)
+    out = scratch_dir(spark, "pages")
+    rp.store_pages(combined, ["Sample", "Database"], out)
+    return rp.read_page(spark, out, page=1)
 
 
 @query

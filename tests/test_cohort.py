@@ -95,6 +95,19 @@ def test_search_select_facets_pages(spark):
     assert "TakeOrderedAndProject" in plan_of(rp.limit_report(table, ["Sample"], 3))
 
 
+def test_a_stored_page_reads_its_own_files_alone(spark, tmp_path):
+    table = spark.range(1000).select(F.format_string("s%04d", 999 - F.col("id")).alias("Sample"), "id").repartition(7)
+    out = str(tmp_path / "pages")
+    rp.store_pages(table, ["Sample"], out)
+    for page, rows in ((0, 25), (3, 25), (39, 25), (40, 25), (1, 333), (3, 300)):
+        got = [r["Sample"] for r in rp.read_page(spark, out, rows, page).collect()]
+        assert got == [f"s{k:04d}" for k in range(rows * page, min(rows * (page + 1), 1000))]
+    assert len(rp.read_page(spark, out, 25, 3).inputFiles()) == 1
+    assert rp.read_page(spark, out, 25, 3).columns == ["Sample", "id"]
+    rp.store_pages(table.limit(0), ["Sample"], out)
+    assert rp.read_page(spark, out).collect() == []
+
+
 def test_union_keeps_duplicates(spark):
     table = spark.createDataFrame([("a",), ("a",)], "gene string")
     assert hi.union_hits(table, table).count() == 4

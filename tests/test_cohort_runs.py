@@ -8,7 +8,7 @@ from contigloom import session
 from contigloom.operators import contigs as co
 from contigloom.operators import taxonomy as tx
 from contigloom.plans import cohort
-from contigloom.sources.text import read_fasta, read_removal_list
+from contigloom.sources.text import fasta_files, read_fasta, read_removal_list
 
 LONG = "ACGT" * 150
 
@@ -49,6 +49,21 @@ def test_a_second_run_takes_new_samples_changed_files_and_other_thresholds(spark
     assert as_tuples(spark.read.parquet(str(tmp_path / "out/status")).select("sample").distinct(), "sample") == [("a",), ("b",)]
 
 
+def test_a_second_run_reads_only_new_files(spark, tmp_path, monkeypatch):
+    put(tmp_path, "in/a.fasta", f">a1_cov_20\n{LONG}\n")
+    put(tmp_path, "in/b.fasta", f">b1_cov_20\n{LONG}\n")
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    cohort.run_contigs(spark, source, out)
+    seen = []
+    monkeypatch.setattr(cohort, "fasta_files", lambda spark_, paths: seen.append([p.rpartition("/")[2] for p in paths]) or fasta_files(spark_, paths))
+    monkeypatch.setattr(cohort, "cohort_contigs", None)
+    put(tmp_path, "in/c [1].fasta", f"; text\n>c1_cov_2\n{LONG}\n")
+    put(tmp_path, "in/b.fasta", f">b1_cov_20\n{LONG}\n>b2_cov_30\n{LONG}\n")
+    report = cohort.run_contigs(spark, source, out)
+    assert sorted(seen[0]) == ["b.fasta", "c [1].fasta"] and len(seen) == 1
+    assert as_tuples(report, "sample", "n_contigs_before") == [("a", 1), ("b", 2), ("c [1]", 1)]
+
+
 def test_removal_by_the_paths_people_write(spark, tmp_path):
     path = put(tmp_path, "in/s 1.fasta", ">x one\nA\n>y\nC\n")
     removals = read_removal_list(spark, put(tmp_path, "list.tab", f"{path}\tx\n"))

@@ -1,4 +1,6 @@
+import functools
 import random
+import re as re_
 
 import pytest
 from conftest import as_tuples, plan_of
@@ -156,6 +158,47 @@ def test_natural_order(spark):
     assert [r[0] for r in pa.natural_sort(table).collect()] == wanted
 
 
+def version_order(a, b):
+    """-1, 0 or 1: text compared letter by letter, numbers as numbers, as version sort has it."""
+    def rank(text, i):
+        if i >= len(text):
+            return -1
+        c = text[i]
+        return 0 if c.isdigit() else -2 if c == "~" else ord(c) if c.isalpha() else ord(c) + 1000
+
+    def parts(x, y):
+        i = j = 0
+        while i < len(x) or j < len(y):
+            while i < len(x) and not x[i].isdigit() or j < len(y) and not y[j].isdigit():
+                if rank(x, i) != rank(y, j):
+                    return -1 if rank(x, i) < rank(y, j) else 1
+                i, j = i + 1, j + 1
+            m, n = (re_.match("[0-9]*", s[k:])[0] for s, k in ((x, i), (y, j)))
+            if int(m or 0) != int(n or 0):
+                return -1 if int(m or 0) < int(n or 0) else 1
+            i, j = i + len(m), j + len(n)
+        return 0
+
+    special = ["", ".", ".."]
+    for x, y, sign in ((a, b, -1), (b, a, 1)):
+        if x in special and (y not in special or special.index(x) < special.index(y)) or x.startswith(".") and y not in special and not y.startswith("."):
+            return sign
+    if a in special and b in special:
+        return 0
+    a, b = (s[1:] if s.startswith(".") else s for s in (a, b))
+    ending = re_.compile(r"(\.[A-Za-z~][A-Za-z0-9~]*)+$")
+    return parts(ending.sub("", a), ending.sub("", b)) or parts(a, b)
+
+
+def test_natural_order_equals_a_comparison_of_versions(spark):
+    rng = random.Random(21)
+    names_ = {"".join(rng.choices("ab01.~-_9A", k=rng.randrange(0, 7))) for _ in range(500)}
+    names_ |= {"s1", "s01", "s001", "s1~", "s1~rc", "s1.tar.gz", "s10.fa", "s9.fa", "a.b", "a1.b", "", ".", "..", ".x", "9" * 30, "1" + "0" * 30, "a" + "0" * 40 + "7"}
+    table = spark.createDataFrame([(n,) for n in names_], "sample string")
+    got = [r[0] for r in pa.natural_sort(table).collect()]
+    assert got == sorted(names_, key=lambda n: (functools.cmp_to_key(version_order)(n), n))
+
+
 def test_manifests(spark):
     files = spark.createDataFrame([("/o/s.v1.fasta",)], "path string")
     got = {n: tuple(pa.batch_manifest(files, n).collect()[0]) for n in ("path_stem", "before_path", "stem_path")}
