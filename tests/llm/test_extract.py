@@ -1,3 +1,6 @@
+import html
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -35,14 +38,44 @@ def test_without_an_article_the_prose_is_found(weights, given):
     assert extract.main_text(page, weights if given is None else given) == "\n".join(prose(40, i) for i in range(4))
 
 
-def test_pages_of_the_tables_are_exact(spark, weights):
-    import html
-    import re
+def article_of(page):
+    body = re.search(r"<article>(.*?)</article>", page, re.S)[1]
+    blocks = (" ".join(html.unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split("</?(?:p|h1)>", body))
+    return "\n".join(b for b in blocks if b)
+
+
+@pytest.mark.parametrize("other", ["article", "div", "section", "main"])
+def test_pages_of_the_tables_are_exact_however_the_article_is_marked(spark, weights, other):
+    given = table(spark, SF, "pages")
+    renamed = given.withColumn("html", F.regexp_replace("html", "(</?)article>", f"$1{other}>"))
+    got = {r["page_id"]: r["text"] for r in extract.extract(renamed, weights).collect()}
+    assert got == {r["page_id"]: article_of(r["html"]) for r in given.collect()}
+
+
+def test_the_marking_is_no_input(weights):
+    page = PAGE.format("Top", *(prose(30, i) for i in range(3)))
+    sorts = [[t.sort for t in extract.tokens_of(p)] for p in (page, page.replace("article", "div"))]
+    assert sorts[0] == sorts[1] and not any("article" in w or "main" in w for w in weights)
+
+
+def test_names_that_hold_a_word_lose_no_text(weights):
+    parts = [prose(20, k) for k in range(8)]
+    body = (f'<header class="article-header"><h1>{parts[0]}</h1></header><p class="market-share">{parts[1]}</p><h2 id="ad-hoc-queries">{parts[2]}</h2>'
+            f'<p id=menu>{parts[3]}</p><div class="share-price related-work">{parts[4]}</div><table><tr><td class="footer">{parts[5]}</td></tr></table>'
+            f'<div class="share">x y z</div><div class="left-sidebar"><p>{prose(30, 99)}</p></div><p>{parts[6]}</p><ul><li>{parts[7]}</li></ul>')
+    page = f"<html><body><div class=header>the site</div><nav><a>a b</a></nav>%s<div id=footer><p>{prose(9, 50)}</p></div></body></html>"
+    for marked in (f"<article>{body}</article>", f"<div>{body}</div>"):
+        for w in (weights, {}):
+            assert extract.main_text(page % marked, w) == "\n".join(parts)
+
 
-    for r in extract.extract(table(spark, SF, "pages"), weights).collect():
-        body = re.search(r"<article>(.*?)</article>", r["html"], re.S)[1]
-        blocks = (" ".join(html.unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split("</?(?:p|h1)>", body))
-        assert r["text"] == "\n".join(b for b in blocks if b)
+def test_all_articles_of_a_page_come_out(weights):
+    one, two, three = (["".join(prose(25, 10 * k + i)) for i in range(3)] for k in range(3))
+    links = "<ul>" + "".join(f"<li><a href=x>{prose(4, i)}</a></li>" for i in range(60)) + "</ul>"
+    articles = [f"<article>{''.join(f'<p>{p}</p>' for p in part)}</article>" for part in (one, two, three)]
+    page = f"<body><nav>a b</nav>{articles[0]}<aside>{prose(40, 7)}</aside>{articles[1]}{links}{articles[2]}<footer>f</footer>"
+    for w in (weights, {}):
+        assert extract.main_text(page, w) == "\n".join(one + two + three)
 
 
 def test_odd_pages(spark, weights):
