@@ -2,12 +2,16 @@
 
 Candidates are the base patterns' spans and looser ones, which every labeler proposes: names after a title, after a context word or in
 the gazetteer, identity numbers, account numbers, and numbers or addresses that just miss a base rule (phones without a plus,
-card numbers of 13 digits or with a wrong one, spelt-out or one-label mail addresses, IPv6 and four numbers with dots). Labelers (patterns, gazetteers, context words, shapes) vote yes, no or nothing on
-each. How often each combination of votes occurs is counted over all documents; from these counts expectation-maximisation
-estimates how reliable each labeler is and how likely each combination is personal data. A logistic span classifier is then
+card numbers of 13 digits or with a wrong one, spelt-out or one-label mail addresses, IPv6 and four numbers with dots). Labelers (patterns,
+gazetteers, context words, words that name something else, shapes) vote yes, no or nothing on each. How often each combination of votes occurs is
+counted over all documents, kind by kind; from these counts expectation-maximisation estimates how reliable each labeler is for that kind
+and how likely each combination is personal data. Labelers that never differ within a kind tell it nothing, so the estimates are drawn
+to what the labelers are worth by themselves (``WORTH``) and the share of personal data to ``SHARE``. A logistic span classifier is then
 trained on at most ``TRAIN_ROWS`` distinct candidates, the first by hash, weighted by that likelihood. Looser candidates that
 it gives ``LEAST_PROBABILITY`` become spans of their own kind if no base span overlaps them. Base spans always stay.
 
+The gazetteer of given names is a table of at most ``GAZETTEER`` rows, sent to the tasks; without one a short list is used.
+
 Null text: empty, no spans. Repeated rows: the same spans each. An empty table gives an empty result. Extra columns pass
 through ``scan``; ``spans_`` is replaced.
 """
@@ -24,7 +28,7 @@ from pyspark.sql import functions as F
 
 from contigloom.llm.sample import first_by_hash
 from contigloom.llm.spans import Span, overlaps
-from contigloom.session import settle
+from contigloom.session import bound_arrow_batches, settle
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 NEAR_KINDS = tuple(f"near_{k}" for k in BASE_KINDS)  # just miss the base rule
@@ -33,6 +37,9 @@ SPANS = "array<struct<kind:string,start:int,end:int>>"
 TRAIN_ROWS = 4000
 LEAST_PROBABILITY = 0.9
 AROUND = 30  # characters of context on each side
+GAZETTEER = 200_000  # names
+SHARE = 0.2  # of candidates, before any is seen
+DRAWN = 30.0  # candidates that what the labelers are worth by themselves counts as
 
 # The base patterns. Where a run can only match from its first character, a look behind says so, which
 # keeps long runs linear; digits are taken whole for the same reason.
@@ -65,13 +72,21 @@ GIVEN_NAMES = frozenset("""anna ben carlos claire david elena emma fatima hans i
 mark mary michael mohammed nina omar paul peter pierre sara sofia thomas wei""".split())
 COUNTRIES = frozenset("AT BE CH CZ DE DK ES FI FR GB IE IT LU NL NO PL PT SE".split())
 CONTEXT = {
-    "email": ("mail", "contact", "@", "write", "correo", "courriel"), "ip": ("ip", "host", "server", "address", "addr"),
-    "card": ("card", "visa", "credit", "payment", "karte", "tarjeta", "carte"),
-    "phone": ("phone", "call", "tel", "mobile", "fax", "anruf", "llam"),
-    "name": ("name", "dear", "sincerely", "patient", "born"), "identity": ("ssn", "social", "security", "identity", "passport"),
-    "account": ("iban", "account", "bank", "konto", "cuenta", "compte"),
+    "email": "mail email contact write correo courriel", "ip": "ip ipv4 ipv6 host server address addr",
+    "card": "card visa mastercard credit payment karte kreditkarte tarjeta carte",
+    "phone": "phone telephone call calls tel mobile cell fax anruf telefon llama llamar telefono",
+    "name": "name named dear sincerely patient born regards", "identity": "ssn social security identity passport",
+    "account": "iban account bank konto cuenta compte",
 }
-LABELERS = ("pattern", "gazetteer", "context", "shape", "distinct")
+CONTEXT = {kind: frozenset(words.split()) for kind, words in CONTEXT.items()}
+#: Words next to a number or a name that is something else.
+OTHER = frozenset("""order orders part parts serial model version release build item items sku ref reference invoice ticket case isbn issn doi
+article chapter section page pages figure table row column line id code lot batch room bestellung teil artikel commande pedido street road
+avenue station airport university""".split())
+LABELERS = ("pattern", "gazetteer", "context", "shape", "distinct", "other")
+#: Log odds of a vote by itself.
+WORTH = (1.0, 1.0, 2.0, 0.5, 0.5, 3.0)
+_NEXT = re.compile(r"\w+")
 
 
 def luhn(digits: str) -> bool:
@@ -110,7 +125,7 @@ def base_spans(text: str) -> list[Span]:
     return found
 
 
-def loose_spans(text: str, base: list[Span]) -> list[Span]:
+def loose_spans(text: str, base: list[Span], names: frozenset[str] = GIVEN_NAMES) -> list[Span]:
     """Candidates beside the base spans, none overlapping one."""
     found: list[Span] = []
     if _DIGIT.search(text):
@@ -124,7 +139,7 @@ def loose_spans(text: str, base: list[Span]) -> list[Span]:
     found += [("name", *m.span()) for m in _NAME.finditer(text)]
     found += [("name", *m.span(1)) for m in _NAMED.finditer(text)]
     for m in _WORD.finditer(text):
-        if m[0].lower() in GIVEN_NAMES:
+        if m[0].lower() in names:
             more = _SURNAME.match(text, m.end())
             found.append(("name", m.start(), more.end() if more else m.end()))
     free: list[Span] = []
@@ -157,11 +172,15 @@ def _iban(value: str) -> bool:
     return int("".join(str(int(c, 36)) for c in value[4:] + value[:4])) % 97 == 1
 
 
-def votes(text: str, span: Span) -> tuple[int, ...]:
+def votes(text: str, span: Span, names: frozenset[str] = GIVEN_NAMES) -> tuple[int, ...]:
     """1 yes, -1 no, 0 nothing, by each of ``LABELERS``."""
     kind, a, b = span
     value = text[a:b]
-    near = text[max(0, a - AROUND):a].lower() + " " + text[b:b + AROUND].lower()
+    # whole words: one that is cut at the window's far end doesn't count
+    before, after = text[max(0, a - AROUND - 1):a].lower(), text[b:b + AROUND + 1].lower()
+    before = before if a <= AROUND else before[re.match(r"\w*", before).end():]
+    after = after if b + AROUND + 1 >= len(text) else after[:re.search(r"\w*\Z", after).start()]
+    near = {*_NEXT.findall(before), *_NEXT.findall(after)}
     digits = [c for c in value if c in "0123456789"]
     strict = {"account": _iban, "identity": lambda v: v[:3] not in ("000", "666") and v[0] != "9" and v[4:6] != "00" and v[7:] != "0000",
               "near_ip": _ipv6, "near_card": lambda v: luhn(re.sub("[ -]", "", v)), "near_phone": lambda v: 7 <= len(digits) <= 15,
@@ -170,78 +189,112 @@ def votes(text: str, span: Span) -> tuple[int, ...]:
     if kind in ("email", "near_email"):
         known = 1 if re.split(r"[^A-Za-z0-9-]+", value)[-1].lower() in DOMAINS else -1
     elif kind == "name":
-        known = 1 if any(w.lower().strip(".") in GIVEN_NAMES for w in value.split()) else 0
+        known = 1 if any(w.lower().strip(".") in names for w in value.split()) else 0
     elif kind == "account":
         known = 1 if value[:2] in COUNTRIES else -1
     elif kind in ("card", "near_card"):
         known = 1 if value[0] in "3456" else -1
     else:
         known = 0
-    context = 1 if any(w in near for w in CONTEXT[kind.removeprefix("near_")]) else 0
+    context = 1 if near & CONTEXT[kind.removeprefix("near_")] or kind == "name" and _NAME.match(text, a) else 0
     edge = text[a - 1:a] + text[b:b + 1]
     shape = -1 if re.search(r"[\w@/=]", edge) else 1
     distinct = (-1 if len(set(digits)) <= 2 else 1) if len(digits) >= 4 else 0
-    return pattern, known, context, shape, distinct
+    other = -1 if near & OTHER and kind not in ("email", "near_email") and not context else 0
+    return pattern, known, context, shape, distinct, other
 
 
-def features(text: str, span: Span) -> list[float]:
+def features(text: str, span: Span, names: frozenset[str] = GIVEN_NAMES) -> list[float]:
     """What the classifier sees: the votes, the kind, and plain counts of the span."""
     kind, a, b = span
     value = text[a:b]
     n = max(1, len(value))
-    return [1.0, *map(float, votes(text, span)), *[float(kind == k) for k in KINDS], min(len(value), 60) / 30,
+    return [1.0, *map(float, votes(text, span, names)), *[float(kind == k) for k in KINDS], min(len(value), 60) / 30,
             sum(c.isdigit() for c in value) / n, sum(c.isupper() for c in value) / n, sum(c in " -.()" for c in value) / n]
 
 
-def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 100) -> tuple[dict[tuple[int, ...], float], np.ndarray]:
+def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 100, worth: tuple[float, ...] | None = None) -> tuple[dict[tuple[int, ...], float], np.ndarray]:
     """Expectation-maximisation with two classes over counted vote patterns.
 
-    Gives the probability of personal data for each pattern, and per class and labeler the chances of no, nothing, yes.
+    Gives the probability of personal data for each pattern, and per class and labeler the chances of no, nothing, yes. With ``worth``
+    the chances are drawn to those at which a vote is worth so much, and the share of personal data to ``SHARE``.
     """
     table = np.array([p for p, _ in patterns])
     weight = np.array([n for _, n in patterns], dtype=float)
-    right = 1 / (1 + np.exp(-table.sum(axis=1)))  # starts from the sum of the votes
+    drawn = np.full((2, table.shape[1], 3), 0.5)
+    start = table.sum(axis=1).astype(float)
+    if worth is not None:
+        for j, w in enumerate(worth):
+            for c, sign in enumerate((-1, 1)):
+                own = np.exp(sign * w / 2 * np.array([-1, 0, 1]))
+                drawn[c, j] = DRAWN * own / own.sum()
+        start = table @ np.array(worth) + np.log(SHARE / (1 - SHARE))
+    right = 1 / (1 + np.exp(-start))
     for _ in range(rounds):
         share = (weight * right).sum() / weight.sum()
+        share = (share + SHARE) / 2 if worth is not None else share
         share = min(max(share, 1e-4), 1 - 1e-4)
         chance = np.empty((2, table.shape[1], 3))
         for c, mass in enumerate((weight * (1 - right), weight * right)):
             for v in (-1, 0, 1):
-                chance[c, :, v + 1] = 0.5 + (mass[:, None] * (table == v)).sum(axis=0)
+                chance[c, :, v + 1] = drawn[c, :, v + 1] + (mass[:, None] * (table == v)).sum(axis=0)
             chance[c] /= chance[c].sum(axis=1, keepdims=True)
         log = [sum(np.log(chance[c, j, table[:, j] + 1]) for j in range(table.shape[1])) for c in (0, 1)]
         right = 1 / (1 + np.exp(-np.clip(np.log(share / (1 - share)) + log[1] - log[0], -40, 40)))
     return {p: float(r) for (p, _), r in zip(patterns, right)}, chance
 
 
-def candidate_votes(docs: DataFrame) -> DataFrame:
-    """One row per candidate span of all texts: votes, features."""
+def gazetteer(names: DataFrame | None) -> frozenset[str]:
+    """The names of a table's first column in lower case; a short list without a table."""
+    if names is None:
+        return GIVEN_NAMES
+    rows = names.select(F.lower(F.col(f"`{names.columns[0]}`")).alias("n_")).filter("n_ <> ''").distinct().limit(GAZETTEER + 1).collect()
+    if len(rows) > GAZETTEER:
+        raise ValueError(f"more than {GAZETTEER} names")
+    return frozenset(r["n_"] for r in rows)
+
+
+FOUND = "base array<struct<kind:string,start:int,end:int>>, loose array<struct<kind:string,start:int,end:int>>, seen array<struct<kind:string,votes:array<int>,features:array<double>>>"
 
-    @F.pandas_udf("array<struct<votes:array<int>,features:array<double>>>")
-    def vote(texts: pd.Series) -> pd.Series:
-        out = []
+
+def with_candidates(docs: DataFrame, names: frozenset[str] = GIVEN_NAMES) -> DataFrame:
+    """``docs`` with ``found_``: base spans, loose spans, and kind, votes and features of both in this order."""
+    sent = docs.sparkSession.sparkContext.broadcast(names)
+
+    @F.pandas_udf(FOUND)
+    def find(texts: pd.Series) -> pd.DataFrame:
+        rows = []
         for text in texts:
             text = text or ""
             base = base_spans(text)
-            out.append([(votes(text, s), features(text, s)) for s in base + loose_spans(text, base)])
-        return pd.Series(out)
+            loose = loose_spans(text, base, sent.value)
+            seen = []
+            for s in base + loose:
+                own = features(text, s, sent.value)
+                seen.append((s[0], [int(v) for v in own[1:1 + len(LABELERS)]], own))
+            rows.append((base, loose, seen))
+        return pd.DataFrame(rows, columns=["base", "loose", "seen"])
 
-    return docs.select(F.explode(vote.asNondeterministic()(F.col("text"))).alias("c_")).select("c_.votes", "c_.features")
+    bound_arrow_batches(docs.sparkSession)
+    return docs.drop("found_", "spans_").withColumn("found_", find.asNondeterministic()(F.col("text")))
 
 
 def train(found: DataFrame, rows: int = TRAIN_ROWS) -> np.ndarray | None:
-    """Weights of the span classifier from ``candidate_votes``; None without candidates.
+    """Weights of the span classifier from rows with ``found_``; None without candidates.
 
-    The vote patterns are counted over all candidates; there are at most 3 ** 5 of them.
+    The vote patterns are counted over all candidates, kind by kind; a kind has at most 3 ** 6 of them.
     """
-    counted = settle(found.groupBy("votes", "features").count())
-    patterns = counted.groupBy("votes").agg(F.sum("count").alias("n")).collect()
+    seen = found.select(F.explode("found_.seen").alias("c_")).select("c_.kind", "c_.votes", "c_.features")
+    counted = settle(seen.groupBy("kind", "votes", "features").count())
+    patterns = counted.groupBy("kind", "votes").agg(F.sum("count").alias("n")).collect()
     if not patterns:
         return None
-    chance, _ = estimate(sorted((tuple(r["votes"]), r["n"]) for r in patterns))
-    sample = first_by_hash(counted, "features", rows).collect()
+    chance = {}
+    for kind in {r["kind"] for r in patterns}:
+        chance[kind], _ = estimate(sorted((tuple(r["votes"]), r["n"]) for r in patterns if r["kind"] == kind), worth=WORTH)
+    sample = first_by_hash(counted.drop("count"), "features", rows).collect()
     x = np.array([r["features"] for r in sample])
-    y = np.array([chance[tuple(r["votes"])] for r in sample])
+    y = np.array([chance[r["kind"]][tuple(r["votes"])] for r in sample])
     w = np.zeros(x.shape[1])
     penalty = 1e-2 * np.eye(x.shape[1])
     for _ in range(30):  # Newton steps of a logistic regression on likelihoods
@@ -250,25 +303,34 @@ def train(found: DataFrame, rows: int = TRAIN_ROWS) -> np.ndarray | None:
     return w
 
 
-def scan(docs: DataFrame, weights: np.ndarray | None) -> DataFrame:
-    """``docs`` with ``spans_``: base spans, then what the classifier adds, in no order."""
+def decided(found: DataFrame, weights: np.ndarray | None) -> DataFrame:
+    """``found`` with ``spans_`` in place of ``found_``: base spans, then what the classifier adds, in no order."""
 
     @F.pandas_udf(SPANS)
-    def find(texts: pd.Series) -> pd.Series:
-        out = []
-        for text in texts:
-            text = text or ""
-            spans = base_spans(text)
-            if weights is not None:
-                for span in loose_spans(text, spans):
-                    if 1 / (1 + np.exp(-np.clip(np.dot(weights, features(text, span)), -30, 30))) >= LEAST_PROBABILITY:
-                        spans.append(span)
-            out.append(spans)
-        return pd.Series(out)
+    def decide(cells: pd.DataFrame) -> pd.Series:
+        held = [(list(b), list(l), list(s)) for b, l, s in zip(cells["base"], cells["loose"], cells["seen"])]
+        if weights is None:
+            return pd.Series([b for b, _, _ in held], dtype=object)
+        x = [c["features"] for b, _, seen in held for c in seen[len(b):]]  # all loose spans of the batch at once
+        good = iter((np.array(x) @ weights >= np.log(LEAST_PROBABILITY / (1 - LEAST_PROBABILITY))).tolist() if x else [])
+        return pd.Series([b + [s for s in l if next(good)] for b, l, _ in held], dtype=object)
+
+    return found.withColumn("spans_", decide("found_")).drop("found_")
+
 
-    return docs.drop("spans_").withColumn("spans_", find(F.col("text")))
+def scan(docs: DataFrame, weights: np.ndarray | None, names: frozenset[str] = GIVEN_NAMES) -> DataFrame:
+    """``docs`` with ``spans_``."""
+    return decided(with_candidates(docs, names), weights)
 
 
-def personal_data(docs: DataFrame) -> DataFrame:
-    """``scan`` with a classifier trained on these documents."""
-    return scan(docs, train(candidate_votes(docs)))
+def personal_data(docs: DataFrame, names: DataFrame | None = None, keep: list[str] | None = None) -> DataFrame:
+    """``scan`` with a classifier trained on these documents.
+
+    With ``keep``, the columns wanted beside ``spans_`` and without the text, texts are read once: what was found in them is kept in the
+    shared folder until the classifier is there. Otherwise they are read again, so that no text is stored.
+    """
+    known = gazetteer(names)
+    found = with_candidates(docs, known)
+    if keep is not None:
+        found = settle(found.select(*keep, "found_"))
+    return decided(found, train(found))

@@ -65,7 +65,7 @@ def op1_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op3_personal_data(spark: SparkSession, folder: str) -> DataFrame:
-    return _span_columns(private.personal_data(table(spark, folder, "documents").select("doc_id", "text")), private.BASE_KINDS, private.KINDS)
+    return _span_columns(private.personal_data(table(spark, folder, "documents").select("doc_id", "text"), keep=["doc_id"]), private.BASE_KINDS, private.KINDS)
 
 
 @query

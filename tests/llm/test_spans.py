@@ -151,5 +151,38 @@ def test_near_misses_are_decided_on_by_the_classifier(spark):
     assert sum("near_phone" in kinds for kinds in got.values()) >= 50
 
 
+def test_context_words_count_as_wholes():
+    def context(text, kind="near_ip"):
+        a = text.index("2001")
+        return private.votes(text, (kind, a, a + len("2001:db8::1")))[2]
+
+    assert [context(f"{w} 2001:db8::1 x") for w in ("the description", "a ghost", "the host", "host:", "my server")] == [0, 0, 1, 1, 1]
+    assert context("hotel 2001:db8::1", "near_phone") == 0 and context("tel. 2001:db8::1", "near_phone") == 1
+
+
+def test_part_numbers_and_versions_are_no_personal_data(spark):
+    texts = [f"{prose(5, i)} order {i} of part 207-307-{5000 + 7 * i} was shipped" for i in range(60)]
+    texts += [f"{prose(5, i)} release 10.20.{i}.999 of the model 301-22-{1000 + i}" for i in range(60)]
+    phones = [f"{prose(5, i)} my phone is 207-307-{5000 + 7 * i} for now" for i in range(60)]
+    for given in (texts, texts + phones):
+        got = [[plain(s) for s in r["spans_"]] for r in private.personal_data(docs(spark, given)).orderBy("doc_id").collect()]
+        assert not any(s[0] not in private.BASE_KINDS for own in got[:120] for s in own)
+        assert all(any(s[0] == "near_phone" for s in own) for own in got[120:])
+
+
+def test_a_table_of_names_is_the_gazetteer(spark, monkeypatch):
+    names = spark.createDataFrame([("Zebulon",), ("XIMENA",), (None,), ("",)], "given string")
+    texts = [f"{prose(6, i)} then Zebulon Okafor came, dear Ximena Ortiz" for i in range(40)]
+    rows = docs(spark, texts)
+    found = lambda **k: {(s[0], texts[r["doc_id"]][s[1]:s[2]]) for r in private.personal_data(rows, **k).collect() for s in map(plain, r["spans_"])}
+    assert ("name", "Ximena Ortiz") in found(names=names) and not any("Zebulon" in v for _, v in found())
+    assert {v for k, v in private.loose_spans(texts[0], [], private.gazetteer(names)) and [(k, texts[0][a:b]) for k, a, b in private.loose_spans(texts[0], [], private.gazetteer(names))]} == {"Zebulon Okafor", "Ximena Ortiz"}
+    once = private.personal_data(rows, names, keep=["doc_id"])
+    assert once.columns == ["doc_id", "spans_"] and sorted(map(str, once.collect())) == sorted(map(str, private.personal_data(rows, names).select("doc_id", "spans_").collect()))
+    monkeypatch.setattr(private, "GAZETTEER", 1)
+    with pytest.raises(ValueError, match="names"):
+        private.gazetteer(names)
+
+
 def test_listing_order():
     assert listed([("b", 3, 4), ("a", 3, 9), ("b", 0, 1)], ("a", "b")) == "b:0:1,a:3:9,b:3:4"
