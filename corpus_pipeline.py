@@ -11,29 +11,52 @@ from contigloom.session import scratch_dir
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
+    """Documents that the quality rules reject go.
+
+    Null and empty texts have no words and go; a null language or source is a group of its own. Repeated rows are judged alike. An
+    empty table stays empty. Other columns, whatever their names, are kept.
+    """
     return quality.keep_good(docs)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, the one with the smallest doc_id."""
+    """One document of each group of near duplicates stays, the one with the smallest doc_id.
+
+    A null doc_id counts as the greatest; of rows with one doc_id and one text a single one stays. Texts without words are alike to
+    none but equal texts. An empty table stays empty. Other columns are kept.
+    """
     return near.keep_one(docs)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold benchmark items go."""
+    """Documents that hold benchmark items go.
+
+    Null and empty texts hold none and stay. Rows with one doc_id (null too) go together. An empty table stays empty, and an empty benchmark
+    takes nothing. Other columns are kept.
+    """
     return leaks.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced by a mark; ``n_chars`` follows the text where it changed."""
-    found = secrets.scan(docs, secrets.train(secrets.findings(docs)))
+    """Secrets are replaced by a mark; ``n_chars`` follows the text where it changed.
+
+    Null texts stay null. Repeated rows change alike. An empty table stays empty. Other columns, whatever their names, are kept.
+    """
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row_"), "text")
+    found = secrets.scan(held, secrets.train(secrets.findings(held.select("text"))))
     clean = secrets.redacted(found.withColumn("changed_", F.size("spans_") > 0))
-    return clean.withColumn("n_chars", F.when(F.col("changed_"), F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    own = {c: F.col("row_").getField(c) for c in docs.columns} | {"text": F.col("text")}
+    if "n_chars" in own:
+        own["n_chars"] = F.when(F.col("changed_"), F.length("text").cast("long")).otherwise(own["n_chars"])
+    return clean.select(*[column.alias(c) for c, column in own.items()])
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every document with its place in the training sequences."""
+    """Every piece of every document with its place in the training sequences.
+
+    A null or empty text is a document of the closing id alone. Repeated rows are packed each. An empty table gives an empty result. Other
+    columns than doc_id and text are left out.
+    """
     pieces = packing.tokenise(docs.select("doc_id", "text"), tokenizer_path())
     return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
