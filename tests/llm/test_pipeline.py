@@ -1,7 +1,11 @@
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from contigloom.llm import leaks, near, quality, secrets
 from contigloom.llm.queries import table, tokenizer_path
+from contigloom.session import settle
 from tests.conftest import SF
+from tests.llm.cases import DOCS, ODD, docs, prose
 from tests.llm.test_near import brute as near_brute
 from tests.llm.test_packing import whole_ids
 
@@ -33,3 +37,34 @@ def test_each_stage_does_its_work_on_what_the_last_one_kept(spark, tmp_path):
 def test_run_gives_the_last_stage(spark):
     assert set(corpus_pipeline.run(spark, SF).columns) == {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"}
     assert tokenizer_path().endswith(".json") and near.THRESHOLD == 0.8
+
+
+CLASHING = {"spans_": "'mine'", "changed_": "7", "row_": "2.5D", "kept": "'k'", "hash": "1", "found_": "cast(null as string)", "tokens": "'t'"}
+
+
+def test_every_stage_takes_nulls_repeats_and_clashing_names(spark):
+    good = [prose(80 + i, i) for i in range(60)]
+    secret = prose(90, 70) + " password=abcdefgh12345 " + "AKIA" + "B2" * 10
+    texts = [*enumerate([*ODD, *good, secret, good[0]]), (None, prose(90, 71)), (3, prose(90, 72)), (8, good[0])]
+    rows = docs(spark, texts).withColumns({c: F.expr(e) for c, e in CLASHING.items()})
+    rows = rows.withColumns({c: F.when(F.col("doc_id") % 7 != 0, F.col(c)) for c in ("lang", "source", "n_chars")})
+    columns, kept = rows.columns, rows
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, kept, SF)
+        assert kept.columns == columns, name
+        kept = settle(kept)
+    got = kept.collect()
+    assert all((r["spans_"], r["changed_"], r["row_"], r["kept"]) == ("mine", 7, 2.5, "k") for r in got)
+    ids = [r["doc_id"] for r in got]
+    n = len(ODD)
+    assert None in ids and ids.count(n) <= 1 and n + 61 not in ids and len(ids) == len(set(ids)) > 40
+    clean = next(r for r in got if r["doc_id"] == n + 60)
+    assert "password=" not in clean["text"] and "AKIA" not in clean["text"] and clean["n_chars"] in (None, len(clean["text"]))
+    packed = corpus_pipeline.packing_stage(spark, rows, SF)
+    assert packed.count() >= len(texts) and {r["doc_id"] for r in packed.collect()} == {i for i, _ in texts}
+
+
+def test_every_stage_takes_an_empty_table(spark):
+    none = spark.createDataFrame([], DOCS)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, SF).count() == 0, name
