@@ -56,9 +56,10 @@ def screen_kmers(contigs: DataFrame, kmer_taxa: DataFrame, k: int, canonical: bo
 
 
 def lineages(taxonomy: DataFrame) -> DataFrame:
-    """``taxid, name, lineage``: taxa from the root down to the taxon itself.
+    """``taxid, name, lineage, entry, exit, exits``: taxa from the root down to the taxon itself, and the tree's numbers.
 
-    One row per taxon, so its size does not depend on the cohort. Each round joins every unfinished path with the path of
+    ``entry`` numbers the taxa so that a clade is a range, from its taxon's ``entry`` to its ``exit``; ``exits`` are those of the lineage's
+    taxa. One row per taxon, so its size does not depend on the cohort. Each round joins every unfinished path with the path of
     the taxon it has reached, which doubles its length: about log2(depth) rounds for any number of taxa. A taxon that is
     its own parent is a root, as one without a parent is; one whose parents are not in the table is left out. Raises on a
     cycle.
@@ -76,7 +77,32 @@ def lineages(taxonomy: DataFrame) -> DataFrame:
         longer = paths.filter("above is not null").join(higher, "above").select(
             "taxid", "name", F.col("next").alias("above"), F.concat("upper", "lineage").alias("lineage"))
         paths = settle(paths.filter("above is null").unionByName(longer))
-    return paths.drop("above")
+    return _numbered(paths.drop("above"))
+
+
+# Taxa that a task puts in order.
+TAXA_PER_TASK = 200_000
+
+
+def _numbered(paths: DataFrame) -> DataFrame:
+    """Lineages in order are the tree in order: a taxon comes right before its clade."""
+    parts = paths.count() // TAXA_PER_TASK + 1
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    ordered = settle(paths.repartitionByRange(parts, "lineage").sortWithinPartitions("lineage").withColumns({"_part": F.spark_partition_id(), "_row": row}))
+    entry = F.col("_row")
+    if parts > 1:
+        before, firsts = 0, []
+        for r in ordered.groupBy("_part").count().orderBy("_part").collect():  # one number per task
+            firsts += [F.lit(r["_part"]), F.lit(before)]
+            before += r["count"]
+        entry = entry + F.create_map(*firsts)[F.col("_part")]
+    numbered = ordered.select("taxid", "name", "lineage", entry.cast("long").alias("entry"))
+    sizes = numbered.select(F.explode("lineage").alias("taxid")).groupBy("taxid").agg(F.count("*").alias("size"))
+    ranged = settle(numbered.join(sizes, "taxid").withColumn("exit", F.col("entry") + F.col("size") - 1).drop("size"))
+    above = ranged.select("taxid", F.posexplode("lineage").alias("depth", "ancestor"))
+    ends = ranged.select(F.col("taxid").alias("ancestor"), F.col("exit").alias("end"))
+    exits = above.join(ends, "ancestor").groupBy("taxid").agg(F.sort_array(F.collect_list(F.struct("depth", "end"))).alias("ends"))  # a lineage each
+    return settle(ranged.join(exits, "taxid").withColumn("exits", F.col("ends.end")).drop("ends"))
 
 
 def classify_contigs(kmer_hits: DataFrame, taxa: DataFrame, contigs: DataFrame | None = None,
@@ -89,28 +115,21 @@ def classify_contigs(kmer_hits: DataFrame, taxa: DataFrame, contigs: DataFrame |
     """
     keys = keys or ["sample", "rec_no"]
     own = kmer_hits.select(*keys, F.col("taxid").cast("int").alias("taxid"), "n")
-    tree = broadcast_if_small(taxa.select("taxid", "lineage"))
-    # Each hit asks every taxon of its lineage for that taxon's own k-mers, and answers for itself.
-    # Partitioned by contig once, all up to the best taxa needs no further shuffle; a contig has at most as
-    # many hits as the taxonomy has taxa. Lineages stay behind: only the best taxa meet theirs again.
-    asked = F.transform("lineage", lambda a: F.struct(
-        a.alias("taxon"), F.col("taxid").alias("leaf"), F.lit(0).cast("long").alias("n")))
-    told = F.array(F.struct(F.col("taxid").alias("taxon"), F.lit(None).cast("int").alias("leaf"), F.col("n").alias("n")))
-    rows = (own.join(tree, "taxid").repartition(*keys)
-            .select(*keys, F.explode(F.concat(asked, told)).alias("r")).select(*keys, "r.*"))
-    answered = rows.withColumn("n", F.sum("n").over(Window.partitionBy(*keys, "taxon"))).filter("leaf is not null")
-    scored = answered.groupBy(*keys, "leaf").agg(F.sum("n").alias("score"))
+    tree = broadcast_if_small(taxa.select("taxid", "entry", "exit"))
+    # A hit counts from its taxon's place on and no more after its clade: the running sum at a taxon's place is what it and
+    # its ancestors have. Two rows a hit, whatever its depth; all up to the best taxa is partitioned by contig once.
+    place, after = F.col("entry") * 2 + 1, F.col("exit") * 2 + 2
+    events = own.join(tree, "taxid").select(*keys, F.explode(F.array(
+        F.struct(place.alias("at"), F.col("n").alias("change"), F.col("taxid")),
+        F.struct(after.alias("at"), (-F.col("n")).alias("change"), F.lit(None).cast("int").alias("taxid")))).alias("e")).select(*keys, "e.*")
     contig = Window.partitionBy(*keys)
-    best = (scored.withColumn("_rank", F.rank().over(contig.orderBy(F.desc("score"))))
-            .filter("_rank = 1").withColumn("_ties", F.count("*").over(contig)))
-    shared = (best.withColumnRenamed("leaf", "taxid").join(tree, "taxid")
-              .select(*keys, "score", "_ties", F.posexplode("lineage").alias("depth", "ancestor"))
-              .groupBy(*keys, "ancestor")
-              .agg(F.count("*").alias("m"), F.max("_ties").alias("_ties"),
-                   F.max("score").alias("score"), F.max("depth").alias("depth"))
-              .filter("m = _ties"))
-    classified = shared.groupBy(*keys).agg(
-        F.max_by("ancestor", "depth").alias("taxid"), F.max("score").alias("score"))
+    scored = events.withColumn("score", F.sum("change").over(contig.orderBy("at"))).filter("taxid is not null")
+    best = scored.withColumn("_rank", F.rank().over(contig.orderBy(F.desc("score")))).filter("_rank = 1")
+    # the lowest taxon above all of the best is above the first of them, and its clade reaches the last
+    tied = best.groupBy(*keys).agg(F.min_by("taxid", "at").alias("taxid"), F.max("at").alias("_last"), F.max("score").alias("score"))
+    paths = broadcast_if_small(taxa.select("taxid", "lineage", "exits"))
+    over = F.filter(F.arrays_zip("lineage", "exits"), lambda a: a["exits"] * 2 + 1 >= F.col("_last"))
+    classified = tied.join(paths, "taxid").select(*keys, F.element_at(over, -1)["lineage"].alias("taxid"), "score")
     if contigs is None:
         return classified
     every = contigs.select(*keys)
@@ -121,17 +140,26 @@ def classify_contigs(kmer_hits: DataFrame, taxa: DataFrame, contigs: DataFrame |
 def taxonomy_report(classified: DataFrame, taxa: DataFrame) -> DataFrame:
     """Per sample and taxon: contigs of the taxon, contigs of its clade, percent of the sample.
 
-    Counted per taxon before ancestors are looked up. Unclassified contigs are the row of taxid 0.
+    Counted per taxon before the tree is looked at. In the tree's order, the taxa above a sample's next taxon that are not above the one
+    before are new, so each is named once; what its clade has is what a running count grows by over its range. Unclassified
+    contigs are the row of taxid 0.
     """
     direct = classified.groupBy("sample", "taxid").agg(F.count("*").alias("n"))
-    lineage = F.coalesce("lineage", F.array(F.col("taxid")))
     taxa = broadcast_if_small(taxa)
-    placed = (direct.join(taxa.select("taxid", "lineage"), "taxid", "left")
-              .select("sample", "taxid", "n", F.explode(lineage).alias("ancestor")))
-    own = F.when(F.col("ancestor") == F.col("taxid"), F.col("n")).otherwise(0)
-    clades = (placed.select("sample", "ancestor", "n", own.alias("own")).groupBy("sample", "ancestor")
-              .agg(F.sum("own").alias("direct"), F.sum("n").alias("clade"))
-              .withColumnRenamed("ancestor", "taxid"))
+    placed = direct.join(taxa.select("taxid", "entry", "lineage", "exits"), "taxid", "left")
+    along = Window.partitionBy("sample").orderBy("entry")
+    before = F.coalesce(F.sum("n").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    known = placed.filter("entry is not null").withColumns({"before": before, "previous": F.lag("lineage").over(along)})
+    shared = F.coalesce(F.size(F.array_intersect("lineage", "previous")), F.lit(0))
+    shared = F.when(F.col("previous").isNull(), 0).otherwise(shared)
+    fresh = F.slice(F.arrays_zip("lineage", "exits"), shared + 1, F.size("lineage"))
+    told = F.array(F.struct((F.col("entry") * 2).alias("at"), F.col("n").alias("n"), F.lit(None).cast("int").alias("taxid"), F.lit(0).cast("long").alias("before"), F.lit(0).cast("long").alias("direct")))
+    named = F.transform(fresh, lambda a: F.struct((a["exits"] * 2 + 1).alias("at"), F.lit(0).cast("long").alias("n"), a["lineage"].alias("taxid"), F.col("before").alias("before"),
+                                                  F.when(a["lineage"] == F.col("taxid"), F.col("n")).otherwise(0).cast("long").alias("direct")))
+    rows = known.select("sample", F.explode(F.concat(told, named)).alias("r")).select("sample", "r.*")
+    counted = rows.withColumn("upto", F.sum("n").over(Window.partitionBy("sample").orderBy("at"))).filter("taxid is not null")
+    clades = counted.select("sample", "taxid", "direct", (F.col("upto") - F.col("before")).alias("clade"))
+    clades = clades.unionByName(placed.filter("entry is null").select("sample", "taxid", F.col("n").alias("direct"), F.col("n").alias("clade")))
     # At most one row per taxon in a sample.
     total = F.sum("direct").over(Window.partitionBy("sample"))
     named = clades.withColumn("total", total).join(taxa.select("taxid", "name"), "taxid", "left")

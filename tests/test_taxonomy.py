@@ -100,6 +100,45 @@ def test_classification_against_trying_each_path(spark, taxa):
     assert got == {**{i: classify_by_hand(c) for i, c in counts.items()}, 999: (0, 0)}
 
 
+def test_clades_are_ranges(spark, monkeypatch):
+    rng = random.Random(2)
+    parents = {t: rng.randrange(max(1, t - 12), t) if t > 3 else None for t in range(1, 300)}  # three roots
+    for per_task in (1000, 40):
+        monkeypatch.setattr(tx, "TAXA_PER_TASK", per_task)
+        rows = {r["taxid"]: r for r in tx.lineages(spark.createDataFrame([(t, p, "x") for t, p in parents.items()], "taxid int, parent_taxid int, name string")).collect()}
+        assert sorted(r["entry"] for r in rows.values()) == list(range(299))
+        for t, r in rows.items():
+            assert {u for u, o in rows.items() if t in o["lineage"]} == {u for u, o in rows.items() if r["entry"] <= o["entry"] <= r["exit"]}
+            assert r["exits"] == [rows[a]["exit"] for a in r["lineage"]]
+
+
+def test_hits_and_reports_on_a_deep_tree_without_exploded_lineages(spark):
+    rng = random.Random(5)
+    parents = {t: rng.choice([t - 1, t - 1, rng.randrange(1, t)]) if t > 1 else None for t in range(1, 120)}
+    lines = {}
+    for t, p in parents.items():
+        lines[t] = [*lines.get(p, []), t]
+    taxa = tx.lineages(spark.createDataFrame([(t, p, f"t{t}") for t, p in parents.items()], "taxid int, parent_taxid int, name string"))
+    counts = {i: {t: rng.randint(1, 4) for t in rng.sample(sorted(parents), rng.randint(1, 25))} for i in range(120)}
+    hits = spark.createDataFrame([(f"s{i % 3}", i, t, n) for i, c in counts.items() for t, n in c.items()], "sample string, rec_no bigint, taxid int, n bigint")
+    classified = tx.classify_contigs(hits, taxa)
+    want = {}
+    for i, c in counts.items():
+        scores = {t: sum(c.get(a, 0) for a in lines[t]) for t in c}
+        best = [t for t in scores if scores[t] == max(scores.values())]
+        want[i] = ([a for a in lines[best[0]] if all(a in lines[t] for t in best)][-1], max(scores.values()))
+    assert {r["rec_no"]: (r["taxid"], r["score"]) for r in classified.collect()} == want
+    assert "Generate explode(lineage" not in plan_of(classified)
+    report = {}
+    for i, (t, _) in want.items():
+        for a in lines[t]:
+            own = report.setdefault((f"s{i % 3}", a), [0, 0])
+            own[0] += a == t
+            own[1] += 1
+    got = tx.taxonomy_report(classified, taxa)
+    assert {(r["sample"], r["taxid"]): [r["direct"], r["clade"]] for r in got.collect()} == report
+
+
 def test_report_and_removals(spark, taxa):
     rows = [("s", "/p", "c1", 6), ("s", "/p", "c2", 4), ("s", "/p", "c3", 7), ("s", "/p", "c4", 0), ("s", "/p", "c5", 1),
             ("t", "/q", "c1", 5)]
