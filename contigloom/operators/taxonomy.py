@@ -56,10 +56,9 @@ def screen_kmers(contigs: DataFrame, kmer_taxa: DataFrame, k: int, canonical: bo
 
 
 def lineages(taxonomy: DataFrame) -> DataFrame:
-    """``taxid, name, lineage, entry, exit, exits``: taxa from the root down to the taxon itself, and the tree's numbers.
+    """``taxid, name, lineage, entry, exit``: taxa from the root down to the taxon itself, and the tree's numbers.
 
-    ``entry`` numbers the taxa so that a clade is a range, from its taxon's ``entry`` to its ``exit``; ``exits`` are those of the lineage's
-    taxa. One row per taxon, so its size does not depend on the cohort. Each round joins every unfinished path with the path of
+    ``entry`` numbers the taxa so that a clade is a range, from its taxon's ``entry`` to its ``exit``. One row per taxon, so its size does not depend on the cohort. Each round joins every unfinished path with the path of
     the taxon it has reached, which doubles its length: about log2(depth) rounds for any number of taxa. A taxon that is
     its own parent is a root, as one without a parent is; one whose parents are not in the table is left out. Raises on a
     cycle.
@@ -87,22 +86,18 @@ TAXA_PER_TASK = 200_000
 def _numbered(paths: DataFrame) -> DataFrame:
     """Lineages in order are the tree in order: a taxon comes right before its clade."""
     parts = paths.count() // TAXA_PER_TASK + 1
-    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    ordered = settle(paths.repartitionByRange(parts, "lineage").sortWithinPartitions("lineage").withColumns({"_part": F.spark_partition_id(), "_row": row}))
-    entry = F.col("_row")
-    if parts > 1:
+    if parts == 1:
+        numbered = paths.withColumn("entry", F.row_number().over(Window.orderBy("lineage")).cast("long") - 1)
+    else:
+        row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+        ordered = settle(paths.repartitionByRange(parts, "lineage").sortWithinPartitions("lineage").withColumns({"_part": F.spark_partition_id(), "_row": row}))
         before, firsts = 0, []
         for r in ordered.groupBy("_part").count().orderBy("_part").collect():  # one number per task
             firsts += [F.lit(r["_part"]), F.lit(before)]
             before += r["count"]
-        entry = entry + F.create_map(*firsts)[F.col("_part")]
-    numbered = ordered.select("taxid", "name", "lineage", entry.cast("long").alias("entry"))
-    sizes = numbered.select(F.explode("lineage").alias("taxid")).groupBy("taxid").agg(F.count("*").alias("size"))
-    ranged = settle(numbered.join(sizes, "taxid").withColumn("exit", F.col("entry") + F.col("size") - 1).drop("size"))
-    above = ranged.select("taxid", F.posexplode("lineage").alias("depth", "ancestor"))
-    ends = ranged.select(F.col("taxid").alias("ancestor"), F.col("exit").alias("end"))
-    exits = above.join(ends, "ancestor").groupBy("taxid").agg(F.sort_array(F.collect_list(F.struct("depth", "end"))).alias("ends"))  # a lineage each
-    return settle(ranged.join(exits, "taxid").withColumn("exits", F.col("ends.end")).drop("ends"))
+        numbered = ordered.withColumn("entry", F.col("_row") + F.create_map(*firsts)[F.col("_part")])
+    sizes = paths.select(F.explode("lineage").alias("taxid")).groupBy("taxid").agg(F.count("*").alias("size"))  # once for a taxonomy
+    return settle(numbered.join(sizes, "taxid").select("taxid", "name", "lineage", "entry", (F.col("entry") + F.col("size") - 1).alias("exit")))
 
 
 def classify_contigs(kmer_hits: DataFrame, taxa: DataFrame, contigs: DataFrame | None = None,
@@ -126,10 +121,11 @@ def classify_contigs(kmer_hits: DataFrame, taxa: DataFrame, contigs: DataFrame |
     scored = events.withColumn("score", F.sum("change").over(contig.orderBy("at"))).filter("taxid is not null")
     best = scored.withColumn("_rank", F.rank().over(contig.orderBy(F.desc("score")))).filter("_rank = 1")
     # the lowest taxon above all of the best is above the first of them, and its clade reaches the last
-    tied = best.groupBy(*keys).agg(F.min_by("taxid", "at").alias("taxid"), F.max("at").alias("_last"), F.max("score").alias("score"))
-    paths = broadcast_if_small(taxa.select("taxid", "lineage", "exits"))
-    over = F.filter(F.arrays_zip("lineage", "exits"), lambda a: a["exits"] * 2 + 1 >= F.col("_last"))
-    classified = tied.join(paths, "taxid").select(*keys, F.element_at(over, -1)["lineage"].alias("taxid"), "score")
+    tied = best.groupBy(*keys).agg(F.min_by("taxid", "at").alias("taxid"), F.min("at").alias("_first"), F.max("at").alias("_last"), F.max("score").alias("score"))
+    lines = broadcast_if_small(taxa.select("taxid", "lineage"))
+    above = F.when(F.col("_first") == F.col("_last"), F.array("taxid")).otherwise(F.col("lineage"))  # a single best taxon is its own answer
+    asked = tied.join(lines, "taxid").select(*keys, "_last", "score", F.posexplode(above).alias("_depth", "taxid")).join(tree.select("taxid", "exit"), "taxid")
+    classified = asked.filter(F.col("exit") * 2 + 1 >= F.col("_last")).groupBy(*keys).agg(F.max_by("taxid", "_depth").alias("taxid"), F.max("score").alias("score"))
     if contigs is None:
         return classified
     every = contigs.select(*keys)
@@ -144,19 +140,20 @@ def taxonomy_report(classified: DataFrame, taxa: DataFrame) -> DataFrame:
     before are new, so each is named once; what its clade has is what a running count grows by over its range. Unclassified
     contigs are the row of taxid 0.
     """
-    direct = classified.groupBy("sample", "taxid").agg(F.count("*").alias("n"))
+    direct = settle(classified.groupBy("sample", "taxid").agg(F.count("*").alias("n")))
     taxa = broadcast_if_small(taxa)
-    placed = direct.join(taxa.select("taxid", "entry", "lineage", "exits"), "taxid", "left")
+    placed = direct.join(taxa.select("taxid", "entry", "lineage"), "taxid", "left")
     along = Window.partitionBy("sample").orderBy("entry")
     before = F.coalesce(F.sum("n").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     known = placed.filter("entry is not null").withColumns({"before": before, "previous": F.lag("lineage").over(along)})
-    shared = F.coalesce(F.size(F.array_intersect("lineage", "previous")), F.lit(0))
-    shared = F.when(F.col("previous").isNull(), 0).otherwise(shared)
-    fresh = F.slice(F.arrays_zip("lineage", "exits"), shared + 1, F.size("lineage"))
-    told = F.array(F.struct((F.col("entry") * 2).alias("at"), F.col("n").alias("n"), F.lit(None).cast("int").alias("taxid"), F.lit(0).cast("long").alias("before"), F.lit(0).cast("long").alias("direct")))
-    named = F.transform(fresh, lambda a: F.struct((a["exits"] * 2 + 1).alias("at"), F.lit(0).cast("long").alias("n"), a["lineage"].alias("taxid"), F.col("before").alias("before"),
-                                                  F.when(a["lineage"] == F.col("taxid"), F.col("n")).otherwise(0).cast("long").alias("direct")))
-    rows = known.select("sample", F.explode(F.concat(told, named)).alias("r")).select("sample", "r.*")
+    shared = F.when(F.col("previous").isNull(), 0).otherwise(F.size(F.array_intersect("lineage", "previous")))
+    fresh = known.select("sample", "before", F.col("taxid").alias("own"), "n", F.explode(F.slice("lineage", shared + 1, F.size("lineage"))).alias("taxid"))
+    named = fresh.join(taxa.select("taxid", "exit"), "taxid").select(
+        "sample", (F.col("exit") * 2 + 1).alias("at"), F.lit(0).cast("long").alias("n"), "taxid", "before", F.when(F.col("own") == F.col("taxid"), F.col("n")).otherwise(0).alias("direct"))
+    nothing = F.lit(None)
+    told = placed.filter("entry is not null").select("sample", (F.col("entry") * 2).alias("at"), "n", nothing.cast("int").alias("taxid"),
+                                                    nothing.cast("long").alias("before"), nothing.cast("long").alias("direct"))
+    rows = told.unionByName(named)
     counted = rows.withColumn("upto", F.sum("n").over(Window.partitionBy("sample").orderBy("at"))).filter("taxid is not null")
     clades = counted.select("sample", "taxid", "direct", (F.col("upto") - F.col("before")).alias("clade"))
     clades = clades.unionByName(placed.filter("entry is null").select("sample", "taxid", F.col("n").alias("direct"), F.col("n").alias("clade")))

@@ -154,7 +154,7 @@ def test_files_that_lie_in_order_are_written_where_they_are(spark, tmp_path, mon
     contigs = text.read_fasta(spark, str(tmp_path / "in"))
     ordered = contigs.withColumn("file", F.col("sample"))
     assert contigs.rdd.getNumPartitions() > 4 and sinks._stays_in_place(contigs)
-    scattered = {r["file"] for r in sinks.scattered_files(ordered, ["file"], "rec_no").collect()}
+    scattered = {r["file"] for r in sinks.file_layout(ordered, ["file"], "rec_no").filter("scattered").collect()}
     ranged = []
     by_range = type(contigs).repartitionByRange
     monkeypatch.setattr(type(contigs), "repartitionByRange", lambda self, *a: ranged.append({r["file"] for r in self.select("file").distinct().collect()}) or by_range(self, *a))
