@@ -10,8 +10,8 @@ extended to full length, hashed and compared in turn. Windows without a shared a
 Documents are dealt to batches of about ``BATCH_BYTES`` of text, once. Hashes travel as packed arrays from batches to buckets by hash
 and back; equal values of a batch are one entry, so a passage in very many documents meets as one entry per batch. For
 anchors, 32 bits within a bucket are compared: a chance hit costs a needless extension, no wrong result. Windows carry a hash by which
-they meet, a cryptographic digest of 128 bits of their words, which decides that they are equal, and the smallest doc_id of the batch that
-has them. Nothing is listed per pair.
+they meet (64 bits), a cryptographic digest of their words (32 bits), and the smallest doc_id of the batch that has them; windows are
+equal where both are, so by 96 bits. Nothing is listed per pair.
 
 Words are runs of other characters than space and controls 9 to 13, unchanged. Null text: no words. Null doc_id: greater than
 any other. Repeated rows (equal doc_id): neither removes from the other. An empty table gives an empty result. Extra columns
@@ -55,16 +55,15 @@ class _Batch:
         return windows(self.words, ANCHOR, np.isin(place % PERIOD, COVER))
 
     def digests(self, at: np.ndarray) -> np.ndarray:
-        """A digest of the words of the window at each place, two numbers each."""
-        out = np.zeros((len(at), 2), dtype=np.uint64)
+        """A digest of the words of the window at each place."""
+        told: list[bytes] = []
         if len(at):
             data, start, end = self.words.data, self.words.start, self.words.end
             plain = b" ".join([data[s:e] for s, e in zip(start.tolist(), end.tolist())])
             ends = np.cumsum(end - start + 1) - 1
             begins = ends - (end - start)
-            told = [hashlib.blake2b(plain[a:b], digest_size=16).digest() for a, b in zip(begins[at].tolist(), ends[at + WINDOW - 1].tolist())]
-            out[:] = np.frombuffer(b"".join(told), dtype=np.uint64).reshape(-1, 2)
-        return out
+            told = [hashlib.blake2b(plain[a:b], digest_size=4).digest() for a, b in zip(begins[at].tolist(), ends[at + WINDOW - 1].tolist())]
+        return np.frombuffer(b"".join(told), dtype=np.uint32)
 
     def around(self, shared: np.ndarray) -> np.ndarray:
         """For each word, whether a window that starts there holds one of the anchors that start at ``shared``."""
@@ -76,7 +75,7 @@ class _Batch:
 
 
 class _Windows(NamedTuple):
-    """Distinct windows in order of their hash: hash, digest (two numbers), smallest id; and the place of each given row among them."""
+    """Distinct windows in order of their hash: hash, digest, smallest id; and the place of each given row among them."""
 
     value: np.ndarray
     digest: np.ndarray
@@ -85,9 +84,9 @@ class _Windows(NamedTuple):
 
 
 def _distinct(value: np.ndarray, digest: np.ndarray, ids: np.ndarray) -> _Windows:
-    order = np.lexsort((digest[:, 1], digest[:, 0], value))
+    order = np.lexsort((digest, value))
     new = np.ones(len(order), dtype=bool)
-    new[1:] = (value[order][1:] != value[order][:-1]) | (digest[order][1:] != digest[order][:-1]).any(axis=1)
+    new[1:] = (value[order][1:] != value[order][:-1]) | (digest[order][1:] != digest[order][:-1])
     place = np.empty(len(order), dtype=np.int64)
     place[order] = np.cumsum(new) - 1
     least = np.full(int(new.sum()), np.iinfo(np.int64).max)
@@ -152,17 +151,13 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             return pd.DataFrame(columns=_COLUMNS)
         batch = _Batch(docs)
         value, at = batch.anchors()
-        distinct, place = np.unique(value, return_inverse=True)
-        least, most = np.full(len(distinct), np.iinfo(np.int64).max), np.full(len(distinct), np.iinfo(np.int64).min)
-        np.minimum.at(least, place, batch.id_of_word[at])
-        np.maximum.at(most, place, batch.id_of_word[at])
-        shared = _returned(back, n_buckets, value) | (least != most)[place]
-        found, start = windows(batch.words, WINDOW, batch.around(at[shared]))
+        # what repeats within the batch alone is seen when words are removed
+        found, start = windows(batch.words, WINDOW, batch.around(at[_returned(back, n_buckets, value)]))
         own = _distinct(found, batch.digests(start), batch.id_of_word[start])
         return _dealt(key[0], own.value, n_buckets, own)
 
     def earlier_windows(rows: pd.DataFrame) -> pd.DataFrame:
-        digest = _joined(rows["digests"], np.uint64).reshape(-1, 2)
+        digest = _joined(rows["digests"], np.uint32)
         value, ids = _joined(rows["packed"], np.uint64), _joined(rows["least"], np.int64)
         own = _distinct(value, digest, ids)
         late = own.least[own.place] < ids  # a batch with a smaller doc_id has it too
@@ -180,7 +175,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         _, place, times = np.unique(value, return_inverse=True, return_counts=True)
         likely = np.flatnonzero((times > 1)[place] | _among(value, np.sort(late)))
         # equal hashes choose what to look at, digests of the words decide
-        n, late_digest = len(likely), _joined(back["digests"], np.uint64).reshape(-1, 2)
+        n, late_digest = len(likely), _joined(back["digests"], np.uint32)
         own = _distinct(np.concatenate([value[likely], late]), np.concatenate([batch.digests(at[likely]), late_digest]),
                         np.concatenate([batch.id_of_word[at[likely]], np.full(len(late), np.iinfo(np.int64).min)]))
         gone = at[likely[own.least[own.place[:n]] < batch.id_of_word[at[likely]]]]
