@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,10 +16,15 @@ BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; unset, a folder beside the session's warehouse."""
+    """The shared folder named by ``spark.checkpoint.dir``; unset, a folder beside the session's warehouse.
+
+    Raises on a cluster where neither names a shared file system: a folder of one machine is none.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-contigloom"
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local" and re.match("file:|/|[^:]*$", base):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all machines share; {base} is on one")
         spark.conf.set("spark.checkpoint.dir", base)
     return base
 

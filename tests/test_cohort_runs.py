@@ -89,6 +89,24 @@ def test_size_check(spark):
     assert session.fits_broadcast(table.limit(0), 0) == (True, 0)
 
 
+class Session:
+    """As much of a session as the shared folder asks for."""
+
+    def __init__(self, master, settings):
+        self.sparkContext = type("Context", (), {"master": master})
+        self.conf = type("Conf", (), {"get": staticmethod(lambda k, *d: settings.get(k, *d)), "set": staticmethod(settings.__setitem__)})
+
+
+def test_the_shared_folder_is_never_one_machines_on_a_cluster():
+    unset = {"spark.sql.warehouse.dir": "file:/home/me/spark-warehouse"}
+    assert session.shared_dir(Session("local[4]", dict(unset))) == "file:/home/me/spark-warehouse-contigloom"
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="checkpoint.dir"):
+            session.shared_dir(Session(master, dict(unset)))
+        assert session.shared_dir(Session(master, {"spark.sql.warehouse.dir": "s3a://bucket/w"})) == "s3a://bucket/w-contigloom"
+        assert session.shared_dir(Session(master, unset | {"spark.checkpoint.dir": "file:/mnt/shared"})) == "file:/mnt/shared"
+
+
 def test_nothing_fits_a_broadcast(spark, monkeypatch):
     """The shuffle paths give the same results as the broadcast ones."""
     nodes = spark.createDataFrame([(1, None, "r"), (2, 1, "a"), (3, 1, "b")], "taxid int, parent_taxid int, name string")
