@@ -57,7 +57,7 @@ def settle(df: DataFrame) -> DataFrame:
 
 
 # Bytes of an Arrow batch between Spark and Python: rows are counted by default, and ten thousand long texts are a lot of memory.
-ARROW_BATCH_BYTES = 4 * 1024 * 1024
+ARROW_BATCH_BYTES = 2 * 1024 * 1024
 
 
 def bound_arrow_batches(spark: SparkSession) -> None:
