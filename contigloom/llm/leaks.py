@@ -48,7 +48,7 @@ def canonical_tokens(text: Column) -> Column:
     """Tokens in lower case; names and units carry their mark. A token that sorts before ``:`` is a slot."""
     plain = F.translate(F.coalesce(text, F.lit("")), NAME + UNIT, "  ")
     cut = F.regexp_replace(plain, rf"{UNSPACED}\p{{M}}*", " $0 ")
-    named = F.regexp_replace(cut, rf"(?<![\p{{L}}\p{{M}}])(?=\p{{Lu}}\p{{Ll}})(?!(?:{'|'.join(OPENERS)})(?![\p{{L}}\p{{M}}]))", NAME)
+    named = F.regexp_replace(cut, rf"(?=\p{{Lu}}\p{{Ll}})(?<![\p{{L}}\p{{M}}])(?!(?:{'|'.join(OPENERS)})(?![\p{{L}}\p{{M}}]))", NAME)
     united = F.regexp_replace(named, rf"(?i)(?<=[0-9])( ?)(?=(?:{'|'.join(UNITS)})(?![\p{{L}}]))", " " + UNIT)
     return F.regexp_extract_all(F.lower(united), F.lit(rf"[{NAME}{UNIT}]?[\p{{L}}\p{{M}}]+|[0-9]+(?:[.,][0-9]+)*"), F.lit(0))
 
@@ -67,7 +67,7 @@ def windows_of(rows: DataFrame, key: str, sizes: list[int]) -> DataFrame:
     kind = f"case when t < ':' then case when t < '{UNIT}' then '<name>' when t < '0' then '<unit>' else '<number>' end else t end"
     rows = rows.select(key, canonical_tokens(F.col("text")).alias("tokens"))
     rows = rows.select(key, "tokens", F.expr(f"transform(tokens, t -> xxhash64({kind}))").alias("hashes"),
-                       F.expr(f"transform(tokens, t -> xxhash64(translate(t, '{NAME}{UNIT}', '')))").alias("raws"),
+                       F.expr(f"transform(tokens, t -> xxhash64(if(t < '0', substring(t, 2), t)))").alias("raws"),
                        F.expr("exists(tokens, t -> t < ':')").alias("has_slots"))
     # the outer form, as the optimizer would build the windows twice for the inner one
     rows = rows.select(key, F.explode_outer(_windows(sizes)).alias("w_")).select(key, "w_.*")
@@ -91,7 +91,7 @@ def _hashes(rows: DataFrame, key: str, sizes: list[int]) -> DataFrame:
     kind = f"case when t < ':' then case when t < '{UNIT}' then '<name>' when t < '0' then '<unit>' else '<number>' end else t end"
     rows = rows.select(key, canonical_tokens(F.col("text")).alias("tokens"))
     rows = rows.select(key, F.expr(f"transform(tokens, t -> xxhash64({kind}))").alias("hashes"), F.expr(
-        f"case when exists(tokens, t -> t < ':') then transform(tokens, t -> xxhash64(translate(t, '{NAME}{UNIT}', ''))) end").alias("raws"))
+        f"case when exists(tokens, t -> t < ':') then transform(tokens, t -> xxhash64(if(t < '0', substring(t, 2), t))) end").alias("raws"))
     each = [f"case when size({of}) >= {n} then transform(sequence(0, size({of}) - {n}), i -> xxhash64({', '.join(f'{of}[i + {j}]' for j in range(n))})) "
             "else array() end" for n in sizes for of in ("hashes", "raws")]
     return rows.select(key, F.explode_outer(F.expr(f"concat({', '.join(each)})")).alias("hash"))
