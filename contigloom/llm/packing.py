@@ -27,7 +27,7 @@ from contigloom.llm.wordhash import in_chunks
 from contigloom.session import bound_arrow_batches, settle
 
 SIZE = 2048
-CACHED_WORDS = 120_000  # per worker, about 60 MB; the ids of a word don't depend on what is around it
+CACHED_WORDS = 250_000  # per worker, some 120 MB; the ids of a word don't depend on what is around it
 PART_ROWS = 1_000_000  # pieces of one length are numbered in parts of about so many at most
 
 #: What splits a word before the merges: a fixed value of the public vocabulary.
