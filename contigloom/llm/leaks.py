@@ -14,14 +14,13 @@ for word only, and are not among the windows that a changed copy must have. Null
 with one doc_id are judged together (nulls too); repeated rows change nothing. Ties: a document may match several items, a row
 each. An empty table on either side gives an empty result. Extra columns are left out by ``leaked`` and kept by ``without_leaks``.
 
-Only DataFrame expressions run on the documents. First the windows' hashes alone meet those of the benchmark, broadcast if measured
-small, else shuffled; words, shifts and slots are made only of documents that share one, which loses none.
+Only DataFrame expressions run on the documents. First pieces of windows meet those of the benchmark, broadcast if measured small, else
+shuffled: all of the benchmark's, and as many of a document's as give each of its windows one (of five tokens, every fourth). Windows, with
+words, shifts and slots, are made only of documents that share one, which loses none.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,17 +38,22 @@ OPENERS = ("The A An This That These Those It He She They We You I In On At If W
            "Could Will Would Should After Before And But Or Each Every There Find Let Given For From Then Now Some All Not So To Of As By With "
            "Der Die Das Ein Eine Ist Sind Wie Was Wer Wann Wo Warum Wenn Und Es Er Sie Wir Im In Am Auf Mit Von Nach Le La Les Un Une Il Elle Est Que Qui "
            "Quel Quelle Comment Combien Si Et Dans Sur El Los Las Una Es Son Como Cuando Donde Por Con En").split()
-# Thai, Lao, Myanmar, Khmer, kana, Han; ranges, as a look-up of each letter's script is slow
-UNSPACED = r"[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3041-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}]"
+# Thai, Lao, Myanmar, Khmer, kana, Han; ranges, as a look-up of each letter's script is slow, within one that most letters fail at once
+UNSPACED = (r"[\u0E00-\x{3FFFF}&&[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3041-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF"
+            r"\x{20000}-\x{3FFFF}]]")
 NAME, UNIT = "\x02", "\x03"  # marks before a slot's value; both sort before digits, and digits before letters
+PIECE = 5  # tokens that are looked for first; a window of eight has four pieces in a row, so every fourth piece of a document will do
 
 
 def canonical_tokens(text: Column) -> Column:
     """Tokens in lower case; names and units carry their mark. A token that sorts before ``:`` is a slot."""
-    plain = F.translate(F.coalesce(text, F.lit("")), NAME + UNIT, "  ")
-    cut = F.regexp_replace(plain, rf"{UNSPACED}\p{{M}}*", " $0 ")
+    text = F.coalesce(text, F.lit(""))
+    marked = F.contains(text, F.lit(NAME)) | F.contains(text, F.lit(UNIT))  # translate is slow, and hardly any text has a mark
+    plain = F.when(marked, F.translate(text, NAME + UNIT, "  ")).otherwise(text)
+    ascii_ = F.octet_length(text) == F.length(text)
+    cut = F.when(ascii_, plain).otherwise(F.regexp_replace(plain, rf"{UNSPACED}\p{{M}}*", " $0 "))
     named = F.regexp_replace(cut, rf"(?=\p{{Lu}}\p{{Ll}})(?<![\p{{L}}\p{{M}}])(?!(?:{'|'.join(OPENERS)})(?![\p{{L}}\p{{M}}]))", NAME)
-    united = F.regexp_replace(named, rf"(?i)(?<=[0-9])( ?)(?=(?:{'|'.join(UNITS)})(?![\p{{L}}]))", " " + UNIT)
+    united = F.regexp_replace(named, rf"[0-9] ?(?=(?i:{'|'.join(UNITS)})(?!\p{{L}}))", "$0" + UNIT)
     return F.regexp_extract_all(F.lower(united), F.lit(rf"[{NAME}{UNIT}]?[\p{{L}}\p{{M}}]+|[0-9]+(?:[.,][0-9]+)*"), F.lit(0))
 
 
@@ -86,23 +90,41 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     return settle(rows.join(total, rows["item_id"].eqNullSafe(total["item_id"])).drop(total["item_id"]))
 
 
-def _hashes(rows: DataFrame, key: str, sizes: list[int]) -> DataFrame:
-    """key, hash: of each window of each text, as it is and as template. Both hash alike, so a window without slots has one hash."""
-    kind = f"case when t < ':' then case when t < '{UNIT}' then '<name>' when t < '0' then '<unit>' else '<number>' end else t end"
-    rows = rows.select(key, canonical_tokens(F.col("text")).alias("tokens"))
-    rows = rows.select(key, F.expr(f"transform(tokens, t -> xxhash64({kind}))").alias("hashes"), F.expr(
-        f"case when exists(tokens, t -> t < ':') then transform(tokens, t -> xxhash64(if(t < '0', substring(t, 2), t))) end").alias("raws"))
-    each = [f"case when size({of}) >= {n} then transform(sequence(0, size({of}) - {n}), i -> xxhash64({', '.join(f'{of}[i + {j}]' for j in range(n))})) "
-            "else array() end" for n in sizes for of in ("hashes", "raws")]
-    return rows.select(key, F.explode_outer(F.expr(f"concat({', '.join(each)})")).alias("hash"))
+def _strides(sizes: list[int]) -> dict[int, int]:
+    """Length of a piece: every how many places one is needed, so that each window of these sizes holds one."""
+    return {min(n, PIECE): min(m - min(m, PIECE) + 1 for m in sizes if min(m, PIECE) == min(n, PIECE)) for n in sizes}
+
+
+def _pieces(rows: DataFrame, key: str, strides: dict[int, int]) -> DataFrame:
+    """key, hash: of every so many pieces of each text, as template and as it is.
+
+    A place is the piece's start * 8 + its length. Places are exploded and hashed as rows, in generated code; lambdas over arrays are interpreted.
+    """
+    places = [f"case when size(tokens) >= {n} then sequence({n}L, (size(tokens) - {n}) * 8L + {n}, {8 * step}L) else array() end"
+              for n, step in strides.items()]
+    # the outer form, as the optimizer would make the tokens twice for the inner one
+    rows = rows.select(key, canonical_tokens(F.col("text")).alias("tokens")).select(
+        key, "tokens", F.explode_outer(F.expr(places[0] if len(places) == 1 else f"concat({', '.join(places)})")).alias("place"))
+    rows = rows.filter("place is not null").withColumn("start", F.expr("cast(shiftright(place, 3) as int)"))
+
+    def of(token: str) -> str:
+        each = [(n, f"xxhash64({', '.join(token.format(f'tokens[start + {j}]') for j in range(n))})") for n in strides]
+        return each[0][1] if len(each) == 1 else f"case place & 7 {' '.join(f'when {n} then {h}' for n, h in each)} end"
+
+    slot = "case when {0} >= ':' then {0} when {0} >= '0' then '0' else left({0}, 1) end"
+    word = "case when {0} < '0' then substring({0}, 2) else {0} end"
+    return rows.select(key, F.explode_outer(F.expr(f"array({of(slot)}, {of(word)})")).alias("hash"))
 
 
 def candidates(docs: DataFrame, benchmark: DataFrame, sizes: list[int]) -> DataFrame:
-    """leak_doc_id_ of the documents that share a window's hash with the benchmark. Kept in the shared folder."""
-    items = benchmark.select(F.least(F.size(canonical_tokens(F.col("text"))), F.lit(WINDOW)).alias("n_"), "text")
-    own = [_hashes(items.filter(F.col("n_") == n), "n_", [n]).select("hash") for n in sizes]  # an item has windows of one size
-    known = settle(reduce(DataFrame.union, own).filter("hash is not null").distinct())
-    hashes = _hashes(docs.select(F.struct("doc_id").alias("leak_"), "text"), "leak_", sizes)
+    """leak_doc_id_ of the documents that share a piece of a window with the benchmark, and more. Kept in the shared folder.
+
+    Two equal windows, as they are or as templates, are equal piece by piece; all pieces of the benchmark meet some of the documents',
+    at least one of each window.
+    """
+    strides = _strides(sizes)
+    known = settle(_pieces(benchmark, "item_id", dict.fromkeys(strides, 1)).select("hash").distinct())
+    hashes = _pieces(docs.select(F.struct("doc_id").alias("leak_"), "text"), "leak_", strides)
     return settle(hashes.join(broadcast_if_small(known), "hash", "left_semi").select(F.col("leak_.doc_id").alias("leak_doc_id_")).distinct())
 
 

@@ -147,6 +147,34 @@ def test_odd_documents_repeats_and_clashing_columns(spark):
     assert kept.columns == rows.columns and sorted(r["doc_id"] for r in kept.collect()) == [2, *range(50, 50 + len(ODD))]
 
 
+def test_every_fourth_piece_of_a_document_is_hashed_and_no_lambda_runs(spark):
+    frame = leaks._pieces(docs(spark, [PLAIN, " ".join([PLAIN] * 50), "too short", None]), "doc_id", leaks._strides([leaks.WINDOW]))
+    n = len(WORDS)
+    got = dict(frame.filter("hash is not null").groupBy("doc_id").count().collect())
+    assert got == {0: 2 * len(range(0, n - 4, 4)), 1: 2 * len(range(0, 50 * n - 4, 4))}
+    assert "lambda" not in frame._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("sizes", [range(1, 9), [8], [7, 8], [3, 6]])
+def test_a_single_window_is_found_at_every_place(spark, sizes):
+    items = [" ".join(f"{w}{'abcdefgh'[n - 1]}" for w in WORDS[:n - 1]) + " 12" if n > leaks.LITERAL else " ".join(WORDS[3 * n:4 * n]) for n in sizes]
+    texts, want = [], {}
+    for i, n in enumerate(sizes):
+        for place in range(9):
+            for other in (False, True)[:1 + (n > leaks.LITERAL)]:  # as it is, and with another number
+                want[len(texts), i + 1] = not other
+                texts.append(" ".join(["so"] * place + [items[i].replace("12", "7" if other else "12"), "it went"]))
+    assert found(spark, texts, items) == want
+
+
+def test_tokens_of_odd_texts(spark):
+    texts = {"12kg, 3 KM 5  kg 1.5,2 days 7kgs": ["12", "\x03kg", "3", "\x03km", "5", "kg", "1.5,2", "\x03days", "7", "kgs"],
+             "The \x02Tom \x03kg": ["the", "\x02tom", "kg"], "富士 Éva ไทย": ["富", "士", "\x02éva", "ไ", "ท", "ย"],
+             "\U00010400\U00010428 x": ["\x02\U00010428\U00010428", "x"]}
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").withColumn("tokens", leaks.canonical_tokens(F.col("text")))
+    assert dict(rows.collect()) == texts
+
+
 @pytest.mark.parametrize("texts, items", [([], [PLAIN]), ([PLAIN], []), ([], [])])
 def test_empty_tables(spark, texts, items):
     bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
