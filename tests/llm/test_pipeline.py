@@ -68,3 +68,14 @@ def test_every_stage_takes_an_empty_table(spark):
     none = spark.createDataFrame([], DOCS)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, none, SF).count() == 0, name
+
+
+def test_a_task_of_the_secrets_stage_has_one_python_worker(spark):
+    # a second one is kept by its executor, and later learns words for the packing like the first
+    rows = docs(spark, [*ODD, prose(90, 70) + " password=abcdefgh12345 " + "AKIA" + "B2" * 10, "secret = 0123456789abcdef" * 2])
+    clean = corpus_pipeline.secret_stage(spark, rows, SF)
+    assert clean._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    scanned = secrets.scan(rows, None)
+    want = {r["doc_id"]: (r["text"], len(r["text"] or "")) for r in secrets.redacted(scanned).collect()}
+    assert {r["doc_id"]: (r["text"], r["n_chars"] or 0) for r in clean.collect()} == want
+    assert sum("<secret>" in (text or "") for text, _ in want.values()) == 2

@@ -113,6 +113,21 @@ def test_secret_scan_odd_cases_and_redaction(spark):
     assert secrets.scan(spark.createDataFrame([], DOCS), None).count() == 0
 
 
+def test_found_and_replaced_at_once_is_scan_and_redaction(spark):
+    class Some:
+        threshold = 0.5
+
+        def probabilities(self, x):
+            return (x == secrets._CLASS_OF[ord("0")]).any(axis=1).astype(float)
+
+    rows = docs(spark, [*TEXTS, "see /srv/" + "x0/" * 40 + "KEY7 password=abcdefgh1", "see /srv/" + "x7/" * 40])
+    for model in (None, Some()):
+        scanned = secrets.scan(rows, model).withColumn("any_", F.size("spans_") > 0)
+        want = {r["doc_id"]: r["text"] if r["any_"] else None for r in secrets.redacted(scanned).collect()}
+        assert {r["doc_id"]: r["redacted_"] for r in secrets.with_redaction(rows, model).collect()} == want
+    assert want[len(TEXTS)] == "see <secret> <secret>" and want[len(TEXTS) + 1] is None
+
+
 def test_votes_are_weighed_by_agreement():
     # two labelers agree, the third says the opposite half the time: it counts for little
     counts = [((1, 1, 1), 400), ((1, 1, -1), 400), ((-1, -1, 1), 400), ((-1, -1, -1), 400), ((1, -1, 1), 5)]
