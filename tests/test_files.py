@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from contigloom.operators import contigs as co
 from contigloom.sinks import files as sinks
 from contigloom.sources import fastq, tables, text
+from contigloom.sources import files as listing
 from contigloom.sources.files import scan_contig_files, scan_read_files
 from contigloom.streaming import arrivals
 
@@ -314,3 +315,33 @@ def test_read_filter_remove_write(spark, tmp_path):
     lines = spark.read.option("recursiveFileLookup", True).text(str(tmp_path / "out")).collect()
     assert [r[0] for r in lines] == [">n2_cov_30", "C" * 600]
     assert kept.filter(F.col("used_fallback")).count() == 0
+
+
+def test_many_files_are_listed_by_tasks_as_spark_lists_few(spark, tmp_path, monkeypatch):
+    root = tmp_path / "in [1] {a,b} *"
+    for name in ["a.fa", "b b%20.FASTA", "c.txt", "_no.txt", ".d.fa.crc", "sub/d.fna", "sub/y.fa/z.fa", "sub/sub/deep/e.fas", "f.x.ffn", "x.fa/k=1.fa"]:
+        put(root, name, "x" * len(name))
+    os.symlink(tmp_path / "gone", root / "gone.fa")
+    os.symlink(root / "a.fa", root / "link.fa")
+    for depth in (1, 2, 3):
+        monkeypatch.setattr(listing, "READER_FILES", 20_000)
+        few = scan_contig_files(spark, str(root), depth)
+        monkeypatch.setattr(listing, "READER_FILES", 1)
+        many = scan_contig_files(spark, f"file:{root}", depth)
+        assert few.schema == many.schema and "MapInPandas" in plan_of(many) and "MapInPandas" not in plan_of(few)
+        assert as_tuples(many, *many.columns) == as_tuples(few, *few.columns)
+    put(root, "sub/_old/x.fa")
+    assert scan_contig_files(spark, str(root), 2).count() > 0
+    with pytest.raises(ValueError, match="starts with _ or"):
+        scan_contig_files(spark, str(root), 3)
+
+
+def test_named_files_are_written_by_all_cores(spark, tmp_path, monkeypatch):
+    files = spark.range(2_000).select(F.concat(F.lit("s"), F.col("id") % 3, F.lit("/"), "id", F.lit(".txt")).alias("name"), F.col("id").cast("string").alias("content"))
+    tasks, write = [], type(files).mapInPandas
+    monkeypatch.setattr(type(files), "mapInPandas", lambda rows, *rest: (tasks.append(rows.rdd.getNumPartitions()), write(rows, *rest))[1])
+    root = str(tmp_path / "out")
+    sinks.write_named_files(files.coalesce(1), root)
+    assert tasks == [spark.sparkContext.defaultParallelism]
+    assert sorted(n for _, _, names in os.walk(root) for n in names) == sorted(f"{i}.txt" for i in range(2_000))
+    assert sorted(os.listdir(root)) == ["s0", "s1", "s2"] and open(f"{root}/s1/1999.txt").read() == "1999"
