@@ -345,3 +345,14 @@ def test_named_files_are_written_by_all_cores(spark, tmp_path, monkeypatch):
     assert tasks == [spark.sparkContext.defaultParallelism]
     assert sorted(n for _, _, names in os.walk(root) for n in names) == sorted(f"{i}.txt" for i in range(2_000))
     assert sorted(os.listdir(root)) == ["s0", "s1", "s2"] and open(f"{root}/s1/1999.txt").read() == "1999"
+
+
+def test_the_driver_asks_spark_for_no_listing_of_many_files(spark, tmp_path, monkeypatch):
+    for name in ["a.fa", "sub/b.fa", "sub/sub/c.fa"]:
+        put(tmp_path, name)
+    asked, ask = [], listing._matches
+    monkeypatch.setattr(listing, "READER_FILES", 1)
+    monkeypatch.setattr(listing, "_matches", lambda session, pattern: (asked.append(pattern), ask(session, pattern))[1])
+    found = scan_contig_files(spark, str(tmp_path), 2)
+    assert as_tuples(found, "sample", "length") == [("a", 8), ("b", 8)]
+    assert asked == [str(tmp_path)] and found.inputFiles() == []
