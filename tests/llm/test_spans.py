@@ -201,3 +201,34 @@ def test_a_table_of_names_is_the_gazetteer(spark, monkeypatch):
 
 def test_listing_order():
     assert listed([("b", 3, 4), ("a", 3, 9), ("b", 0, 1)], ("a", "b")) == "b:0:1,a:3:9,b:3:4"
+
+
+def made_findings(spark, plain_rows, secret_rows):
+    """Windows that are unlike each other; a secret's are behind a word for one."""
+    rng = random.Random(5)
+    rows = [(secrets.seen(f"{'api_key = ' if label else 'see page '}{i:06d}{rng.getrandbits(80):020x}", 10), label)
+            for label, n in ((0, plain_rows), (1, secret_rows)) for i in range(n)]
+    return spark.createDataFrame(rows, "seen string, label int")
+
+
+def test_the_network_is_trained_on_every_finding(spark, monkeypatch):
+    fitted, scored = [], []
+    monkeypatch.setattr(secrets.CharNet, "fit", lambda net, x, y: fitted.append((len(x), int(y.sum()))))
+    some = made_findings(spark, 1_700, 900)
+    secrets.train(some.union(some))
+    assert fitted == [(2_600, 900)]
+    monkeypatch.setattr(secrets, "EPOCHS", 1)
+    calibrate = secrets.CharNet.calibrate
+    monkeypatch.setattr(secrets.CharNet, "calibrate", lambda net, score, truth: (scored.append(len(score)), calibrate(net, score, truth))[1])
+    assert secrets.train(made_findings(spark, 1_700, 1_600)) is not None  # two blocks
+    assert len(fitted) == 1 and scored[0] in (660, 661)  # a fifth of all is held out
+
+
+def test_blocks_train_one_network_however_the_findings_lie(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "EPOCHS", 6)
+    rows = made_findings(spark, 900, 700)
+    one, other = (secrets.train(r, block_rows=300) for r in (rows.coalesce(1), rows.repartition(7)))
+    x, y = secrets.encode([r["seen"] for r in rows.collect()]), np.array([r["label"] for r in rows.collect()])
+    assert one.threshold == other.threshold and np.array_equal(one.filters, other.filters)
+    said = one.probabilities(x) >= one.threshold
+    assert said[y == 1].mean() > 0.9 and said[y == 0].mean() < 0.05
