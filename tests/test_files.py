@@ -3,10 +3,12 @@ import os
 import random
 
 import pytest
-from conftest import as_tuples, plan_of
+from conftest import SF, as_tuples, plan_of
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from contigloom.operators import contigs as co
+from contigloom.plans import queries
 from contigloom.sinks import files as sinks
 from contigloom.sources import fastq, tables, text
 from contigloom.sources import files as listing
@@ -356,3 +358,41 @@ def test_the_driver_asks_spark_for_no_listing_of_many_files(spark, tmp_path, mon
     found = scan_contig_files(spark, str(tmp_path), 2)
     assert as_tuples(found, "sample", "length") == [("a", 8), ("b", 8)]
     assert asked == [str(tmp_path)] and found.inputFiles() == []
+
+
+def test_many_logs_are_written_as_spark_writes_them_without_its_commit(spark, tmp_path, monkeypatch):
+    rows = [(f, i, f"{f} {i}" if i % 7 else None) for f in ("a_fastp.log", "b_spades.log", "odd [1]=%.log", "", None) for i in range(30)]
+    rows += [("multiqc.log", i, f"line é {i}") for i in range(3_000)]
+    lines = spark.createDataFrame(rows, "file string, line_no long, value string").repartition(5)
+    spark_out, own = str(tmp_path / "spark"), str(tmp_path / "own")
+    lines.repartitionByRange("file", "line_no").sortWithinPartitions("file", "line_no").drop("line_no").write.partitionBy("file").text(spark_out)
+    sinks.write_many_logs(lines, own, "line_no")
+
+    def held(out):
+        return {f: "".join(open(f"{out}/{f}/{p}").read() for p in sorted(os.listdir(f"{out}/{f}")) if p.startswith("part-")) for f in os.listdir(out) if "=" in f}
+
+    assert held(own) == held(spark_out) and sorted(os.listdir(own)) == sorted(held(own))
+    assert len(os.listdir(f"{own}/file=multiqc.log")) > 1
+    sinks.write_many_logs(lines.limit(0), str(tmp_path / "none"), "line_no")
+
+
+def test_the_log_query_writes_no_file_by_sparks_committer(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(DataFrameWriter, "text", lambda writer, path, *rest, **named: made.append(path))
+    assert queries.read_step_logs(spark, SF).count() > 0 and not made
+
+
+def test_many_small_logs_are_read_in_few_tasks(spark, tmp_path):
+    for i in range(100):
+        put(tmp_path, f"s{i}_fastp.log", f"one {i}\ntwo\n")
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for k in kept:
+        spark.conf.set(k, "4m")
+    try:
+        got = text.read_step_logs(spark, str(tmp_path))
+        assert got.rdd.getNumPartitions() == 8 * spark.sparkContext.defaultParallelism
+        rows = [(r["sample"], r["line"]) for r in got.orderBy("sample", "line_no").collect()]
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert rows == sorted((f"s{i}", line) for i in range(100) for line in (f"one {i}", "two"))
