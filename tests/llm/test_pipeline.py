@@ -79,3 +79,13 @@ def test_a_task_of_the_secrets_stage_has_one_python_worker(spark):
     want = {r["doc_id"]: (r["text"], len(r["text"] or "")) for r in secrets.redacted(scanned).collect()}
     assert {r["doc_id"]: (r["text"], r["n_chars"] or 0) for r in clean.collect()} == want
     assert sum("<secret>" in (text or "") for text, _ in want.values()) == 2
+
+
+def test_the_secrets_stage_learns_from_every_finding(spark, monkeypatch):
+    # 1,600 secrets of one label, each with a key of its own; 30 plain candidates
+    rows = docs(spark, [f"token={i:04d}{i * 7919:012x}" for i in range(1_600)] + [f"see page {i:06d}abcdef{i * 104729:012x}" for i in range(30)])
+    learnt = []
+    monkeypatch.setattr(secrets.CharNet, "fit", lambda net, x, y: learnt.append((int((1 - y).sum()), int(y.sum()))))
+    corpus_pipeline.secret_stage(spark, rows, SF)
+    found = {r["label"]: r["count"] for r in secrets.findings(rows).groupBy("label").count().collect()}
+    assert found[1] >= 1_600 and learnt == [(found[0], found[1])]
